@@ -13,7 +13,8 @@ from fieldledger.scratch import staged
 
 
 def profile_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.profile_counts(records.profile_rows(proxies.record_lines(spark, folder)))
+    rows = records.profile_rows(proxies.record_lines(spark, folder))
+    return staged(profile.profile_counts(rows), "profile-counts")
 
 
 def document_lengths(spark: SparkSession, folder: str) -> DataFrame:

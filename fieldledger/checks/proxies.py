@@ -15,6 +15,7 @@ from fieldledger.operators.clean import activity_rows, clean_incidents
 from fieldledger.operators.enrich import activity_by_year_country, enrich_left
 from fieldledger.operators.records import format_incident_records
 from fieldledger.operators.splits import hash_split
+from fieldledger.scratch import staged
 
 YEARS = (1996, 1997, 1998)
 RAW_COLUMNS = [name for name in fv.INCIDENT_COLUMNS if name != "summary"]
@@ -108,7 +109,7 @@ def activity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def enriched(spark: SparkSession, folder: str) -> DataFrame:
-    return enrich_left(incidents(spark, folder), activity(spark, folder))
+    return enrich_left(incidents(spark, folder), staged(activity(spark, folder), "activity"))
 
 
 def record_lines(spark: SparkSession, folder: str) -> DataFrame:

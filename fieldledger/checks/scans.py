@@ -10,7 +10,7 @@ from fieldledger.checks import proxies, sql
 from fieldledger.checks.registry import query
 from fieldledger.functions.text import nonblank
 from fieldledger.operators import profile, records
-from fieldledger.scratch import scratch_path
+from fieldledger.scratch import scratch_path, staged
 from fieldledger.sources import readers, writers
 
 
@@ -163,7 +163,8 @@ def sink_verify_readback(spark: SparkSession, folder: str) -> DataFrame:
     "union all select 'splits', split, count(*) from tagged group by 2",
 )
 def sink_profile_tables(spark: SparkSession, folder: str) -> DataFrame:
-    counts = profile.profile_counts(records.profile_rows(proxies.record_lines(spark, folder)))
+    rows = records.profile_rows(proxies.record_lines(spark, folder))
+    counts = staged(profile.profile_counts(rows), "profile-counts")
     path = scratch_path(spark, "profile")
     names = {"histogram": "bin", "labels": "label", "splits": "split"}
     tables = profile.profile_tables(counts)

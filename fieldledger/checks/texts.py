@@ -9,7 +9,7 @@ from fieldledger.checks import proxies, sql
 from fieldledger.checks.registry import query
 from fieldledger.functions import report
 from fieldledger.functions.casts import double_or_zero, normalise_code, whole_count
-from fieldledger.functions.records import DecodedRecord, encode_record_spaced
+from fieldledger.functions.records import decoded, encode_record_spaced
 from fieldledger.functions.text import label_of, title_case, word_count
 from fieldledger.operators import records
 
@@ -140,8 +140,8 @@ def format_incident_records(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("decode_json_fields", f"with {sql.DAMAGED} select doc_id, kind, instruction, output from decoded")
 def decode_json_fields(spark: SparkSession, folder: str) -> DataFrame:
-    record = DecodedRecord(c("value"))
-    return proxies.damaged_lines(spark, folder).select(
+    lines, record = decoded(proxies.damaged_lines(spark, folder))
+    return lines.select(
         "doc_id", "kind", record.text("instruction").alias("instruction"), record.text("output").alias("output")
     )
 
@@ -151,15 +151,15 @@ def decode_json_fields(spark: SparkSession, folder: str) -> DataFrame:
     f"with {sql.DAMAGED} select doc_id, cast({sql.words("instruction || ' ' || output")} as int) as token_len from decoded",
 )
 def token_length(spark: SparkSession, folder: str) -> DataFrame:
-    record = DecodedRecord(c("value"))
+    lines, record = decoded(proxies.damaged_lines(spark, folder))
     text = F.concat(record.text("instruction"), F.lit(" "), record.text("output"))
-    return proxies.damaged_lines(spark, folder).select("doc_id", word_count(text).alias("token_len"))
+    return lines.select("doc_id", word_count(text).alias("token_len"))
 
 
 @query("extract_label", f"with {sql.DAMAGED} select doc_id, label from decoded")
 def extract_label(spark: SparkSession, folder: str) -> DataFrame:
-    output = DecodedRecord(c("value")).text("output")
-    return proxies.damaged_lines(spark, folder).select("doc_id", label_of(output).alias("label"))
+    lines, record = decoded(proxies.damaged_lines(spark, folder))
+    return lines.select("doc_id", label_of(record.text("output")).alias("label"))
 
 
 @query(

@@ -1,6 +1,6 @@
 """JSON records: one object per line with the keys of `RECORD_KEYS`."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldledger import fixed_values as fv
@@ -35,20 +35,27 @@ def encode_record_spaced(system: Column, instruction: Column, output: Column, in
     return F.when(instruction.isNotNull() & output.isNotNull(), line)
 
 
+PARSED = "_json"
+
+
+def parse_line(line: Column) -> Column:
+    """The line as the only element of an array, so that text after the object makes it invalid."""
+    return F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+
+
 class DecodedRecord:
     """Field access to one JSON line with the type checks that `from_json` leaves out.
 
-    The line is parsed as the only element of an array, so text after the object
-    makes it invalid. A key that is missing reads as `''`; a line that is no
-    JSON object, or a value that is no string, reads as NULL.
+    A key that is missing reads as `''`; a line that is no JSON object, or a
+    value that is no string, reads as NULL. `parsed` is `parse_line` of the
+    line; give it as a column of its own, so that each line is parsed once.
     """
 
-    def __init__(self, line: Column):
-        self._parsed = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
-        one = F.try_variant_get(self._parsed, "$[1]", "variant").isNull()
-        opens = line.rlike(r"^[ \t\r\n]*\{")
-        self.is_json = F.coalesce(self._parsed.isNotNull() & one & nonempty(line), F.lit(False))
-        self.is_object = F.coalesce(self.is_json & opens, F.lit(False))
+    def __init__(self, line: Column, parsed: Column):
+        self._parsed = parsed
+        one = F.try_variant_get(parsed, "$[1]", "variant").isNull()
+        self.is_json = F.coalesce(parsed.isNotNull() & one & line.rlike(r"[^ \t\r\n]"), F.lit(False))
+        self.is_object = F.coalesce(self.is_json & line.rlike(r"^[ \t\r\n]*\{"), F.lit(False))
 
     def _kind(self, key: str) -> Column:
         return F.schema_of_variant(F.try_variant_get(self._parsed, f"$[0].{key}", "variant"))
@@ -65,5 +72,7 @@ class DecodedRecord:
         return F.when(self.has_text_or_nothing(key), F.coalesce(value, F.lit("")))
 
 
-def nonempty(line: Column) -> Column:
-    return line.rlike(r"[^ \t\r\n]")
+def decoded(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DecodedRecord]:
+    """The lines with their parsed form beside them, and access to its fields."""
+    parsed = lines.withColumn(PARSED, parse_line(F.col(column)))
+    return parsed, DecodedRecord(F.col(column), F.col(PARSED))

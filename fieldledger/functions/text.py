@@ -26,8 +26,7 @@ def label_of(output: Column, open_mark: str = fv.LABEL_OPEN, close_mark: str = f
     NULL where the line has no open mark.
     """
     line = F.substring_index(output, "\n", 1)
-    begin = F.instr(line, open_mark)
-    rest = F.when(begin > 0, F.substring(line, begin + F.lit(len(open_mark)), F.length(line)))
+    rest = F.get(F.split(line, rf"\Q{open_mark}\E", 2), F.lit(1))
     return title_case(strip(F.substring_index(rest, close_mark, 1)))
 
 

@@ -7,15 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of two short strings and a count: about 10 MB at the limit.
 MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 64 << 20
 SALTS = 32
 _SALT = "_salt"
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether `df` has at most `max_rows` rows; reads no more than one row beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(
+    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> bool:
+    """Whether `df` stays within both bounds; looks no further than one row beyond the first."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+    row = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(width).alias("size")).first()
+    return row.n <= max_rows and (row.size or 0) <= max_bytes
 
 
 def join_dimension(

@@ -24,7 +24,11 @@ def _rows(weight: str | None) -> Column:
 
 
 def profile_counts(rows: DataFrame) -> DataFrame:
-    """Number of rows per split, label and length: what the tables below need."""
+    """Number of rows per split, label and length: what the tables below need.
+
+    Stage the result before making more than one table from it. A filter on it
+    would otherwise be moved below the parsing, and parse every line again.
+    """
     return rows.groupBy("split", "label", "token_len", "parsed").agg(F.count("*").alias(WEIGHT))
 
 
@@ -174,7 +178,7 @@ def display_counts(df: DataFrame, column: str = "n_rows", total: str = "total")
 
 
 def profile_tables(counts: DataFrame) -> dict[str, DataFrame]:
-    """All tables of the profile from `profile_counts`."""
+    """All tables of the profile from the staged `profile_counts`."""
     parsed = counts.filter("parsed")
     return {
         "histogram": token_length_histogram(parsed, weight=WEIGHT),

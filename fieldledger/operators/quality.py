@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldledger import fixed_values as fv
-from fieldledger.functions.records import DecodedRecord
+from fieldledger.functions.records import DecodedRecord, decoded
 from fieldledger.functions.report import ReportTemplate
 from fieldledger.functions.text import label_of, word_count
 
@@ -71,7 +71,7 @@ def required_fields_gate(records: DataFrame, required: Sequence[str] = fv.REQUIR
 
 def missing_field_counts(lines: DataFrame, keys: Sequence[str] = fv.RECORD_KEYS, column: str = "value") -> DataFrame:
     """Per key: JSON objects, objects without it, objects where it is no string. One pass."""
-    record = DecodedRecord(F.col(column))
+    parsed, record = decoded(lines, column)
     entries = [
         F.struct(
             F.lit(key).alias("field"),
@@ -82,7 +82,7 @@ def missing_field_counts(lines: DataFrame, keys: Sequence[str] = fv.RECORD_KEYS,
         )
         for key in keys
     ]
-    return lines.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
+    return parsed.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
 
 def non_empty_gate(df: DataFrame, stage: str) -> DataFrame:
@@ -110,9 +110,9 @@ def corrupt_kind(record: DecodedRecord, output: Column) -> Column:
 
 def corrupt_record_report(lines: DataFrame, column: str = "value") -> DataFrame:
     """JSON lines by what keeps them out of the profile."""
-    record = DecodedRecord(F.col(column))
+    parsed, record = decoded(lines, column)
     kind = corrupt_kind(record, record.text("output"))
-    return lines.groupBy(kind.alias("kind")).agg(F.count("*").alias("n_rows"))
+    return parsed.groupBy(kind.alias("kind")).agg(F.count("*").alias("n_rows"))
 
 
 def doubled_terminator_check(

@@ -8,9 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldledger.functions.records import DecodedRecord, encode_record, encode_record_spaced
+from fieldledger.functions.records import decoded, encode_record, encode_record_spaced
 from fieldledger.functions.report import ReportTemplate, instruction_text, report_text
 from fieldledger.functions.text import label_of, word_count
+from fieldledger.operators.clean import KEY_FIELDS, keep_not_null
 
 
 def render_reports(enriched: DataFrame, template: ReportTemplate = ReportTemplate()) -> DataFrame:
@@ -39,10 +40,14 @@ def render_reports(enriched: DataFrame, template: ReportTemplate = ReportTemplat
 def format_incident_records(
     enriched: DataFrame, template: ReportTemplate = ReportTemplate(), spaced: bool = False
 ) -> DataFrame:
-    """Enriched incidents with their JSON line in `value`; rows without one are dropped."""
+    """Enriched incidents with their JSON line in `value`.
+
+    Rows without year, country or label are dropped by those columns, before any
+    text is made: a filter on the line would render every record twice.
+    """
     encode = encode_record_spaced if spaced else encode_record
     line = encode(F.col("system"), F.col("instruction"), F.col("output"))
-    return render_reports(enriched, template).withColumn("value", line).filter(F.col("value").isNotNull())
+    return render_reports(keep_not_null(enriched, *KEY_FIELDS), template).withColumn("value", line)
 
 
 def tag_split(lines: DataFrame, split: str) -> DataFrame:
@@ -60,8 +65,8 @@ def profile_rows(lines: DataFrame) -> DataFrame:
     The word count needs both texts, the label only the output. `parsed` marks
     the rows that have both.
     """
-    record = DecodedRecord(F.col("value"))
-    texts = lines.select("split", record.text("instruction").alias("i"), record.text("output").alias("o"))
+    parsed, record = decoded(lines)
+    texts = parsed.select("split", record.text("instruction").alias("i"), record.text("output").alias("o"))
     return texts.select(
         "split",
         word_count(F.concat("i", F.lit(" "), "o")).alias("token_len"),

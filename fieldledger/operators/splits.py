@@ -77,7 +77,8 @@ def bounded_sample(df: DataFrame, limit: int = fv.MAX_RECORDS, seed: int = fv.SE
 def _repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Every row as often as its count says, in blocks that are spread before they unfold."""
     last_block = F.floor((F.col(times) - 1) / _COPY_BLOCK)
-    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block))).repartition()
+    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
+    blocks = blocks.repartition(_KEY, "_block")
     left = F.col(times) - F.col("_block") * _COPY_BLOCK
     size = F.least(left, F.lit(_COPY_BLOCK)).cast("int")
     return blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1), size)))

@@ -8,26 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldledger import fixed_values as fv
-from fieldledger.functions.records import DecodedRecord
+from fieldledger.functions.records import decoded
 from fieldledger.scratch import staged
 from fieldledger.sources.readers import scan_text_lines
 
 
-def sink_jsonl_splits(
-    lines: DataFrame,
+def stage_splits(lines: DataFrame) -> DataFrame:
+    """The lines `(value, split, ...)`, computed once into a table partitioned by split."""
+    return staged(lines, "splits", partition_by="split")
+
+
+def write_split_folders(
+    stage: DataFrame,
     path: str,
     splits: Sequence[str] = tuple(fv.SPLIT_FRACTIONS),
     files_per_split: int | None = None,
     max_records_per_file: int = 0,
 ) -> None:
-    """Overwrite `<path>/<split>.jsonl` with the lines `(value, split)`.
+    """Overwrite `<path>/<split>.jsonl` from a staged table; each reads its own partition.
 
-    All splits are computed in one pass into a staged table that is partitioned
-    by split; each folder is then a plain copy of its partition. `files_per_split`
-    only narrows that copy, so asking for one file never serialises the
-    computation before it.
+    `files_per_split` only narrows this copy, so asking for one file never
+    serialises the computation before it.
     """
-    stage = staged(lines.select("value", "split"), "splits", partition_by="split")
     for split in splits:
         part = stage.filter(F.col("split") == split).select("value")
         if files_per_split:
@@ -35,6 +37,19 @@ def sink_jsonl_splits(
         part.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).text(f"{path}/{split}.jsonl")
 
 
+def sink_jsonl_splits(
+    lines: DataFrame,
+    path: str,
+    splits: Sequence[str] = tuple(fv.SPLIT_FRACTIONS),
+    files_per_split: int | None = None,
+    max_records_per_file: int = 0,
+) -> None:
+    """Overwrite `<path>/<split>.jsonl` with the lines `(value, split)`, computed in one pass."""
+    write_split_folders(
+        stage_splits(lines.select("value", "split")), path, splits, files_per_split, max_records_per_file
+    )
+
+
 def sink_jsonl_partitioned(lines: DataFrame, path: str, max_records_per_file: int = 0) -> None:
     """Overwrite `<path>/split=<split>/` in a single pass, without a staged table."""
     writer = lines.select("value", "split").write.mode("overwrite").partitionBy("split")
@@ -55,8 +70,8 @@ def sink_verify_readback(
     found, report = scan_text_lines(spark, path, splits)
     counted = None
     for split, lines in found.items():
-        record = DecodedRecord(F.col("value"))
-        parsed = lines.select(
+        with_json, record = decoded(lines)
+        parsed = with_json.select(
             record.is_object.alias("ok"),
             F.when(
                 record.is_object,
