@@ -45,19 +45,25 @@ def schema_presence_report(
     return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
 
-def min_column_count_gate(df: DataFrame, least: int = fv.ACTIVITY_MIN_WIDTH) -> DataFrame:
-    """`df`, if it has enough columns."""
-    if len(df.columns) < least:
-        raise MissingColumnsError(f"{len(df.columns)} columns, at least {least} needed")
-    return df
+def min_column_count_gate(
+    lines: DataFrame, least: int = fv.ACTIVITY_MIN_WIDTH, delimiter: str = "\t", column: str = "value"
+) -> None:
+    """Raise `MissingColumnsError` unless the first line has enough delimited fields."""
+    first = lines.select(_width(column, delimiter).alias("n")).first()
+    width = first.n if first else 0
+    if width < least:
+        raise MissingColumnsError(f"{width} columns, at least {least} needed")
+
+
+def _width(column: str, delimiter: str) -> Column:
+    return F.regexp_count(F.col(column), F.lit(delimiter)) + 1
 
 
 def width_distribution(
     lines: DataFrame, least: int = fv.ACTIVITY_MIN_WIDTH, delimiter: str = "\t", column: str = "value"
 ) -> DataFrame:
     """Rows per number of delimited fields, and whether that is enough."""
-    width = F.regexp_count(F.col(column), F.lit(delimiter)) + 1
-    counts = lines.groupBy(width.alias("n_columns")).agg(F.count("*").alias("n_rows"))
+    counts = lines.groupBy(_width(column, delimiter).alias("n_columns")).agg(F.count("*").alias("n_rows"))
     return counts.withColumn("wide_enough", F.col("n_columns") >= least)
 
 

@@ -59,9 +59,8 @@ def build_dataset(spark: SparkSession, config: DatasetConfig) -> DatasetReport:
         splits.bounded_sample, config.max_records, config.seed
     )
 
-    log = quality.min_column_count_gate(
-        readers.scan_positional_tsv(spark, list(config.log_paths), config.log_width)
-    )
+    quality.min_column_count_gate(spark.read.text(list(config.log_paths)))
+    log = readers.scan_positional_tsv(spark, list(config.log_paths), config.log_width)
     activity = staged(
         enrich.activity_by_year_country(
             clean.activity_rows(log, config.years), readers.lookup_table(spark, config.names)
