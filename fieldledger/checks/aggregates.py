@@ -18,7 +18,7 @@ def profile_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_lengths(spark: SparkSession, folder: str) -> DataFrame:
-    docs = proxies.table(spark, folder, "documents")
+    docs = proxies.documents(spark, folder)
     return docs.select("doc_id", word_count(F.col("text")).alias("token_len"))
 
 

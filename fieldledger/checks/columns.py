@@ -136,7 +136,7 @@ def year_allow_list(spark: SparkSession, folder: str) -> DataFrame:
     f"select doc_id, cast({sql.words('text')} as int) as token_len from documents where {sql.words('text')} <= 800",
 )
 def outlier_cap(spark: SparkSession, folder: str) -> DataFrame:
-    docs = proxies.table(spark, folder, "documents")
+    docs = proxies.documents(spark, folder)
     return clean.outlier_cap(docs.select("doc_id", word_count(F.col("text")).alias("token_len")))
 
 

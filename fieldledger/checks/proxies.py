@@ -16,6 +16,7 @@ from fieldledger.operators.enrich import activity_by_year_country, enrich_left
 from fieldledger.operators.records import format_incident_records
 from fieldledger.operators.splits import hash_split
 from fieldledger.scratch import staged
+from fieldledger.sources.readers import spread
 
 YEARS = (1996, 1997, 1998)
 RAW_COLUMNS = [name for name in fv.INCIDENT_COLUMNS if name != "summary"]
@@ -27,8 +28,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents"))
+
+
 def incidents_raw(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem")
+    lines = spread(
+        table(spark, folder, "lineitem").select(
+            "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"
+        )
+    )
     suppliers = table(spark, folder, "supplier")
     nations = table(spark, folder, "nation")
     parts = table(spark, folder, "part")
@@ -124,7 +133,7 @@ def damaged_lines(spark: SparkSession, folder: str) -> DataFrame:
     2 has a number for the instruction, 3 no instruction, 4 a null instruction,
     5 no label mark, 6 no output, 7 more text after the object, the rest are sound.
     """
-    docs = table(spark, folder, "documents")
+    docs = documents(spark, folder)
     c = F.col
     instruction = F.concat(F.lit("Describe a text from "), c("source"))
     header = F.concat(F.lit("TEXT — "), F.upper("source"), F.lit("/"), F.upper("lang"), F.lit(" | x\n"))
@@ -156,13 +165,13 @@ def training_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_splits(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    docs = hash_split(table(spark, folder, "documents"), ["doc_id"])
+    docs = hash_split(documents(spark, folder), ["doc_id"])
     return {s: docs.filter(F.col("split") == s).drop("split") for s in fv.SPLIT_FRACTIONS}
 
 
 def context_records(spark: SparkSession, folder: str) -> DataFrame:
     """Records with an input that is blank for some, and a system text that is missing for some."""
-    docs = table(spark, folder, "documents")
+    docs = documents(spark, folder)
     return docs.select(
         "doc_id",
         F.when(F.col("lang") != "en", F.concat(F.lit("Answer in "), F.col("lang"))).alias("system"),

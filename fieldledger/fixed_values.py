@@ -65,6 +65,13 @@ COUNTRY_NAMES = {
 SEVERITY_STEPS = ((10, "high"), (3, "moderate"))
 SEVERITY_ELSE = "low"
 
+# The characters that separate words.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Record keys and the marks around the label in a report header.
 RECORD_KEYS = ("system", "instruction", "input", "output")
 REQUIRED_RECORD_KEYS = ("instruction", "output")

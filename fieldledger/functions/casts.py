@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fieldledger import fixed_values as fv
+
 _PLAIN_DECIMAL = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
 _INT_LIMIT = 2147483648
 
@@ -43,4 +45,4 @@ def normalise_code(code: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Text without the Unicode white space at both ends."""
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(text, F.lit(fv.WHITE_SPACE))

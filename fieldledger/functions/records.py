@@ -1,5 +1,7 @@
 """JSON records: one object per line with the keys of `RECORD_KEYS`."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,29 +38,37 @@ def encode_record_spaced(system: Column, instruction: Column, output: Column, in
 
 
 PARSED = "_json"
+_END = "end_of_line"
+
 
+def parse_line(line: Column, keys: Sequence[str]) -> Column:
+    """The keys of a JSON line, typed; NULL where the line is no JSON.
 
-def parse_line(line: Column) -> Column:
-    """The line as the only element of an array, so that text after the object makes it invalid."""
-    return F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    The line is read as the first of two array elements. The second marks the
+    end, so text after the object cannot pass unseen. Numbers, NULL and nested
+    values keep their type as variants; of a repeated key the last one counts.
+    """
+    fields = ", ".join(f"{key}: variant" for key in (*keys, _END))
+    pair = F.concat(F.lit("["), line, F.lit(f',{{"{_END}":0}}]'))
+    return F.from_json(pair, f"array<struct<{fields}>>", {"allowSingleQuotes": "false"})
 
 
 class DecodedRecord:
-    """Field access to one JSON line with the type checks that `from_json` leaves out.
+    """Field access to one parsed JSON line with the type checks that strings would lose.
 
     A key that is missing reads as `''`; a line that is no JSON object, or a
-    value that is no string, reads as NULL. `parsed` is `parse_line` of the
-    line; give it as a column of its own, so that each line is parsed once.
+    value that is no string, reads as NULL.
     """
 
     def __init__(self, line: Column, parsed: Column):
-        self._parsed = parsed
-        one = F.try_variant_get(parsed, "$[1]", "variant").isNull()
-        self.is_json = F.coalesce(parsed.isNotNull() & one & line.rlike(r"[^ \t\r\n]"), F.lit(False))
-        self.is_object = F.coalesce(self.is_json & line.rlike(r"^[ \t\r\n]*\{"), F.lit(False))
+        self._record = F.get(parsed, F.lit(0))
+        ended = F.get(parsed, F.lit(1))[_END].isNotNull()
+        self.is_object = F.coalesce((F.size(parsed) == 2) & self._record.isNotNull() & ended, F.lit(False))
+        other = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]"))).isNotNull() & line.rlike(r"[^ \t\r\n]")
+        self.is_json = self.is_object | F.coalesce(other & (F.size(parsed) == 2) | other & parsed.isNull(), F.lit(False))
 
     def _kind(self, key: str) -> Column:
-        return F.schema_of_variant(F.try_variant_get(self._parsed, f"$[0].{key}", "variant"))
+        return F.schema_of_variant(self._record[key])
 
     def has_text_or_nothing(self, key: str) -> Column:
         """True where the key is missing or holds a string."""
@@ -68,11 +78,16 @@ class DecodedRecord:
         return self.is_object & self._kind(key).isNotNull()
 
     def text(self, key: str) -> Column:
-        value = F.try_variant_get(self._parsed, f"$[0].{key}", "string")
+        value = F.try_variant_get(self._record[key], "$", "string")
         return F.when(self.has_text_or_nothing(key), F.coalesce(value, F.lit("")))
 
 
-def decoded(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DecodedRecord]:
-    """The lines with their parsed form beside them, and access to its fields."""
-    parsed = lines.withColumn(PARSED, parse_line(F.col(column)))
+def decoded(
+    lines: DataFrame, column: str = "value", keys: Sequence[str] = fv.REQUIRED_RECORD_KEYS
+) -> tuple[DataFrame, DecodedRecord]:
+    """The lines with their parsed form in a column of its own, and access to its keys.
+
+    Being a column, it is made once per line however often it is read.
+    """
+    parsed = lines.withColumn(PARSED, parse_line(F.col(column), keys))
     return parsed, DecodedRecord(F.col(column), F.col(PARSED))

@@ -77,7 +77,7 @@ def required_fields_gate(records: DataFrame, required: Sequence[str] = fv.REQUIR
 
 def missing_field_counts(lines: DataFrame, keys: Sequence[str] = fv.RECORD_KEYS, column: str = "value") -> DataFrame:
     """Per key: JSON objects, objects without it, objects where it is no string. One pass."""
-    parsed, record = decoded(lines, column)
+    parsed, record = decoded(lines, column, keys)
     entries = [
         F.struct(
             F.lit(key).alias("field"),

@@ -55,7 +55,7 @@ def build_dataset(spark: SparkSession, config: DatasetConfig) -> DatasetReport:
     """
     raw = readers.scan_headered_csv(spark, config.incidents_path, multiline=config.multiline)
     schema = quality.schema_presence_report(raw, config.columns)
-    incidents = clean.clean_incidents(raw, config.columns).transform(
+    incidents = clean.clean_incidents(readers.spread(raw), config.columns).transform(
         splits.bounded_sample, config.max_records, config.seed
     )
 

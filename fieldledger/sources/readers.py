@@ -46,6 +46,17 @@ def scan_headered_csv(
     return reader.csv(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """The scan, redistributed if it has fewer partitions than the session has cores.
+
+    A few files that cannot be split (compressed, multi-line, or one row group)
+    would otherwise leave the rendering to as many tasks. A scan of a large
+    input has partitions enough and is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def year_globs(base: str, years: Sequence[int] = fv.ACTIVITY_YEARS, pattern: str = "{base}/{year}*.csv") -> list[str]:
     """One path pattern per allowed year, so that other years are never listed or read."""
     return [pattern.format(base=base.rstrip("/"), year=year) for year in years]

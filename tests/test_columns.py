@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldledger.functions import casts, chat, records, report, text
-from fieldledger.operators import clean, enrich, profile
+from fieldledger.operators import clean, enrich, profile, quality
 from fieldledger.operators import records as record_ops
 
 c = F.col
@@ -100,6 +100,10 @@ def test_decoded_record(spark):
         "{}", "[1]", "junk", '{"instruction": 5, "output": "x"}', '{"instruction": null}',
         '{"instruction": "a b", "output": "X — L | y"}', '{"output": "o"} trailing', '{"output": "o"}, {"a": 1}',
         ' {"output": "o"} ', "", None, '"text"', '{"output": {"k": "v"}}', '[{"output": "o"}]', "{}, null",
+        '{"output": "x"}]', '{"a": 1}],[{"b": 2}', "null", "5", "[]", "]", "],[", '{"a": 1, "a": 2}',
+        '{"instruction": "a", "instruction": "b"}', '{"instruction": NaN}', '{"a": NaN, "output": "x"}',
+        "{'output': 'a'}", '{"output": "a\tb"}', '{"output": "x"', '{"x": {"instruction": 3}, "output": "\\u00e9"}',
+        '{"output": 012}', '{"a": tru}', '{output: "x"}', '{"output": "x",}', "// c\n{}",
     ]
     parsed, record = decode(spark, lines)
     got = parsed.select("i", record.text("instruction"), record.text("output")).orderBy("i").collect()
@@ -114,6 +118,13 @@ def test_decoded_record(spark):
     assert [tuple(r)[1:] for r in got] == [(python(s, "instruction"), python(s, "output")) for s in lines]
 
 
+def test_corrupt_kinds(spark):
+    lines = ["junk", "", " ", None, "{} {}", "{}]", "[1]", "5", '"t"', "null", "true", "{}", '{"output": 5}', '{"output": "X — a"}']
+    frame = spark.createDataFrame([(line,) for line in lines], "value string")
+    got = {r.kind: r.n_rows for r in quality.corrupt_record_report(frame).collect()}
+    assert got == {"not_json": 6, "not_object": 5, "no_label": 1, "not_text": 1, "ok": 1}
+
+
 def test_profile_rows_of_broken_lines(spark):
     lines = ["{}", "[1]", "junk", '{"instruction": 5, "output": "x"}', '{"instruction": null}']
     frame = spark.createDataFrame([(s, "train") for s in lines], "value string, split string")

@@ -47,9 +47,9 @@ def test_split_and_formatting_do_not_shuffle(spark, folder):
 
 def test_each_line_is_parsed_once(spark, folder):
     lines = proxies.damaged_lines(spark, folder).selectExpr("value", "'train' as split")
-    assert plan(records.profile_rows(lines)).count("parseJson") == 1
+    assert plan(records.profile_rows(lines)).count("from_json") == 1
 
 
 def test_profile_tables_come_from_counts(spark, folder):
     counts = aggregates.profile_counts(spark, folder)
-    assert "parseJson" not in plan(counts)
+    assert "from_json" not in plan(counts)
