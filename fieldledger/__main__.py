@@ -50,7 +50,12 @@ def arguments() -> argparse.ArgumentParser:
 
 def main() -> None:
     given = arguments().parse_args()
-    spark = SparkSession.builder.appName(f"fieldledger-{given.job}").getOrCreate()
+    spark = (
+        SparkSession.builder.appName(f"fieldledger-{given.job}")
+        # A task writes its splits side by side instead of sorting its rows by split.
+        .config("spark.sql.maxConcurrentOutputFileWriters", len(fv.SPLIT_FRACTIONS))
+        .getOrCreate()
+    )
     if given.job == "build":
         wording = json.loads(Path(given.wording).read_text("utf-8")) if given.wording else {}
         names = json.loads(Path(given.names).read_text("utf-8")) if given.names else fv.COUNTRY_NAMES

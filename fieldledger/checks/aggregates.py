@@ -9,6 +9,7 @@ from fieldledger.checks import proxies, sql
 from fieldledger.checks.registry import query
 from fieldledger.functions.text import word_count
 from fieldledger.operators import enrich, profile, records
+from fieldledger.operators.splits import hash_split
 from fieldledger.scratch import staged
 
 
@@ -164,11 +165,10 @@ def head_preview(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "thousands_format",
-    "with c as (select event_type, count(*) as n_rows, sum(count(*)) over () as total from events group by 1) "
-    "select event_type, cast(n_rows as bigint) as n_rows, cast(total as bigint) as total, "
-    "format('{:,}', n_rows) as n_rows_text, format('{:.0f}%', 100 * n_rows / total) as share from c",
+    f"with c as (select {sql.split_of('cast(l_orderkey as varchar)')} as split, count(*) as n from lineitem group by 1) "
+    "select split, cast(n as bigint) as n_rows, format('{:,}', n) as n_rows_text, "
+    "format('{:.0f}%', 100 * n / (select sum(n) from c)) as share from c",
 )
 def thousands_format(spark: SparkSession, folder: str) -> DataFrame:
-    events = proxies.table(spark, folder, "events")
-    counts = profile.label_balance(events, "event_type")
-    return profile.display_counts(profile._with_total(counts))
+    lines = proxies.table(spark, folder, "lineitem").select("l_orderkey")
+    return profile.split_display(hash_split(lines, ["l_orderkey"]))

@@ -60,8 +60,9 @@ def build_message_list(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "chat_render_multi_turn",
-    "select conv_id, cast(0 as bigint) as part, cast(count(*) as bigint) as n_turns, "
-    f"'<|begin_of_text|>' || string_agg({PIECE}, '' order by turn) as text from conversations group by conv_id",
+    "select conv_id, cast(0 as bigint) as part, cast(count(*) as int) as n_turns, "
+    f"'<|begin_of_text|>' || string_agg({PIECE}, '' order by turn) as text "
+    "from (select distinct * from conversations) group by conv_id",
 )
 def chat_render_multi_turn(spark: SparkSession, folder: str) -> DataFrame:
     return chat.chat_render_multi_turn(proxies.messages(spark, folder))
@@ -69,11 +70,11 @@ def chat_render_multi_turn(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "chat_render_multi_turn_prompted",
-    "select conv_id, cast(turn // 2 as bigint) as part, cast(count(*) as bigint) as n_turns, "
+    "select conv_id, cast(turn // 2 as bigint) as part, cast(count(*) as int) as n_turns, "
     f"case when turn // 2 = 0 then '<|begin_of_text|>' else '' end || string_agg({PIECE}, '' order by turn) "
     "|| case when turn // 2 = max(turn // 2) over (partition by conv_id) "
     "then '<|start_header_id|>assistant<|end_header_id|>' || chr(10) || chr(10) else '' end as text "
-    "from conversations group by conv_id, turn // 2",
+    "from (select distinct * from conversations) group by conv_id, turn // 2",
 )
 def chat_render_multi_turn_prompted(spark: SparkSession, folder: str) -> DataFrame:
     return chat.chat_render_multi_turn(proxies.messages(spark, folder), generation_prompt=True, max_turns=2)
@@ -81,7 +82,7 @@ def chat_render_multi_turn_prompted(spark: SparkSession, folder: str) -> DataFra
 
 @query(
     "sft_pairs",
-    "select u.conv_id, u.turn, u.text as prompt, a.text as response from conversations u join conversations a "
+    "select distinct u.conv_id, u.turn, u.text as prompt, a.text as response from conversations u join conversations a "
     "on a.conv_id = u.conv_id and a.turn = u.turn + 1 where u.role = 'user' and a.role = 'assistant'",
 )
 def sft_pairs(spark: SparkSession, folder: str) -> DataFrame:

@@ -17,7 +17,8 @@ def lenient_year(text: Column) -> Column:
     """
     number = text.try_cast("double")
     fits = text.rlike(_PLAIN_DECIMAL) & (F.abs(number) < _INT_LIMIT)
-    return F.when(fits, number.try_cast("int"))
+    # Whole numbers, which most are, never reach the pattern.
+    return F.coalesce(text.try_cast("int"), F.when(fits, number.try_cast("int")))
 
 
 def double_or_zero(text: Column) -> Column:

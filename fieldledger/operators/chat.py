@@ -46,18 +46,20 @@ def chat_render_multi_turn(
 ) -> DataFrame:
     """Chat text of every conversation, from `(conv_id, turn, role, text)`.
 
-    `turn` is the message's place in its conversation, from 0. A conversation of
-    up to `max_turns` messages is one row with part 0. A longer one has several
-    rows; its texts in order of `part` make up the whole, so a conversation of
-    any length is spread over tasks instead of gathered in one.
+    `turn` is the message's place in its conversation, from 0; copies of a
+    message in its place are one message. A conversation of up to `max_turns`
+    messages is one row with part 0. A longer one has several rows; its texts in
+    order of `part` make up the whole, so a conversation of any length is spread
+    over tasks instead of gathered in one.
     """
     part = F.floor(F.col("turn") / max_turns)
     segment = F.struct("turn", template.message(F.col("role"), F.col("text")).alias("piece"))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(segment)), lambda m: m.piece), "")
-    parts = messages.groupBy("conv_id", part.alias("part")).agg(
-        F.count("*").alias("n_turns"), body.alias("text")
+    gathered = messages.groupBy("conv_id", part.alias("part")).agg(F.collect_set(segment).alias("pieces"))
+    body = F.array_join(F.transform(F.array_sort("pieces"), lambda m: m.piece), "")
+    begin = F.when(F.col("part") == 0, template.begin).otherwise("")
+    begun = gathered.select(
+        "conv_id", "part", F.size("pieces").alias("n_turns"), F.concat(begin, body).alias("text")
     )
-    begun = parts.withColumn("text", F.when(F.col("part") == 0, F.concat(F.lit(template.begin), "text")).otherwise(F.col("text")))
     if not generation_prompt:
         return begun
     last = messages.groupBy("conv_id").agg(F.max(part).alias("part")).withColumn("_last", F.lit(True))
@@ -72,10 +74,16 @@ def chat_render_multi_turn(
 def sft_pairs(messages: DataFrame) -> DataFrame:
     """User messages with the assistant message that follows at once.
 
-    The join key holds the turn, so a long conversation is spread like any other rows.
+    Both fall into one group by conversation and the user's turn, so the messages
+    are read and shuffled once, a long conversation is spread like any other
+    rows, and copies of a message in its place never multiply.
     """
-    prompts = messages.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("prompt"))
-    answers = messages.filter(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
+    role, turn, text = F.col("role"), F.col("turn"), F.col("text")
+    prompt, response = F.when(role == "user", text), F.when(role == "assistant", text)
+    asked = F.when(role == "assistant", turn - 1).otherwise(turn)
+    pairs = (
+        messages.filter(role.isin("user", "assistant"))
+        .groupBy("conv_id", asked.alias("turn"))
+        .agg(F.max(prompt).alias("prompt"), F.max(response).alias("response"))
     )
-    return prompts.join(answers, ["conv_id", "turn"], "inner")
+    return pairs.filter(F.col("prompt").isNotNull() & F.col("response").isNotNull())

@@ -167,14 +167,9 @@ def dataset_summary(counts: DataFrame, splits: list[str] = list(fv.SPLIT_FRACTIO
     )
 
 
-def display_counts(df: DataFrame, column: str = "n_rows", total: str = "total") -> DataFrame:
-    """Counts as they are printed: thousands separators and a whole percentage."""
-    return df.withColumns(
-        {
-            f"{column}_text": thousands(F.col(column)),
-            "share": whole_percent(F.col(column), F.col(total)),
-        }
-    )
+def split_display(df: DataFrame, weight: str | None = None) -> DataFrame:
+    """Rows per split as they are printed: with thousands separators and a whole percentage."""
+    return split_shares(df, weight).withColumn("n_rows_text", thousands(F.col("n_rows")))
 
 
 def profile_tables(counts: DataFrame) -> dict[str, DataFrame]:

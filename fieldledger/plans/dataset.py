@@ -54,7 +54,7 @@ def build_dataset(spark: SparkSession, config: DatasetConfig) -> DatasetReport:
     partitioned by split. All counts come from the staged tables.
     """
     raw = readers.scan_headered_csv(spark, config.incidents_path, multiline=config.multiline)
-    schema = quality.schema_presence_report(raw, config.columns)
+    schema = quality.schema_presence_report(raw, config.columns, count_filled=False)
     incidents = clean.clean_incidents(readers.spread(raw), config.columns).transform(
         splits.bounded_sample, config.max_records, config.seed
     )

@@ -136,6 +136,14 @@ def test_conversation_texts(spark):
     assert "".join(p.text for p in parts) == whole.text
 
 
+def test_copies_of_messages_do_not_multiply(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "open")]
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    once, often = spark.createDataFrame(rows, schema), spark.createDataFrame(rows * 50, schema).repartition(6)
+    assert rows_of(chat.chat_render_multi_turn(often)) == rows_of(chat.chat_render_multi_turn(once))
+    assert rows_of(chat.sft_pairs(often)) == rows_of(chat.sft_pairs(once)) == [(1, 0, "q", "a")]
+
+
 def test_chat_record_without_system_and_input(spark):
     bare = spark.createDataFrame([("ask", "answer")], "instruction string, output string")
     assert chat.chat_render_single(bare, default_system="S").first().text == (
@@ -165,6 +173,8 @@ def test_gates(spark, tmp_path):
     quality.min_column_count_gate(spark.createDataFrame([("\t" * 7,)], "value string"))
     report = quality.schema_presence_report(spark.createDataFrame([("1970",), (None,)], "iyear string"))
     got = {r["column"]: (r.required, r.present, r.n_filled) for r in report.collect()}
+    header = quality.schema_presence_report(spark.createDataFrame([("1970",)], "iyear string"), count_filled=False)
+    assert [tuple(r) for r in header.collect()][0] == ("iyear", "year", True, True)
     assert got["iyear"] == (True, True, 1) and got["gname"] == (True, False, 0) and got["summary"] == (False, False, 0)
 
 
