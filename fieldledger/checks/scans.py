@@ -115,9 +115,7 @@ def scan_part_files(spark: SparkSession, folder: str) -> DataFrame:
     "select code, name, cast(coalesce(n, 0) as bigint) as n_rows from country_lookup left join counted on code = c7",
 )
 def lookup_table(spark: SparkSession, folder: str) -> DataFrame:
-    # The mapping has at most one entry per country.
-    pairs = proxies.country_lookup(spark, folder).limit(1000).collect()
-    lookup = readers.lookup_table(spark, {row.code: row.name for row in pairs})
+    lookup = readers.lookup_from_table(proxies.country_lookup(spark, folder), "code", "name")
     counts = proxies.activity_raw(spark, folder).groupBy(F.col("c7").alias("code")).agg(F.count("*").alias("n_rows"))
     return lookup.join(counts, "code", "left").fillna(0, ["n_rows"])
 

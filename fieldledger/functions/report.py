@@ -79,10 +79,8 @@ def context_clause(t: ReportTemplate, count: Column, country: Column, year: Colu
 
 
 def severity_bucket(kills: Column) -> Column:
-    bucket = F
-    for least, name in fv.SEVERITY_STEPS:
-        bucket = bucket.when(kills >= least, name)
-    return bucket.otherwise(fv.SEVERITY_ELSE)
+    steps = [F.when(kills >= least, name) for least, name in fv.SEVERITY_STEPS]
+    return F.coalesce(*steps, F.lit(fv.SEVERITY_ELSE))
 
 
 def report_text(

@@ -74,9 +74,7 @@ def estimated_split_sizes(
     df: DataFrame, fractions: Mapping[str, float] = fv.SPLIT_FRACTIONS, weight: str | None = None
 ) -> DataFrame:
     """Rows per split beside the size that the fraction of the total suggests."""
-    fraction = F
-    for name, share in fractions.items():
-        fraction = fraction.when(F.col("split") == name, F.lit(float(share)))
+    fraction = F.coalesce(*[F.when(F.col("split") == name, float(f)) for name, f in fractions.items()])
     counts = _with_total(split_counts(df, weight))
     return counts.select("split", "n_rows", (F.col("total") * fraction).cast("bigint").alias("estimated"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from itertools import accumulate
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -98,13 +99,10 @@ def hash_split(
 ) -> DataFrame:
     """Rows with a `split` name; equal keys always share a split. No shuffle."""
     bucket = split_bucket(row_key(key), seed)
-    names = list(fractions)
-    chosen, upper = F, 0.0
-    for name in names[:-1]:
-        upper += fractions[name]
-        chosen = chosen.when(bucket < round(upper * _BUCKETS), name)
-    last = F.lit(names[-1])
-    return df.withColumn("split", last if chosen is F else chosen.otherwise(last))
+    *names, last = fractions
+    upper = accumulate(fractions[name] for name in names)
+    below = [F.when(bucket < round(cut * _BUCKETS), name) for name, cut in zip(names, upper)]
+    return df.withColumn("split", F.coalesce(*below, F.lit(last)))
 
 
 def random_split(

@@ -104,3 +104,8 @@ def _lines_with_file(reader, path: str) -> DataFrame:
 def lookup_table(spark: SparkSession, names: Mapping[str, str] = fv.COUNTRY_NAMES) -> DataFrame:
     """Code and name of a literal mapping; codes are unique because they are its keys."""
     return spark.createDataFrame(list(names.items()), "code string, name string")
+
+
+def lookup_from_table(table: DataFrame, code: str, name: str) -> DataFrame:
+    """Code and name of a reference table, one row per code."""
+    return table.groupBy(F.col(code).alias("code")).agg(F.max(name).alias("name"))

@@ -65,6 +65,11 @@ def test_lookup_holds_every_country_once(spark):
     assert readers.lookup_table(spark).count() == 83
 
 
+def test_lookup_from_table_has_one_row_per_code(spark):
+    table = spark.createDataFrame([("A", "x"), ("A", "y"), ("B", "z")], "c string, n string")
+    assert rows_of(readers.lookup_from_table(table, "c", "n")) == [("A", "y"), ("B", "z")]
+
+
 def test_enrich_keeps_every_incident(spark):
     incidents = spark.createDataFrame([(2015, "A"), (2015, "A"), (2016, "A"), (2015, "B")], "year int, country string")
     activity = spark.createDataFrame([(2015, "A", 7)], "g_year int, g_country string, evt_count bigint")
