@@ -38,19 +38,27 @@ def encode_record_spaced(system: Column, instruction: Column, output: Column, in
 
 
 PARSED = "_json"
-_END = "end_of_line"
+_LINES, _END, _BROKEN = "lines", "end_of_line", "_broken"
+
+
+def _enclosed(line: Column) -> Column:
+    """The line as the first of two array elements, the second of which marks its end."""
+    return F.concat(F.lit(f'{{"{_LINES}":['), line, F.lit(f',{{"{_END}":0}}]}}'))
 
 
 def parse_line(line: Column, keys: Sequence[str]) -> Column:
-    """The keys of a JSON line, typed; NULL where the line is no JSON.
+    """The keys of a JSON line, typed, and a field that tells whether anything is broken.
 
-    The line is read as the first of two array elements. The second marks the
-    end, so text after the object cannot pass unseen. Numbers, NULL and nested
-    values keep their type as variants; of a repeated key the last one counts.
+    The line is read inside an enclosing object, so text after its own end
+    cannot pass unseen. Numbers, NULL and nested values keep their type as
+    variants; of a repeated key the last one counts.
     """
     fields = ", ".join(f"{key}: variant" for key in (*keys, _END))
-    pair = F.concat(F.lit("["), line, F.lit(f',{{"{_END}":0}}]'))
-    return F.from_json(pair, f"array<struct<{fields}>>", {"allowSingleQuotes": "false"})
+    return F.from_json(
+        _enclosed(line),
+        f"{_LINES} array<struct<{fields}>>, {_BROKEN} string",
+        {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": _BROKEN},
+    )
 
 
 class DecodedRecord:
@@ -61,11 +69,18 @@ class DecodedRecord:
     """
 
     def __init__(self, line: Column, parsed: Column):
-        self._record = F.get(parsed, F.lit(0))
-        ended = F.get(parsed, F.lit(1))[_END].isNotNull()
-        self.is_object = F.coalesce((F.size(parsed) == 2) & self._record.isNotNull() & ended, F.lit(False))
-        other = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]"))).isNotNull() & line.rlike(r"[^ \t\r\n]")
-        self.is_json = self.is_object | F.coalesce(other & (F.size(parsed) == 2) | other & parsed.isNull(), F.lit(False))
+        elements = parsed[_LINES]
+        self._record = F.get(elements, F.lit(0))
+        ended = F.get(elements, F.lit(1))[_END].isNotNull() & (F.size(elements) == 2)
+        whole = parsed[_BROKEN].isNull() & ended
+        self.is_object = F.coalesce(whole & self._record.isNotNull(), F.lit(False))
+        self.is_json = self.is_object | self._is_other_json(line)
+
+    @staticmethod
+    def _is_other_json(line: Column) -> Column:
+        other = F.try_parse_json(_enclosed(line))
+        second, third = (F.try_variant_get(other, f"$.{_LINES}[{i}]", "variant") for i in (1, 2))
+        return second.isNotNull() & third.isNull()
 
     def _kind(self, key: str) -> Column:
         return F.schema_of_variant(self._record[key])

@@ -7,6 +7,7 @@ from fieldledger import fixed_values as fv
 from fieldledger.functions.casts import strip
 
 _WORD = r"(?U)[^\s\x1c-\x1f]+"
+_CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
 
 
 def word_count(text: Column) -> Column:
@@ -15,8 +16,8 @@ def word_count(text: Column) -> Column:
 
 
 def title_case(text: Column) -> Column:
-    """Capital after every non-letter, small letters elsewhere (`Bombing/Explosion`)."""
-    runs = F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+|\P{L}+)"), 1)
+    """Capital after every character without case, small letters elsewhere (`Bombing/Explosion`)."""
+    runs = F.regexp_extract_all(F.lower(text), F.lit(f"[{_CASED}]+|[^{_CASED}]+"), 0)
     return F.array_join(F.transform(runs, F.initcap), "")
 
 
