@@ -23,7 +23,9 @@ def scratch_root(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    return _own_folder.setdefault("local", tempfile.mkdtemp(prefix="fieldledger-"))
+    if "local" not in _own_folder:
+        _own_folder["local"] = tempfile.mkdtemp(prefix="fieldledger-")
+    return _own_folder["local"]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
