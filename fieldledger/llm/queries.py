@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from fieldledger.llm import exact, packing, perplexity  # noqa: F401
+from fieldledger.llm import exact, packing, perplexity, pii  # noqa: F401
 from fieldledger.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
