@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from fieldledger.llm import exact, jaccard, packing, perplexity, pii, repeats  # noqa: F401
+from fieldledger.llm import exact, jaccard, packing, perplexity, pii, repeats, secret_scan, urls  # noqa: F401
 from fieldledger.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
