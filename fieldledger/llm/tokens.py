@@ -21,51 +21,72 @@ from tokenizers import Tokenizer  # noqa: E402
 VOCABULARY = "byte_bpe_50k.json"
 
 #: Distinct pieces that a task holds; beyond it the table starts anew.
-PIECES = 300_000
+PIECES = 500_000
 
 
-class Encoder:
-    """Encodes like `Tokenizer.encode(text, add_special_tokens=False)`."""
+class Gathered:
+    """Ids of texts, gathered from those of their distinct pieces.
 
-    def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.pattern = regex.compile(pattern)
-        self.marks = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+    `split` cuts a text into pieces, `learn` gives the ids of pieces not seen before.
+    """
+
+    def __init__(self):
         self._clear()
 
+    def split(self, text: str) -> list[str]:
+        raise NotImplementedError
+
+    def learn(self, pieces: list[str]) -> list[list[int]]:
+        raise NotImplementedError
+
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.flat, self.start = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _learn(self, pieces: list[str]) -> None:
-        found = [x.ids for x in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
-        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
+    def _extend(self, pieces: list[str]) -> None:
+        found = self.learn(pieces)
+        places = range(len(self.known), len(self.known) + len(pieces))
+        self.known.update(zip(pieces, places, strict=True))
         ends = np.cumsum([len(x) for x in found]) + len(self.flat)
         flat = np.fromiter((i for x in found for i in x), np.uint32)
         self.flat = np.concatenate((self.flat, flat))
         self.start = np.concatenate((self.start, ends))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        marked = {i for i, t in enumerate(texts) if any(m in t for m in self.marks)}
-        split = [[] if i in marked else self.pattern.findall(t) for i, t in enumerate(texts)]
+        split = [self.split(t) for t in texts]
         if len(self.known) > PIECES:
             self._clear()
         new = {p for pieces in split for p in pieces if p not in self.known}
         if new:
-            self._learn(sorted(new))
+            self._extend(sorted(new))
         flat = np.fromiter((self.known[p] for pieces in split for p in pieces), np.int64)
         begin, sizes = self.start[flat], self.start[flat + 1] - self.start[flat]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.flat[np.arange(total) + np.repeat(begin - (ends - sizes), sizes)]
-        cuts = np.concatenate(([0], np.cumsum([len(p) for p in split])))
+        cuts = np.concatenate(([0], np.cumsum([len(p) for p in split]))).astype(np.int64)
         upto = np.concatenate(([0], ends))[cuts]
-        out = [ids[a:b] for a, b in zip(upto[:-1], upto[1:], strict=True)]
-        for i in marked:
-            plain = self.tokenizer.encode(texts[i], add_special_tokens=False)
-            out[i] = np.array(plain.ids, np.uint32)
-        return out
+        return [ids[a:b] for a, b in zip(upto[:-1], upto[1:], strict=True)]
+
+
+class Encoder(Gathered):
+    """Encodes like `Tokenizer.encode(text, add_special_tokens=False)`.
+
+    A text that holds a special token's string is given to the tokenizer whole.
+    """
+
+    def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.pattern = regex.compile(pattern)
+        self.marks = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        super().__init__()
+
+    def split(self, text: str) -> list[str]:
+        return [text] if any(m in text for m in self.marks) else self.pattern.findall(text)
+
+    def learn(self, pieces: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
 
 
 @lru_cache(maxsize=2)
