@@ -8,9 +8,11 @@ sorted n-gram keys beside their log probabilities. An n-gram's key is its charac
 12 bits each; code points above 2047 are hashed into 2,048 classes.
 
 A text's score is the mean negative log probability of its characters, each after
-the characters before it (padding stands before the first one). Within a language,
-median and median deviation of the score over all texts that pass the base rules
-give a lower and an upper band; a text outside is rejected. Scores that lie high are
+the characters before it (padding stands before the first one). The mean of few
+characters varies more, so deviations from the language's median are taken times the
+square root of the text's length, and the median of their amounts, over all texts that
+pass the base rules, is the language's spread. So many spreads below and above are the
+bands, wider for short texts; a text outside is rejected. Scores that lie high are
 gibberish and foreign symbols, scores that lie low are text that repeats itself.
 """
 
@@ -37,8 +39,9 @@ MODEL_ROWS = 6_000_000
 #: n-grams that a task holds before it hands on what it has counted.
 HELD = 4_000_000
 
-#: Half-widths of the bands in deviations, and the least deviation, in nats a character.
-BELOW, ABOVE, LEAST = 12.0, 12.0, 0.02
+#: Half-widths of the bands in spreads of a language, the least spread, and what is added
+#: for a text of any length, in nats a character.
+BELOW, ABOVE, LEAST, MORE = 7.0, 4.0, 0.8, 0.02
 
 #: Base rules: fewer words, or a larger share of words in repeated windows, fail.
 MIN_WORDS, WINDOW, REPEATED = 10, 5, 0.2
@@ -276,8 +279,9 @@ class _Score:
                         upto = np.concatenate(([0.0], total))
                         nats[at] = (upto[ends - lengths] - upto[ends]) / np.maximum(lengths, 1)
                 columns.append(pa.array(nats))
-            head = [batch.column("row"), batch.column("doc"), batch.column("lang")]
-            names = ["row", "doc", "lang", *STATS, *["nats"] * bool(self.arrays)]
+            chars = pa.array([len(t) for t in texts], pa.int64())
+            head = [batch.column("row"), batch.column("doc"), batch.column("lang"), chars]
+            names = ["row", "doc", "lang", "chars", *STATS, *["nats"] * bool(self.arrays)]
             yield pa.RecordBatch.from_arrays(head + columns, names)
 
 
@@ -328,7 +332,7 @@ def quality_scores(
     )
     model = kneser_ney(slim.select("lang", "text"))
     kind = dict(slim.dtypes)["doc"]
-    schema = f"row long, doc {kind}, lang string, " + ", ".join(f"{c} long" for c in STATS)
+    schema = f"row long, doc {kind}, lang string, chars long, " + ", ".join(f"{c} long" for c in STATS)
     if model.count() <= model_rows:
         arrays = docs.sparkSession.sparkContext.broadcast(sorted_arrays(model))
         scores = slim.mapInArrow(_Score(arrays), schema + ", nats double")
@@ -341,18 +345,18 @@ def quality_scores(
         100 * F.col("n_repeat_words") > int(100 * REPEATED) * F.col("n_words")
     )
     scores = staged(scores.withColumn("base_failed", failed).fillna(0.0, ["nats"]), "scores")
-    sound = scores.where(~F.col("base_failed")).select("lang", F.round("nats", 3).alias("nats"))
-    middle = sound.groupBy("lang").agg(F.percentile("nats", F.lit(0.5)).alias("middle"))
+    sound = scores.where(~F.col("base_failed"))
+    middle = sound.groupBy("lang").agg(F.percentile(F.round("nats", 3), F.lit(0.5)).alias("middle"))
     middle = F.broadcast(middle.withColumnRenamed("lang", "other"))
-    apart = sound.join(middle, F.expr("lang <=> other")).groupBy("lang", "middle")
-    spread = apart.agg(F.percentile(F.round(F.abs(F.col("nats") - F.col("middle")), 3), F.lit(0.5)).alias("apart"))
-    deviation = F.greatest(1.4826 * F.col("apart"), F.lit(LEAST))
-    bands = spread.select(
-        F.col("lang").alias("other"),
-        (F.col("middle") - BELOW * deviation).alias("lower"),
-        (F.col("middle") + ABOVE * deviation).alias("upper"),
-    )
+    apart = F.abs(F.col("nats") - F.col("middle")) * F.sqrt("chars")
+    spread = sound.join(middle, F.expr("lang <=> other")).groupBy("lang", "middle")
+    spread = spread.agg(F.percentile(F.round(apart, 2), F.lit(0.5)).alias("apart"))
+    least = F.greatest(1.4826 * F.col("apart"), F.lit(LEAST)).alias("spread")
+    bands = spread.select(F.col("lang").alias("other"), "middle", least)
     judged = scores.join(F.broadcast(bands), F.expr("lang <=> other"), "left")
+    reach = F.col("spread") / F.sqrt(F.greatest("chars", F.lit(1)))
+    judged = judged.withColumn("lower", F.col("middle") - BELOW * reach - MORE)
+    judged = judged.withColumn("upper", F.col("middle") + ABOVE * reach + MORE)
     within = F.coalesce(F.col("nats").between(F.col("lower"), F.col("upper")), F.lit(False))
     return judged.select(
         "row", F.col("doc").alias("doc_id"), "lang", *STATS, "base_failed",

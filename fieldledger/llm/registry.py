@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,5 +26,15 @@ def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def reach(spark: SparkSession) -> None:
+    """Lets Python workers that start with the driver's files find this package."""
+    root = str(Path(__file__).resolve().parent.parent.parent)
+    told = spark.sparkContext.environment
+    paths = told.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        told["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    reach(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
