@@ -64,19 +64,26 @@ def expected(rows):
 def test_verdicts_by_both_ways(spark):
     rng = random.Random(5)
     rows = plain.odd_rows(rng) + [(100 + i, t, "en") for i, t in enumerate(plain.random_texts(6, 60))]
-    odd = [chr(rng.randint(200, 900)) + " " * (rng.random() < 0.2) for _ in range(900)]
-    rows += [(300, "".join(odd), "en")]
     docs = plain.table(spark, rows)
     want = sorted((str(r[0]), *r[3], r[4], r[6]) for r in expected(rows))
     for size in (perplexity.MODEL_ROWS, 0):
         found = quality_scores(docs, model_rows=size).collect()
         got = sorted((str(r.doc_id), *(r[c] for c in STATS), r.base_failed, r.kept) for r in found)
         assert got == want
-    assert ("300", False) in [(r[0], r[-1]) for r in want]
     kept = quality_filter(docs)
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(r[0] for r in want if r[-1])
 
 
+def test_foreign_text_is_rejected_and_no_other(spark):
+    rng = random.Random(16)
+    rows = [(i, plain.syllables(rng, rng.randint(12, 120)), "en") for i in range(250)]
+    odd = [chr(rng.randint(200, 900)) + " " * (rng.random() < 0.2) for _ in range(400)]
+    rows.append((300, "".join(odd), "en"))
+    found = quality_scores(plain.table(spark, rows)).where("not base_failed").collect()
+    assert [r.doc_id for r in found if not r.kept] == [300]
+    assert len(found) > 200
+
+
 def test_empty_table(spark):
     assert quality_scores(plain.table(spark, [])).count() == 0
