@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -12,8 +13,9 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from fieldledger import fixed_values as fv  # noqa: E402
+from fieldledger.functions.chat import CONVERSATION_CHAT, RECORD_CHAT  # noqa: E402
 from fieldledger.functions.report import ReportTemplate  # noqa: E402
-from fieldledger.plans.chat_texts import prepare_chat_texts  # noqa: E402
+from fieldledger.plans.chat_texts import compare_responses, prepare_chat_texts, prepare_conversations  # noqa: E402
 from fieldledger.plans.dataset import DatasetConfig, build_dataset  # noqa: E402
 from fieldledger.plans.describe import describe_dataset  # noqa: E402
 from fieldledger.sources.readers import year_globs  # noqa: E402
@@ -29,7 +31,9 @@ def arguments() -> argparse.ArgumentParser:
     build.add_argument("--output", required=True)
     build.add_argument("--years", type=int, nargs="+", default=list(fv.ACTIVITY_YEARS))
     build.add_argument("--log-width", type=int, default=fv.ACTIVITY_WIDTH)
-    build.add_argument("--max-records", type=int, default=fv.MAX_RECORDS, help="0 keeps all")
+    build.add_argument("--max-records", type=int, default=0, help="bound of the incidents; 0 keeps all")
+    build.add_argument("--spread", type=int, help="tasks that incidents of few files are dealt out to")
+    build.add_argument("--columns", help="JSON file that maps source columns to fields")
     build.add_argument("--files-per-split", type=int)
     build.add_argument("--multiline", action="store_true")
     build.add_argument("--random", action="store_true", help="random split instead of hash split")
@@ -45,9 +49,26 @@ def arguments() -> argparse.ArgumentParser:
     chat.add_argument("--output", required=True)
     chat.add_argument("--split", default="train")
     chat.add_argument("--system", default=ReportTemplate().system)
+    chat.add_argument("--markers", help="JSON file with the fields of ChatTemplate")
+
+    talks = jobs.add_parser("conversations", help="chat texts, messages and pairs of conversations")
+    talks.add_argument("--input", required=True)
+    talks.add_argument("--output", required=True)
+    talks.add_argument("--markers", help="JSON file with the fields of ChatTemplate")
+    talks.add_argument("--prompt", action="store_true", help="end each text with the opening of an answer")
+
+    versus = jobs.add_parser("compare", help="two sets of responses to the same prompts")
+    versus.add_argument("--base", required=True)
+    versus.add_argument("--tuned", required=True)
+    versus.add_argument("--output", required=True)
     return parser
 
 
+def told(path: str | None, otherwise: dict) -> dict:
+    """The JSON object in the file, or the other one without a file."""
+    return json.loads(Path(path).read_text("utf-8")) if path else otherwise
+
+
 def main() -> None:
     given = arguments().parse_args()
     spark = (
@@ -57,8 +78,8 @@ def main() -> None:
         .getOrCreate()
     )
     if given.job == "build":
-        wording = json.loads(Path(given.wording).read_text("utf-8")) if given.wording else {}
-        names = json.loads(Path(given.names).read_text("utf-8")) if given.names else fv.COUNTRY_NAMES
+        wording = told(given.wording, {})
+        names = told(given.names, fv.COUNTRY_NAMES)
         report = build_dataset(
             spark,
             DatasetConfig(
@@ -66,6 +87,8 @@ def main() -> None:
                 log_paths=year_globs(given.log, given.years),
                 output_path=given.output,
                 names=names,
+                columns=told(given.columns, fv.INCIDENT_COLUMNS),
+                spread=given.spread,
                 years=given.years,
                 log_width=given.log_width,
                 max_records=given.max_records,
@@ -78,11 +101,17 @@ def main() -> None:
         tables = vars(report)
     elif given.job == "describe":
         tables = describe_dataset(spark, given.input, given.output)
+    elif given.job == "chat":
+        markers = replace(RECORD_CHAT, **told(given.markers, {}))
+        tables = prepare_chat_texts(spark, given.input, given.output, given.split, markers, given.system)
+    elif given.job == "conversations":
+        markers = replace(CONVERSATION_CHAT, **told(given.markers, {}))
+        tables = prepare_conversations(spark, given.input, given.output, markers, given.prompt)
     else:
-        tables = prepare_chat_texts(spark, given.input, given.output, given.split, default_system=given.system)
+        tables = compare_responses(spark, given.base, given.tuned, given.output)
     for name, table in tables.items():
         print(name)
-        table.show(100, truncate=80)
+        table.show(100, truncate=False)
 
 
 if __name__ == "__main__":

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from fieldledger.checks import proxies, sql
 from fieldledger.checks.registry import query
 from fieldledger.functions.text import word_count
-from fieldledger.operators import enrich, profile, records
+from fieldledger.operators import clean, enrich, profile, records
+from fieldledger.operators.joins import join_dimension
 from fieldledger.operators.splits import hash_split
 from fieldledger.scratch import staged
 
@@ -23,6 +24,11 @@ def document_lengths(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", word_count(F.col("text")).alias("token_len"))
 
 
+ALL_SPLITS = (
+    "c as (select s.split, count(d.split) as n from (values ('train'), ('val'), ('test'), ('holdout')) s(split) "
+    "left join doc_splits d on d.split = s.split group by 1)"
+)
+
 DOC_WORDS = f"lengths as (select cast({sql.words('text')} as int) as token_len from documents)"
 
 
@@ -59,14 +65,11 @@ def label_balance_records(spark: SparkSession, folder: str) -> DataFrame:
 )
 def stage_counts(spark: SparkSession, folder: str) -> DataFrame:
     activity = staged(proxies.activity(spark, folder), "activity")
-    incidents = proxies.incidents(spark, folder)
+    raw = proxies.incidents_raw(spark, folder)
     return profile.stage_counts(
-        {
-            "incidents_raw": proxies.incidents_raw(spark, folder),
-            "incidents": incidents,
-            "activity": activity,
-            "matched": enrich.enrich_left(incidents, activity).filter("evt_count > 0"),
-        }
+        (raw, {"incidents_raw": None, "incidents": clean.cleaning_flags(raw)["cleaned"]}),
+        (activity, {"activity": None}),
+        (enrich.enrich_left(clean.clean_incidents(raw), activity), {"matched": F.col("evt_count") > 0}),
     )
 
 
@@ -82,10 +85,10 @@ def match_rate(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "token_length_histogram",
-    f"with {DOC_WORDS}, bins as (select least(token_len // 25, 31) as bin, count(*) as n from lengths "
-    "where token_len <= 800 group by 1) "
-    "select cast(b as int) as bin, cast(b * 25 as int) as from_len, cast(b * 25 + 25 as int) as to_len, "
-    "cast(coalesce(n, 0) as bigint) as n_rows from range(32) r(b) left join bins on bin = b",
+    f"with {DOC_WORDS}, bins as (select case when token_len > 800 then 32 else least(token_len // 25, 31) end as bin, count(*) as n "
+    "from lengths group by 1) "
+    "select cast(b as int) as bin, cast(b * 25 as int) as from_len, cast(case when b < 32 then b * 25 + 25 end as int) as to_len, "
+    "cast(coalesce(n, 0) as bigint) as n_rows from range(33) r(b) left join bins on bin = b",
 )
 def token_length_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return profile.token_length_histogram(document_lengths(spark, folder))
@@ -116,31 +119,31 @@ def dataset_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "split_shares",
-    f"with {sql.DOC_SPLITS}, c as (select split, count(*) as n from doc_splits group by 1) "
+    f"with {sql.DOC_SPLITS}, {ALL_SPLITS} "
     "select split, cast(n as bigint) as n_rows, format('{:.0f}%', 100 * n / (select sum(n) from c)) as share from c",
 )
 def split_shares(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.split_shares(records.union_splits(proxies.document_splits(spark, folder)))
+    return profile.split_shares(proxies.document_splits(spark, folder), splits=tuple(proxies.FRACTIONS))
 
 
 @query(
     "estimated_split_sizes",
-    f"with {sql.DOC_SPLITS}, c as (select split, count(*) as n from doc_splits group by 1) "
+    f"with {sql.DOC_SPLITS}, {ALL_SPLITS} "
     "select split, cast(n as bigint) as n_rows, cast(floor((select sum(n) from c) * "
-    "cast(case split when 'train' then 0.8 else 0.1 end as double)) as bigint) as estimated from c",
+    "cast(case split when 'train' then 0.8 when 'holdout' then 0 else 0.1 end as double)) as bigint) as estimated from c",
 )
 def estimated_split_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.estimated_split_sizes(records.union_splits(proxies.document_splits(spark, folder)))
+    return profile.estimated_split_sizes(proxies.document_splits(spark, folder), proxies.FRACTIONS)
 
 
 @query(
     "training_schedule",
-    f"with {sql.DOC_SPLITS}, c as (select split, count(*) as n from doc_splits group by 1) "
+    f"with {sql.DOC_SPLITS}, {ALL_SPLITS} "
     "select split, cast(n as bigint) as n_rows, n / 8.0::double as steps_per_epoch, "
-    "round(500.0::double / (n / 8.0::double), 2) as effective_epochs from c",
+    "case when n > 0 then round(500.0::double / (n / 8.0::double), 2) end as effective_epochs from c",
 )
 def training_schedule(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.training_schedule(records.union_splits(proxies.document_splits(spark, folder)))
+    return profile.training_schedule(proxies.document_splits(spark, folder), splits=tuple(proxies.FRACTIONS))
 
 
 @query(
@@ -150,7 +153,9 @@ def training_schedule(spark: SparkSession, folder: str) -> DataFrame:
 )
 def top_k_labels(spark: SparkSession, folder: str) -> DataFrame:
     lines, parts = proxies.table(spark, folder, "lineitem"), proxies.table(spark, folder, "part")
-    brands = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(F.col("p_brand").alias("label"))
+    keyed = lines.select(F.col("l_partkey").alias("part"))
+    named = parts.select(F.col("p_partkey").alias("part"), F.col("p_brand").alias("label"))
+    brands = join_dimension(keyed, named, ["part"], "inner")
     return profile.top_k_labels(profile.label_balance(brands))
 
 

@@ -58,32 +58,59 @@ def build_message_list(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(
-    "chat_render_multi_turn",
-    "select conv_id, cast(0 as bigint) as part, cast(count(*) as int) as n_turns, "
-    f"'<|begin_of_text|>' || string_agg({PIECE}, '' order by turn) as text "
-    "from (select distinct * from conversations) group by conv_id",
+MESSAGES = """
+messages as (
+  select distinct conv_id, turn, case when (conv_id + turn) % 17 <> 4 then role end as given_role,
+    case when (conv_id + turn) % 13 <> 5 then text end as given_text,
+    coalesce(given_role, 'unknown') as role, coalesce(given_text, '') as text,
+    given_role is null or given_text is null as filled
+  from conversations)
+"""
+ANSWER = "'<|start_header_id|>assistant<|end_header_id|>' || chr(10) || chr(10)"
+WHOLE = (
+    f"with {MESSAGES} select conv_id, cast(count(*) as int) as n_turns, cast(count(*) filter (filled) as int) as n_filled, "
+    f"'<|begin_of_text|>' || string_agg({PIECE}, '' order by turn) {{ending}} as text from messages group by conv_id"
 )
+
+
+@query("chat_render_multi_turn", WHOLE.format(ending=""))
 def chat_render_multi_turn(spark: SparkSession, folder: str) -> DataFrame:
-    return chat.chat_render_multi_turn(proxies.messages(spark, folder))
+    return chat.chat_render_multi_turn(proxies.broken_messages(spark, folder))
 
 
-@query(
-    "chat_render_multi_turn_prompted",
-    "select conv_id, cast(turn // 2 as bigint) as part, cast(count(*) as int) as n_turns, "
-    f"case when turn // 2 = 0 then '<|begin_of_text|>' else '' end || string_agg({PIECE}, '' order by turn) "
-    "|| case when turn // 2 = max(turn // 2) over (partition by conv_id) "
-    "then '<|start_header_id|>assistant<|end_header_id|>' || chr(10) || chr(10) else '' end as text "
-    "from (select distinct * from conversations) group by conv_id, turn // 2",
-)
+@query("chat_render_multi_turn_prompted", WHOLE.format(ending=f"|| {ANSWER}"))
 def chat_render_multi_turn_prompted(spark: SparkSession, folder: str) -> DataFrame:
-    return chat.chat_render_multi_turn(proxies.messages(spark, folder), generation_prompt=True, max_turns=2)
+    return chat.chat_render_multi_turn(proxies.broken_messages(spark, folder), generation_prompt=True)
+
+
+@query("chat_render_messages", f"with {MESSAGES} select conv_id, turn, {PIECE} as piece, filled from messages")
+def chat_render_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.chat_render_messages(proxies.broken_messages(spark, folder).distinct())
+
+
+PAIRS = f"""
+{MESSAGES},
+pairs as (
+  select u.conv_id, u.turn, min(u.given_text) as prompt, min(a.given_text) as response,
+    cast(count(distinct u.given_text) as int) as n_prompts, cast(count(distinct a.given_text) as int) as n_responses
+  from messages u join messages a on a.conv_id = u.conv_id and a.turn = u.turn + 1
+  where u.given_role = 'user' and a.given_role = 'assistant' and u.given_text is not null and a.given_text is not null
+  group by u.conv_id, u.turn)
+"""
+
+
+@query("sft_pairs", f"with {PAIRS} select * from pairs")
+def sft_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.sft_pairs(proxies.broken_messages(spark, folder))
 
 
 @query(
-    "sft_pairs",
-    "select distinct u.conv_id, u.turn, u.text as prompt, a.text as response from conversations u join conversations a "
-    "on a.conv_id = u.conv_id and a.turn = u.turn + 1 where u.role = 'user' and a.role = 'assistant'",
+    "sft_prompts",
+    f"with {PAIRS}, pieces as (select conv_id, turn, {PIECE} as piece from messages) "
+    "select p.conv_id, p.turn, '<|begin_of_text|>' || string_agg(m.piece, '' order by m.turn) "
+    f"|| {ANSWER} as messages_text, any_value(p.response) as response "
+    "from pairs p join pieces m on m.conv_id = p.conv_id and m.turn <= p.turn group by p.conv_id, p.turn",
 )
-def sft_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return chat.sft_pairs(proxies.messages(spark, folder))
+def sft_prompts(spark: SparkSession, folder: str) -> DataFrame:
+    messages = proxies.broken_messages(spark, folder)
+    return chat.sft_prompts(chat.sft_pairs(messages), messages)

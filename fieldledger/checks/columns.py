@@ -9,6 +9,7 @@ from fieldledger.checks import proxies, sql
 from fieldledger.checks.registry import query
 from fieldledger.functions.casts import double_or_zero, lenient_year, year_prefix
 from fieldledger.functions.text import word_count
+from fieldledger.scratch import staged
 from fieldledger.operators import clean, compare, enrich, records
 
 RENAMED = (
@@ -66,7 +67,8 @@ def year_from_yyyymmdd(spark: SparkSession, folder: str) -> DataFrame:
     "from incidents left join activity on year = g_year and country = g_country",
 )
 def fill_missing_count(spark: SparkSession, folder: str) -> DataFrame:
-    joined = enrich.join_activity(proxies.incidents(spark, folder), proxies.activity(spark, folder))
+    activity = staged(proxies.activity(spark, folder), "activity")
+    joined = enrich.join_activity(proxies.incidents(spark, folder), activity)
     return enrich.fill_missing_count(joined).select("year", "country", "evt_count")
 
 
@@ -76,7 +78,8 @@ def fill_missing_count(spark: SparkSession, folder: str) -> DataFrame:
     "from incidents i left join activity on year = g_year and country = g_country",
 )
 def drop_join_keys(spark: SparkSession, folder: str) -> DataFrame:
-    return enrich.join_activity(proxies.incidents(spark, folder), proxies.activity(spark, folder))
+    activity = staged(proxies.activity(spark, folder), "activity")
+    return enrich.join_activity(proxies.incidents(spark, folder), activity)
 
 
 @query("tag_split", "select doc_id, text, 'train' as split from documents")
@@ -147,7 +150,8 @@ def matched_only(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "records_having_key",
-    "select event_id as step, value as loss from events where event_type <> 'error' and value is not null",
+    "select event_id as step, case when event_id % 10 not in (3, 4) then value end as loss, event_id % 10 not in (3, 4) as is_number "
+    "from events where event_type <> 'error' and (value is not null or event_id % 10 in (3, 4))",
 )
 def records_having_key(spark: SparkSession, folder: str) -> DataFrame:
     return clean.records_having_key(proxies.training_log(spark, folder))
@@ -169,13 +173,21 @@ def code_lookup_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "paired_response_compare",
-    "with base as (select conv_id || '-' || turn as prompt_id, text, turn from conversations where role = 'assistant'), "
-    "tuned as (select prompt_id, turn, 'INCIDENT REPORT — ANSWER | assistant | 1' || chr(10) || chr(10) || text "
-    "|| case when turn > 1 then '' else chr(10) || chr(10) || 'CONTEXT: none' end || chr(10) || chr(10) || 'ASSESSMENT: none' as text from base) "
-    "select b.prompt_id, cast(1 as bigint) as base_n, cast(1 as bigint) as tuned_n, b.text as base_response, t.text as tuned_response, "
-    f"cast({sql.words('b.text')} as double) as base_words, cast({sql.words('t.text')} as double) as tuned_words, "
-    "cast(0 as bigint) as base_layout, cast(case when b.turn > 1 then 0 else 1 end as bigint) as tuned_layout, "
-    f"cast({sql.words('t.text')} - {sql.words('b.text')} as double) as words_delta from base b join tuned t on b.prompt_id = t.prompt_id",
+    "with answers as (select conv_id, conv_id || '-' || turn as prompt_id, text, turn from conversations where role = 'assistant'), "
+    "base_rows as (select prompt_id, text from answers where conv_id % 9 <> 2 union all "
+    "select prompt_id, text || ' again' from answers where conv_id % 5 = 1), "
+    f"base as (select prompt_id, count(*) as n, min(text) as text, avg({sql.words('text')}) as words from base_rows group by 1), "
+    "tuned_rows as (select prompt_id, turn, 'INCIDENT REPORT — ANSWER | assistant | 1' || chr(10) || chr(10) || text "
+    "|| case when turn > 1 then '' else chr(10) || chr(10) || 'CONTEXT: none' end || chr(10) || chr(10) || 'ASSESSMENT: none' as text "
+    "from answers where conv_id % 9 <> 4), "
+    f"tuned as (select prompt_id, count(*) as n, min(text) as text, avg({sql.words('text')}) as words, "
+    "count(*) filter (turn <= 1) as layout from tuned_rows group by 1) "
+    "select coalesce(b.prompt_id, t.prompt_id) as prompt_id, cast(coalesce(b.n, 0) as bigint) as base_n, "
+    "cast(coalesce(t.n, 0) as bigint) as tuned_n, b.text as base_response, t.text as tuned_response, "
+    "cast(b.words as double) as base_words, cast(t.words as double) as tuned_words, cast(0 as bigint) as base_layout, "
+    "cast(coalesce(t.layout, 0) as bigint) as tuned_layout, cast(t.words - b.words as double) as words_delta, "
+    "case when b.n is null then 'tuned' when t.n is null then 'base' else 'both' end as answered_by "
+    "from base b full join tuned t on b.prompt_id = t.prompt_id",
 )
 def paired_response_compare(spark: SparkSession, folder: str) -> DataFrame:
     return compare.paired_response_compare(*proxies.responses(spark, folder))

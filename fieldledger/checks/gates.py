@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldledger.checks import proxies, sql
 from fieldledger.checks.registry import query
-from fieldledger.operators import chat, profile, quality, records
+from fieldledger.operators import chat, clean, profile, quality, records
 from fieldledger.scratch import scratch_path, staged
 
 
@@ -38,7 +38,7 @@ def min_column_count_gate(spark: SparkSession, folder: str) -> DataFrame:
     line = F.concat(F.col("event_id").cast("string"), F.lit("\t"), F.translate("props", " ", "\t"), more)
     path = scratch_path(spark, "log-lines")
     events.select(line.alias("value")).write.text(path)
-    return quality.width_distribution(spark.read.text(path))
+    return quality.min_column_count_gate(staged(quality.width_distribution(spark.read.text(path)), "widths"))
 
 
 @query(
@@ -63,14 +63,17 @@ def required_fields_gate(spark: SparkSession, folder: str) -> DataFrame:
 )
 def non_empty_gate(spark: SparkSession, folder: str) -> DataFrame:
     activity = quality.non_empty_gate(staged(proxies.activity(spark, folder), "activity"), "activity")
-    incidents = quality.non_empty_gate(proxies.incidents(spark, folder), "incidents")
-    stages = {
-        "incidents": incidents,
-        "activity": activity,
-        "joined": proxies.enrich_left(incidents, activity),
-        "formatted": records.format_incident_records(proxies.enrich_left(incidents, activity)),
-    }
-    return quality.stage_gate(profile.stage_counts(stages))
+    raw = proxies.incidents_raw(spark, folder)
+    joined = proxies.enrich_left(clean.clean_incidents(raw), activity)
+    lines = staged(records.format_incident_records(joined).select("value"), "lines")
+    return quality.stage_gate(
+        profile.stage_counts(
+            (raw, {"incidents": clean.cleaning_flags(raw)["cleaned"]}),
+            (activity, {"activity": None}),
+            (joined, {"joined": None}),
+            (lines, {"formatted": F.col("value").isNotNull()}),
+        )
+    )
 
 
 @query(
@@ -102,8 +105,9 @@ def doubled_terminator_check(spark: SparkSession, folder: str) -> DataFrame:
     "cast(count(*) filter (tuned and turn <= 1) as bigint) as n_context, cast(count(*) filter (tuned) as bigint) as n_assessment, "
     "cast(count(*) filter (tuned and turn <= 1) as bigint) as n_layout, "
     "cast(floor(100 * count(*) filter (tuned and turn <= 1) / count(*)) as bigint) as layout_pct from ("
-    "select turn, false as tuned, 'base' as label from conversations where role = 'assistant' union all "
-    "select turn, true, 'tuned' from conversations where role = 'assistant') group by label",
+    "select turn, false as tuned, 'base' as label from conversations where role = 'assistant' and conv_id % 9 <> 2 union all "
+    "select turn, false, 'base' from conversations where role = 'assistant' and conv_id % 5 = 1 union all "
+    "select turn, true, 'tuned' from conversations where role = 'assistant' and conv_id % 9 <> 4) group by label",
 )
 def report_layout_check(spark: SparkSession, folder: str) -> DataFrame:
     base, tuned = proxies.responses(spark, folder)
@@ -118,4 +122,4 @@ def report_layout_check(spark: SparkSession, folder: str) -> DataFrame:
     "from doc_splits group by 1",
 )
 def max_length_check(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.max_length_check(records.union_splits(proxies.document_splits(spark, folder)))
+    return quality.max_length_check(proxies.document_splits(spark, folder))

@@ -21,6 +21,9 @@ from fieldledger.sources.readers import spread
 YEARS = (1996, 1997, 1998)
 RAW_COLUMNS = [name for name in fv.INCIDENT_COLUMNS if name != "summary"]
 LOG_WIDTH = 8
+TASKS = 8
+#: The splits, and one that no row falls into.
+FRACTIONS = {**fv.SPLIT_FRACTIONS, "holdout": 0.0}
 LINE_KEY = ["instruction", "output"]
 
 
@@ -29,14 +32,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents"))
+    return table(spark, folder, "documents")
 
 
 def incidents_raw(spark: SparkSession, folder: str) -> DataFrame:
+    # The test table is one file with one row group.
     lines = spread(
         table(spark, folder, "lineitem").select(
             "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"
-        )
+        ),
+        TASKS,
     )
     suppliers = table(spark, folder, "supplier")
     nations = table(spark, folder, "nation")
@@ -156,17 +161,23 @@ def damaged_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def training_log(spark: SparkSession, folder: str) -> DataFrame:
-    """JSON log lines: `step`, and `loss` unless the event is an error."""
+    """JSON log lines: `step`, and `loss` unless the event is an error; some are null or no number."""
     events = table(spark, folder, "events")
-    loss = F.when(F.col("event_type") != "error", F.col("value"))
-    return events.select(
-        F.to_json(F.struct(F.col("event_id").alias("step"), loss.alias("loss"))).alias("value")
+    number = F.to_json(F.struct(F.col("event_id").alias("step"), F.col("value").alias("loss")))
+    step = F.to_json(F.struct(F.col("event_id").alias("step")))
+    head = F.substring(step, F.lit(1), F.length(step) - F.lit(1))
+    line = (
+        F.when(F.col("event_type") == "error", step)
+        .when(F.col("event_id") % 10 == 3, F.concat(head, F.lit(', "loss": null}')))
+        .when(F.col("event_id") % 10 == 4, F.concat(head, F.lit(', "loss": "n/a"}')))
+        .otherwise(number)
     )
+    return events.select(line.alias("value"))
 
 
-def document_splits(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    docs = hash_split(documents(spark, folder), ["doc_id"])
-    return {s: docs.filter(F.col("split") == s).drop("split") for s in fv.SPLIT_FRACTIONS}
+def document_splits(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents with their split, from one scan."""
+    return hash_split(documents(spark, folder), ["doc_id"], FRACTIONS)
 
 
 def context_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,6 +196,17 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "conversations")
 
 
+def broken_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The messages, some without text and some without role."""
+    place = F.col("conv_id") + F.col("turn")
+    return messages(spark, folder).select(
+        "conv_id",
+        "turn",
+        F.when(place % 17 != 4, F.col("role")).alias("role"),
+        F.when(place % 13 != 5, F.col("text")).alias("text"),
+    )
+
+
 def message_arrays(records: DataFrame) -> DataFrame:
     return records.withColumn(
         "messages", message_list(F.col("system"), F.col("instruction"), F.col("output"))
@@ -192,10 +214,15 @@ def message_arrays(records: DataFrame) -> DataFrame:
 
 
 def responses(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Assistant messages as base answers, and the same in the report layout as tuned answers."""
+    """Assistant messages as base answers, and the same in the report layout as tuned answers.
+
+    Some prompts have two base answers, some are answered by one side only.
+    """
     answers = messages(spark, folder).filter(F.col("role") == "assistant")
     prompt = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("prompt_id")
-    base = answers.select(prompt, F.col("text").alias("response"))
+    conv = F.col("conv_id")
+    again = answers.filter(conv % 5 == 1).select(prompt, F.concat("text", F.lit(" again")).alias("response"))
+    base = answers.filter(conv % 9 != 2).select(prompt, F.col("text").alias("response")).unionByName(again)
     report = F.concat(
         F.lit("INCIDENT REPORT — ANSWER | "),
         F.col("role"),
@@ -204,4 +231,4 @@ def responses(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
         F.when(F.col("turn") > 1, "").otherwise("\n\nCONTEXT: none"),
         F.lit("\n\nASSESSMENT: none"),
     )
-    return base, answers.select(prompt, report.alias("response"))
+    return base, answers.filter(conv % 9 != 4).select(prompt, report.alias("response"))

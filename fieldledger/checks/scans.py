@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,27 +84,33 @@ def scan_text_lines(spark: SparkSession, folder: str) -> DataFrame:
     found, report = readers.scan_text_lines(
         spark, written_splits(spark, folder), ["train", "val", "test", "holdout"]
     )
-    counts = profile.split_counts(records.union_splits(found)).withColumnRenamed("n_rows", "n_lines")
+    counts = profile.split_counts(records.union_splits(found), splits=()).withColumnRenamed("n_rows", "n_lines")
     return report.join(F.broadcast(counts), "split", "left").fillna(0, ["n_lines"])
 
 
 @query(
     "scan_jsonl_records",
-    f"with {sql.REPORTS} select system, instruction, '' as input, output, cast(null as varchar) as _corrupt_record from reports",
+    f"with {sql.DAMAGED} select cast(null as varchar) as system, case when sound then instruction end as instruction, "
+    "cast(null as varchar) as input, case when sound then output end as output, not sound as is_corrupt "
+    "from (select *, kind not in (0, 1, 2, 4, 7) as sound from decoded)",
 )
 def scan_jsonl_records(spark: SparkSession, folder: str) -> DataFrame:
-    path = written_splits(spark, folder)
-    return readers.scan_jsonl_records(spark, [f"{path}/{split}.jsonl" for split in fv.SPLIT_FRACTIONS])
+    path = scratch_path(spark, "damaged")
+    # Only lines that are no JSON have line feeds of their own.
+    proxies.damaged_lines(spark, folder).select(F.translate("value", "\n", " ")).write.text(path)
+    read = readers.scan_jsonl_records(spark, path)
+    return read.select(*fv.RECORD_KEYS, F.col(readers.CORRUPT).isNotNull().alias("is_corrupt"))
 
 
 @query(
     "scan_part_files",
-    f"with {sql.SPLIT_REPORTS} select cast(count(*) as bigint) as n_rows, true as has_files, true as only_part_files "
-    "from split_reports where split = 'train'",
+    f"with {sql.SPLIT_REPORTS} select split, cast(count(*) as bigint) as n_rows, true as has_files, true as only_part_files "
+    "from split_reports group by 1",
 )
 def scan_part_files(spark: SparkSession, folder: str) -> DataFrame:
-    lines = readers.scan_part_files(spark, f"{written_splits(spark, folder)}/train.jsonl")
-    return lines.agg(
+    path = written_splits(spark, folder)
+    parts = {s: readers.scan_part_files(spark, f"{path}/{s}.jsonl") for s in fv.SPLIT_FRACTIONS}
+    return records.union_splits(parts).groupBy("split").agg(
         F.count("*").alias("n_rows"),
         (F.count_distinct("file_name") >= 1).alias("has_files"),
         F.bool_and(F.col("file_name").startswith("part-")).alias("only_part_files"),
@@ -154,9 +162,10 @@ def sink_verify_readback(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "sink_profile_tables",
     f"with {sql.TAGGED}, "
-    "bins as (select cast(least(token_len // 25, 31) as int) as bin, count(*) as n from tagged where token_len <= 800 group by 1) "
+    "bins as (select cast(case when token_len > 800 then 32 else least(token_len // 25, 31) end as int) as bin, count(*) as n from tagged group by 1) "
     "select 'histogram' as \"table\", cast(b as varchar) as entry, cast(coalesce(n, 0) as bigint) as n_rows "
-    "from range(32) r(b) left join bins on bin = b "
+    "from range(33) r(b) left join bins on bin = b "
+    "union all select 'kinds', 'ok', count(*) from tagged "
     "union all select 'labels', label, count(*) from tagged group by 2 "
     "union all select 'splits', split, count(*) from tagged group by 2",
 )
@@ -164,7 +173,7 @@ def sink_profile_tables(spark: SparkSession, folder: str) -> DataFrame:
     rows = records.profile_rows(proxies.record_lines(spark, folder))
     counts = staged(profile.profile_counts(rows), "profile-counts")
     path = scratch_path(spark, "profile")
-    names = {"histogram": "bin", "labels": "label", "splits": "split"}
+    names = {"histogram": "bin", "kinds": "kind", "labels": "label", "splits": "split"}
     tables = profile.profile_tables(counts)
     writers.sink_profile_tables({name: tables[name] for name in names}, path)
     read = [
@@ -173,7 +182,7 @@ def sink_profile_tables(spark: SparkSession, folder: str) -> DataFrame:
         )
         for name, column in names.items()
     ]
-    return read[0].unionByName(read[1]).unionByName(read[2])
+    return reduce(DataFrame.unionByName, read)
 
 
 @query(

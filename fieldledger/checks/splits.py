@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldledger import fixed_values as fv
@@ -30,23 +32,30 @@ def bounded_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "random_split",
-    "select cast(count(*) as bigint) as n_rows, cast(count(*) as bigint) as n_split, true as disjoint, true as exhaustive from documents",
+    "select cast(count(*) as bigint) as n_rows, cast(count(*) as bigint) as n_split, true as disjoint, true as exhaustive, "
+    "true as near_fractions from documents",
 )
 def random_split(spark: SparkSession, folder: str) -> DataFrame:
-    docs = staged(proxies.table(spark, folder, "documents").select("doc_id", "text"), "documents")
-    parts = splits.random_split(docs, fv.SPLIT_FRACTIONS)
+    docs = proxies.table(spark, folder, "documents")
+    drawn = staged(splits.random_split(docs.select("doc_id"), fv.SPLIT_FRACTIONS), "drawn")
     per_doc = (
-        records.union_splits(parts)
-        .select("doc_id", F.lit(1).alias("taken"), F.lit(0).alias("given"))
-        .unionByName(docs.select("doc_id", F.lit(0).alias("taken"), F.lit(1).alias("given")))
+        drawn.select("doc_id", "split", F.lit(1).alias("taken"), F.lit(0).alias("given"))
+        .unionByName(docs.select("doc_id", F.lit(None).cast("string").alias("split"), F.lit(0).alias("taken"), F.lit(1).alias("given")))
         .groupBy("doc_id")
-        .agg(F.sum("taken").alias("taken"), F.sum("given").alias("given"))
+        .agg(F.sum("taken").alias("taken"), F.sum("given").alias("given"), F.max("split").alias("split"))
     )
+    rows = F.count("*")
+    # Within five standard deviations of a Bernoulli draw.
+    near = [
+        F.abs(F.count_if(F.col("split") == name) - rows * f) <= 5 * F.sqrt(rows * f * (1 - f))
+        for name, f in fv.SPLIT_FRACTIONS.items()
+    ]
     return per_doc.agg(
         F.sum("given").alias("n_rows"),
         F.sum("taken").alias("n_split"),
         F.bool_and(F.col("taken") <= F.col("given")).alias("disjoint"),
         F.bool_and(F.col("taken") >= F.col("given")).alias("exhaustive"),
+        reduce(Column.__and__, near).alias("near_fractions"),
     )
 
 
@@ -80,4 +89,7 @@ def persist_stage(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("union_splits", f"with {sql.DOC_SPLITS} select split, doc_id, text, lang, source, n_chars from doc_splits")
 def union_splits(spark: SparkSession, folder: str) -> DataFrame:
-    return records.union_splits(proxies.document_splits(spark, folder))
+    path = scratch_path(spark, "split-folders")
+    proxies.document_splits(spark, folder).write.partitionBy("split").parquet(path)
+    parts = {s: spark.read.parquet(f"{path}/split={s}") for s in fv.SPLIT_FRACTIONS}
+    return records.union_splits(parts)

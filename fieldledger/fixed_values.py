@@ -18,7 +18,6 @@ INCIDENT_COLUMNS = {
 }
 OPTIONAL_INCIDENT_COLUMNS = ("summary",)
 UNKNOWN = "Unknown"
-MAX_RECORDS = 200_000
 
 # Activity log layout (zero-based positions in a headerless TSV).
 ACTIVITY_WIDTH = 57

@@ -92,6 +92,14 @@ class DecodedRecord:
     def has_key(self, key: str) -> Column:
         return self.is_object & self._kind(key).isNotNull()
 
+    def number(self, key: str) -> Column:
+        """The value as a double, or NULL where it is none; numbers in quotes count."""
+        return F.when(self.is_object, F.try_variant_get(self._record[key], "$", "double"))
+
+    def given_text(self, key: str) -> Column:
+        """The string of the key; NULL where the key is missing or holds something else."""
+        return F.when(self.has_key(key), self.text(key))
+
     def text(self, key: str) -> Column:
         value = F.try_variant_get(self._record[key], "$", "string")
         return F.when(self.has_text_or_nothing(key), F.coalesce(value, F.lit("")))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from fieldledger import fixed_values as fv
 from fieldledger.functions.casts import strip
 
-_WORD = r"(?U)[^\s\x1c-\x1f]+"
+_WORD = r"(?U)[^\s\x1c-\x1f]++"
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
 
 

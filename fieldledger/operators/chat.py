@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldledger.functions.chat import (
@@ -15,7 +15,7 @@ from fieldledger.functions.chat import (
 )
 from fieldledger.functions.report import ReportTemplate
 
-MAX_TURNS_PER_TEXT = 1024
+NO_ROLE = "unknown"
 
 
 def chat_render_single(
@@ -38,36 +38,42 @@ def build_message_list(df: DataFrame, system: str | None, user: str, assistant:
     return df.withColumn("messages", message_list(column(system), column(user), column(assistant)))
 
 
+def _filled(role: Column, text: Column) -> tuple[Column, Column, Column]:
+    """Role and text with something in place of NULL, and whether something was."""
+    missing = role.isNull() | text.isNull()
+    return F.coalesce(role, F.lit(NO_ROLE)), F.coalesce(text, F.lit("")), missing
+
+
+def chat_render_messages(messages: DataFrame, template: ChatTemplate = CONVERSATION_CHAT) -> DataFrame:
+    """Every message `(conv_id, turn, role, text)` with its chat text in `piece`; no shuffle.
+
+    Pieces in order of `turn`, after the opening marker, are the conversation's text. A
+    message without text, or without a role, is kept with an empty text or the role
+    `unknown`, and marked in `filled`.
+    """
+    role, text, filled = _filled(F.col("role"), F.col("text"))
+    return messages.select("conv_id", "turn", template.message(role, text).alias("piece"), filled.alias("filled"))
+
+
 def chat_render_multi_turn(
-    messages: DataFrame,
-    template: ChatTemplate = CONVERSATION_CHAT,
-    generation_prompt: bool = False,
-    max_turns: int = MAX_TURNS_PER_TEXT,
+    messages: DataFrame, template: ChatTemplate = CONVERSATION_CHAT, generation_prompt: bool = False
 ) -> DataFrame:
-    """Chat text of every conversation, from `(conv_id, turn, role, text)`.
+    """One chat text per conversation, from `(conv_id, turn, role, text)`.
 
-    `turn` is the message's place in its conversation, from 0; copies of a
-    message in its place are one message. A conversation of up to `max_turns`
-    messages is one row with part 0. A longer one has several rows; its texts in
-    order of `part` make up the whole, so a conversation of any length is spread
-    over tasks instead of gathered in one.
+    `turn` is the message's place in its conversation; copies of a message in its place
+    are one message. `n_filled` counts messages that had no text or no role. A text
+    holds its whole conversation; `chat_render_messages` has the same pieces for
+    conversations that are too long for one row.
     """
-    part = F.floor(F.col("turn") / max_turns)
-    segment = F.struct("turn", template.message(F.col("role"), F.col("text")).alias("piece"))
-    gathered = messages.groupBy("conv_id", part.alias("part")).agg(F.collect_set(segment).alias("pieces"))
+    pieces = chat_render_messages(messages, template)
+    gathered = pieces.groupBy("conv_id").agg(F.collect_set(F.struct("turn", "piece", "filled")).alias("pieces"))
     body = F.array_join(F.transform(F.array_sort("pieces"), lambda m: m.piece), "")
-    begin = F.when(F.col("part") == 0, template.begin).otherwise("")
-    begun = gathered.select(
-        "conv_id", "part", F.size("pieces").alias("n_turns"), F.concat(begin, body).alias("text")
-    )
-    if not generation_prompt:
-        return begun
-    last = messages.groupBy("conv_id").agg(F.max(part).alias("part")).withColumn("_last", F.lit(True))
-    prompt = template.opening(F.lit("assistant"))
-    return (
-        begun.join(last, ["conv_id", "part"], "left")
-        .withColumn("text", F.when(F.col("_last"), F.concat("text", prompt)).otherwise(F.col("text")))
-        .drop("_last")
+    ending = [template.opening(F.lit("assistant"))] if generation_prompt else []
+    return gathered.select(
+        "conv_id",
+        F.size("pieces").alias("n_turns"),
+        F.size(F.filter("pieces", lambda m: m.filled)).alias("n_filled"),
+        F.concat(F.lit(template.begin), body, *ending).alias("text"),
     )
 
 
@@ -76,14 +82,42 @@ def sft_pairs(messages: DataFrame) -> DataFrame:
 
     Both fall into one group by conversation and the user's turn, so the messages
     are read and shuffled once, a long conversation is spread like any other
-    rows, and copies of a message in its place never multiply.
+    rows, and copies of a message in its place never multiply. Of several texts in one
+    place the smallest is taken; `n_prompts` and `n_responses` count them. What came
+    before a pair is named by (conv_id, turn) and rendered by `sft_prompts` on demand.
     """
     role, turn, text = F.col("role"), F.col("turn"), F.col("text")
     prompt, response = F.when(role == "user", text), F.when(role == "assistant", text)
     asked = F.when(role == "assistant", turn - 1).otherwise(turn)
-    pairs = (
+    sides = (
         messages.filter(role.isin("user", "assistant"))
         .groupBy("conv_id", asked.alias("turn"))
-        .agg(F.max(prompt).alias("prompt"), F.max(response).alias("response"))
+        .agg(F.collect_set(prompt).alias("prompts"), F.collect_set(response).alias("responses"))
+    )
+    pairs = sides.filter((F.size("prompts") > 0) & (F.size("responses") > 0))
+    return pairs.select(
+        "conv_id",
+        "turn",
+        F.array_min("prompts").alias("prompt"),
+        F.array_min("responses").alias("response"),
+        F.size("prompts").alias("n_prompts"),
+        F.size("responses").alias("n_responses"),
     )
-    return pairs.filter(F.col("prompt").isNotNull() & F.col("response").isNotNull())
+
+
+def sft_prompts(
+    pairs: DataFrame, messages: DataFrame, template: ChatTemplate = CONVERSATION_CHAT
+) -> DataFrame:
+    """The chosen pairs with all messages up to the user's, system and history, as `messages_text`.
+
+    Every pair repeats its history, so the result grows with the square of a long
+    conversation: pass the pairs that are wanted.
+    """
+    wanted = pairs.select("conv_id", F.col("turn").alias("upto"), "response")
+    before = chat_render_messages(messages, template).join(wanted, "conv_id").filter("turn <= upto")
+    gathered = before.groupBy("conv_id", "upto", "response").agg(
+        F.collect_set(F.struct("turn", "piece")).alias("pieces")
+    )
+    body = F.array_join(F.transform(F.array_sort("pieces"), lambda m: m.piece), "")
+    text = F.concat(F.lit(template.begin), body, template.opening(F.lit("assistant")))
+    return gathered.select("conv_id", F.col("upto").alias("turn"), text.alias("messages_text"), "response")

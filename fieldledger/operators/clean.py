@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldledger import fixed_values as fv
 from fieldledger.functions.casts import double_or_zero, lenient_year, year_prefix
+from fieldledger.functions.records import decoded
 
 KEY_FIELDS = ("year", "country", "attack_type")
 
@@ -75,6 +76,21 @@ def clean_incidents(raw: DataFrame, mapping: Mapping[str, str] = fv.INCIDENT_COL
     )
 
 
+def cleaning_flags(
+    raw: DataFrame, mapping: Mapping[str, str] = fv.INCIDENT_COLUMNS, sentinel: str = fv.UNKNOWN
+) -> dict[str, Column]:
+    """Conditions on raw incidents: what `clean_incidents` keeps, and what it replaces by 0."""
+    source = {new: F.col(old) for old, new in mapping.items()}
+    keys = (lenient_year(source["year"]).isNotNull(), source["country"].isNotNull(), source["attack_type"] != sentinel)
+    flags = {"cleaned": F.coalesce(keys[0] & keys[1] & keys[2], F.lit(False))}
+    for name in ("kills", "wounds"):
+        given = source[name].try_cast("double")
+        finite = F.coalesce(F.abs(given) < float("inf"), F.lit(False))
+        flags[f"{name}_missing"] = flags["cleaned"] & source[name].isNull()
+        flags[f"{name}_replaced"] = flags["cleaned"] & source[name].isNotNull() & ~finite
+    return flags
+
+
 def activity_rows(
     log: DataFrame,
     years: Sequence[int] = fv.ACTIVITY_YEARS,
@@ -91,9 +107,12 @@ def activity_rows(
 
 
 def records_having_key(lines: DataFrame, key: str = "loss", step: str = "step", column: str = "value") -> DataFrame:
-    """Step and key of the JSON log lines that hold the key."""
-    found = F.get_json_object(F.col(column), f"$.{key}")
-    return lines.filter(found.isNotNull()).select(
-        F.get_json_object(F.col(column), f"$.{step}").try_cast("bigint").alias(step),
-        found.try_cast("double").alias(key),
+    """Step and key of the JSON log lines that hold the key, whatever its value.
+
+    A null or a value that is no number gives NULL; `is_number` tells which rows have one.
+    """
+    parsed, record = decoded(lines, column, (key, step))
+    number = record.number(key)
+    return parsed.filter(record.has_key(key)).select(
+        record.number(step).try_cast("bigint").alias(step), number.alias(key), number.isNotNull().alias("is_number")
     )

@@ -33,9 +33,14 @@ def paired_response_compare(
     Each side is first folded to one row per prompt, which shows how many
     responses it had, their mean length, how many have the report layout, and
     the first of them. So a prompt that is repeated on both sides never makes
-    pairs of all its responses.
+    pairs of all its responses. A prompt that only one side answered has count 0 and
+    no measures on the other, and no delta.
     """
     left, right = _per_prompt(base, "base", template), _per_prompt(tuned, "tuned", template)
-    return left.join(right, "prompt_id", "inner").withColumn(
-        "words_delta", F.col("tuned_words") - F.col("base_words")
+    both = left.join(right, "prompt_id", "full")
+    return both.fillna(0, ["base_n", "tuned_n", "base_layout", "tuned_layout"]).withColumns(
+        {
+            "words_delta": F.col("tuned_words") - F.col("base_words"),
+            "answered_by": F.when(F.col("base_n") == 0, "tuned").when(F.col("tuned_n") == 0, "base").otherwise("both"),
+        }
     )

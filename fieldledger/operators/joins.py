@@ -35,8 +35,9 @@ def join_dimension(
     The dimension's size is measured. Up to `max_rows` it is broadcast and the
     facts are not shuffled. Beyond, both sides are shuffled on the key and a
     salt, so that one key with a large share of the facts meets `salts` tasks
-    instead of one. The salt is the number of the fact's partition, which a
-    repeated task gives again.
+    instead of one. The salt comes from the fact's content and the number of its
+    partition: a repeated task gives it again, and facts that are already dealt out
+    by their key are spread as well.
     """
     if is_small(dimension, max_rows):
         return facts.join(F.broadcast(dimension), list(on), how)
@@ -46,6 +47,6 @@ def join_dimension(
 def salted_join(
     facts: DataFrame, dimension: DataFrame, on: Sequence[str], how: str, salts: int = SALTS
 ) -> DataFrame:
-    salted = facts.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
+    salted = facts.withColumn(_SALT, F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(salts)).cast("int"))
     copies = dimension.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, _SALT], how).drop(_SALT)

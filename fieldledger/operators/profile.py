@@ -6,7 +6,7 @@ count column as `weight`, and one pass over the data serves all of them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,7 +29,8 @@ def profile_counts(rows: DataFrame) -> DataFrame:
     Stage the result before making more than one table from it. A filter on it
     would otherwise be moved below the parsing, and parse every line again.
     """
-    return rows.groupBy("split", "label", "token_len", "parsed").agg(F.count("*").alias(WEIGHT))
+    keys = "split", "label", "token_len", "parsed", "kind", "has_layout"
+    return rows.groupBy(*keys).agg(F.count("*").alias(WEIGHT))
 
 
 def label_balance(df: DataFrame, label: str = "label", weight: str | None = None) -> DataFrame:
@@ -46,17 +47,36 @@ def head_preview(df: DataFrame, key: list[str], text: str, rows: int, width: int
     return df.orderBy(*key).limit(rows).withColumn(text, F.substring(text, 1, width))
 
 
-def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per stage. Pass staged tables: each is counted by a scan of its own."""
-    counts = [
-        df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
-        for name, df in stages.items()
+def stage_counts(*passes: tuple[DataFrame, Mapping[str, Column | None]]) -> DataFrame:
+    """Rows per stage: for each table, the rows that each stage's condition holds for.
+
+    One pass per table; a stage without a condition is all of its rows.
+    """
+    counted = [
+        df.agg(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(name).alias("stage"),
+                        (F.count("*") if holds is None else F.count_if(holds)).alias("n_rows"),
+                    )
+                    for name, holds in stages.items()
+                ]
+            ).alias("entries")
+        ).select(F.inline("entries"))
+        for df, stages in passes
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, counted)
 
 
-def split_counts(df: DataFrame, weight: str | None = None) -> DataFrame:
-    return df.groupBy("split").agg(_rows(weight).alias("n_rows"))
+def split_counts(
+    df: DataFrame, weight: str | None = None, splits: Sequence[str] = tuple(fv.SPLIT_FRACTIONS)
+) -> DataFrame:
+    """Rows of every split, also of an empty one and of one that is not listed."""
+    counts = df.groupBy("split").agg(_rows(weight).alias("n_rows"))
+    none = F.lit(0).cast("bigint").alias("n_rows")
+    listed = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, splits))).alias("split"), none)
+    return counts.unionByName(listed).groupBy("split").agg(F.sum("n_rows").alias("n_rows"))
 
 
 def _with_total(counts: DataFrame) -> DataFrame:
@@ -64,10 +84,13 @@ def _with_total(counts: DataFrame) -> DataFrame:
     return counts.withColumn("total", F.sum("n_rows").over(Window.partitionBy()))
 
 
-def split_shares(df: DataFrame, weight: str | None = None) -> DataFrame:
+def split_shares(
+    df: DataFrame, weight: str | None = None, splits: Sequence[str] = tuple(fv.SPLIT_FRACTIONS)
+) -> DataFrame:
     """Rows and rounded percentage per split."""
-    counts = _with_total(split_counts(df, weight))
-    return counts.select("split", "n_rows", whole_percent(F.col("n_rows"), F.col("total")).alias("share"))
+    counts = _with_total(split_counts(df, weight, splits))
+    share = whole_percent(F.col("n_rows"), F.greatest("total", F.lit(1)))
+    return counts.select("split", "n_rows", share.alias("share"))
 
 
 def estimated_split_sizes(
@@ -75,7 +98,7 @@ def estimated_split_sizes(
 ) -> DataFrame:
     """Rows per split beside the size that the fraction of the total suggests."""
     fraction = F.coalesce(*[F.when(F.col("split") == name, float(f)) for name, f in fractions.items()])
-    counts = _with_total(split_counts(df, weight))
+    counts = _with_total(split_counts(df, weight, tuple(fractions)))
     return counts.select("split", "n_rows", (F.col("total") * fraction).cast("bigint").alias("estimated"))
 
 
@@ -85,14 +108,15 @@ def training_schedule(
     accumulation: int = fv.GRADIENT_ACCUMULATION,
     max_steps: int = fv.MAX_STEPS,
     weight: str | None = None,
+    splits: Sequence[str] = tuple(fv.SPLIT_FRACTIONS),
 ) -> DataFrame:
-    """Steps per epoch and epochs covered by `max_steps`, per split."""
+    """Steps per epoch and epochs covered by `max_steps`, per split; no epochs of no rows."""
     per_epoch = F.col("n_rows") / F.lit(batch * accumulation)
-    return split_counts(df, weight).select(
+    return split_counts(df, weight, splits).select(
         "split",
         "n_rows",
         per_epoch.alias("steps_per_epoch"),
-        F.round(F.lit(max_steps) / per_epoch, 2).alias("effective_epochs"),
+        F.round(F.lit(max_steps) / F.nullif(per_epoch, F.lit(0.0)), 2).alias("effective_epochs"),
     )
 
 
@@ -103,16 +127,24 @@ def token_length_histogram(
     cap: int = fv.TOKEN_CAP,
     weight: str | None = None,
 ) -> DataFrame:
-    """Rows per bin of lengths up to the cap; the last bin is closed, empty bins are there."""
+    """Rows per bin of lengths, empty bins included; the bins hold every row with a length.
+
+    The last bin below the cap holds the cap itself. One more bin, without an upper end,
+    holds the lengths beyond it.
+    """
+    if cap % width:
+        raise ValueError(f"the cap {cap} is no multiple of the width {width}")
     bins = cap // width
-    number = F.least(F.floor(F.col(length) / width), F.lit(bins - 1)).cast("int")
-    counts = df.filter(F.col(length) <= cap).groupBy(number.alias("bin")).agg(_rows(weight).alias("n_rows"))
-    every = df.sparkSession.range(0, bins, 1, 1).select(F.col("id").cast("int").alias("bin"))
+    within = F.least(F.floor(F.col(length) / width), F.lit(bins - 1))
+    number = F.when(F.col(length) > cap, bins).otherwise(within).cast("int")
+    given = df.filter(F.col(length).isNotNull())
+    counts = given.groupBy(number.alias("bin")).agg(_rows(weight).alias("n_rows"))
+    every = df.sparkSession.range(0, bins + 1, 1, 1).select(F.col("id").cast("int").alias("bin"))
     # `counts` has one row per bin, whatever the data.
     return every.join(F.broadcast(counts), "bin", "left").select(
         "bin",
         (F.col("bin") * width).alias("from_len"),
-        ((F.col("bin") + 1) * width).alias("to_len"),
+        F.when(F.col("bin") < bins, (F.col("bin") + 1) * width).alias("to_len"),
         F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
     )
 
@@ -180,4 +212,9 @@ def profile_tables(counts: DataFrame) -> dict[str, DataFrame]:
         "top_labels": top_k_labels(label_balance(parsed, weight=WEIGHT)),
         "splits": split_shares(counts, weight=WEIGHT),
         "summary": dataset_summary(counts),
+        "kinds": counts.groupBy("kind").agg(_rows(WEIGHT).alias("n_rows")),
+        "layout": parsed.groupBy("label").agg(
+            _rows(WEIGHT).alias("n_rows"),
+            F.coalesce(F.sum(F.when(F.col("has_layout"), F.col(WEIGHT))), F.lit(0)).alias("n_layout"),
+        ),
     }

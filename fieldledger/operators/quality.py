@@ -29,11 +29,13 @@ def schema_presence_report(
 ) -> DataFrame:
     """Expected columns: required, present, and rows that fill them. One pass for all.
 
-    Raises `MissingColumnsError` if none of them is there. Without
-    `count_filled` the table comes from the header alone, and no row is read.
+    Raises `MissingColumnsError` with the names of required columns that are not
+    there. Without `count_filled` the table comes from the header alone, and no row
+    is read.
     """
-    if not any(name in df.columns for name in mapping):
-        raise MissingColumnsError(f"none of {list(mapping)} in {df.columns[:20]}")
+    missing = [name for name, target in mapping.items() if target not in optional and name not in df.columns]
+    if missing:
+        raise MissingColumnsError(f"missing {missing} in {df.columns[:20]}")
     if not count_filled:
         rows = [(name, target, target not in optional, name in df.columns) for name, target in mapping.items()]
         return df.sparkSession.createDataFrame(rows, "column string, target string, required boolean, present boolean")
@@ -50,14 +52,14 @@ def schema_presence_report(
     return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
 
-def min_column_count_gate(
-    lines: DataFrame, least: int = fv.ACTIVITY_MIN_WIDTH, delimiter: str = "\t", column: str = "value"
-) -> None:
-    """Raise `MissingColumnsError` unless the first line has enough delimited fields."""
-    first = lines.select(_width(column, delimiter).alias("n")).first()
-    width = first.n if first else 0
-    if width < least:
-        raise MissingColumnsError(f"{width} columns, at least {least} needed")
+def min_column_count_gate(widths: DataFrame) -> DataFrame:
+    """`widths`, a staged `width_distribution`, if any of its lines is wide enough.
+
+    Raises `MissingColumnsError` otherwise; too narrow lines are counted in the table.
+    """
+    if widths.filter("wide_enough").isEmpty():
+        raise MissingColumnsError("no line has enough columns")
+    return widths
 
 
 def _width(column: str, delimiter: str) -> Column:

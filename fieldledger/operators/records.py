@@ -12,6 +12,7 @@ from fieldledger.functions.records import decoded, encode_record, encode_record_
 from fieldledger.functions.report import ReportTemplate, instruction_text, report_text
 from fieldledger.functions.text import label_of, word_count
 from fieldledger.operators.clean import KEY_FIELDS, keep_not_null
+from fieldledger.operators.quality import layout_flags
 
 
 def render_reports(enriched: DataFrame, template: ReportTemplate = ReportTemplate()) -> DataFrame:
@@ -59,16 +60,37 @@ def union_splits(splits: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, (tag_split(df, name) for name, df in splits.items()))
 
 
-def profile_rows(lines: DataFrame) -> DataFrame:
+def profile_rows(lines: DataFrame, template: ReportTemplate = ReportTemplate()) -> DataFrame:
     """Split, word count and label of every JSON line; NULL where the line does not give one.
 
     The word count needs both texts, the label only the output. `parsed` marks
-    the rows that have both.
+    the rows that have both, `kind` tells what keeps a line out, and `has_layout`
+    whether the output is a whole report.
     """
     parsed, record = decoded(lines)
-    texts = parsed.select("split", record.text("instruction").alias("i"), record.text("output").alias("o"))
-    return texts.select(
+    texts = parsed.select(
+        "split",
+        record.text("instruction").alias("i"),
+        record.text("output").alias("o"),
+        record.is_json.alias("is_json"),
+        record.is_object.alias("is_object"),
+    )
+    measured = texts.select(
         "split",
         word_count(F.concat("i", F.lit(" "), "o")).alias("token_len"),
         label_of(F.col("o")).alias("label"),
-    ).withColumn("parsed", F.col("token_len").isNotNull() & F.col("label").isNotNull())
+        F.when(~F.col("is_json"), "not_json")
+        .when(~F.col("is_object"), "not_object")
+        .when(F.col("i").isNull() | F.col("o").isNull(), "not_text")
+        .alias("unread"),
+        F.coalesce(layout_flags(F.col("o"), template)["has_layout"], F.lit(False)).alias("has_layout"),
+    )
+    labelled = F.when(F.col("label").isNull(), "no_label").otherwise("ok")
+    return measured.select(
+        "split",
+        "token_len",
+        "label",
+        (F.col("token_len").isNotNull() & F.col("label").isNotNull()).alias("parsed"),
+        F.coalesce("unread", labelled).alias("kind"),
+        "has_layout",
+    )

@@ -30,7 +30,7 @@ def seeded_md5(key: Column, seed: int = fv.SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key))
 
 
-def bounded_sample(df: DataFrame, limit: int = fv.MAX_RECORDS, seed: int = fv.SEED) -> DataFrame:
+def bounded_sample(df: DataFrame, limit: int = 0, seed: int = fv.SEED) -> DataFrame:
     """The `limit` rows with the smallest seeded hash of their content; all rows for 0.
 
     The same rows are kept however the input is partitioned, and the result
@@ -98,18 +98,31 @@ def hash_split(
     seed: int = fv.SEED,
 ) -> DataFrame:
     """Rows with a `split` name; equal keys always share a split. No shuffle."""
-    bucket = split_bucket(row_key(key), seed)
+    return df.withColumn("split", _cut(split_bucket(row_key(key), seed), fractions))
+
+
+def _cut(bucket: Column, fractions: Mapping[str, float]) -> Column:
+    """The split of a number from 0 to 9999. A finer fraction is refused, not rounded away."""
+    fine = {name: f for name, f in fractions.items() if abs(f * _BUCKETS - round(f * _BUCKETS)) > 1e-6}
+    if fine:
+        raise ValueError(f"fractions must be whole parts of {_BUCKETS}: {fine}")
     *names, last = fractions
     upper = accumulate(fractions[name] for name in names)
     below = [F.when(bucket < round(cut * _BUCKETS), name) for name, cut in zip(names, upper)]
-    return df.withColumn("split", F.coalesce(*below, F.lit(last)))
+    return F.coalesce(*below, F.lit(last))
 
 
 def random_split(
     df: DataFrame, fractions: Mapping[str, float] = fv.SPLIT_FRACTIONS, seed: int = fv.SEED
-) -> dict[str, DataFrame]:
-    """Bernoulli split. Pass a staged table: the result depends on how `df` is partitioned."""
-    return dict(zip(fractions, df.randomSplit(list(fractions.values()), seed=seed)))
+) -> DataFrame:
+    """Rows with a `split` name drawn for each row; one pass, no sort.
+
+    The draw depends on how `df` is partitioned, so write the result once before reading
+    it more than once.
+    """
+    # The draw is a column of its own, or each comparison would draw anew.
+    drawn = df.withColumn(_BUCKET, F.floor(F.rand(seed) * _BUCKETS))
+    return drawn.withColumn("split", _cut(F.col(_BUCKET), fractions)).drop(_BUCKET)
 
 
 def coalesce_output(df: DataFrame, files: int | None) -> DataFrame:

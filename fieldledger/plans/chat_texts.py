@@ -1,13 +1,14 @@
-"""Job: one split of records to chat texts."""
+"""Jobs: records and conversations to chat texts, and a comparison of responses."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldledger.functions.chat import RECORD_CHAT, ChatTemplate
+from fieldledger.functions.chat import CONVERSATION_CHAT, RECORD_CHAT, ChatTemplate
 from fieldledger.functions.report import ReportTemplate
-from fieldledger.operators import chat, profile, quality
+from fieldledger.operators import chat, compare, profile, quality
+from fieldledger.scratch import staged
 from fieldledger.sources import readers
 
 
@@ -21,22 +22,69 @@ def prepare_chat_texts(
 ) -> dict[str, DataFrame]:
     """Write the chat texts of `<input>/<split>.jsonl` as JSON lines `{text}` and report on them.
 
-    Lines that do not parse, or lack instruction or output, have no text and are
-    not written; the table `records` counts them.
+    Lines that are no records (`corrupt_record_report` calls them not_json, not_object
+    or not_text) are not written; the table `records` counts them. The written texts are
+    read once, into counts.
     """
     read = readers.scan_jsonl_records(spark, f"{input_path}/{split}.jsonl")
     given = quality.required_fields_gate(read)
-    usable = given.filter(F.col("instruction").isNotNull() & F.col("output").isNotNull())
+    usable = given.filter(F.col(readers.CORRUPT).isNull())
     texts = chat.chat_render_single(usable, template, default_system).select("text")
     texts.write.mode("overwrite").json(output_path)
     written = spark.read.schema("text string").json(output_path).withColumn("split", F.lit(split))
+    lengths = staged(quality.max_length_check(written), "lengths")
     return {
-        "records": given.agg(
+        "records": given.agg(F.count("*").alias("n_rows"), F.count(readers.CORRUPT).alias("n_corrupt")),
+        "terminators": quality.doubled_terminator_check(written, template.end_of_turn),
+        "lengths": lengths,
+        "schedule": profile.training_schedule(lengths, weight="n_rows", splits=[split]),
+    }
+
+
+def prepare_conversations(
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    template: ChatTemplate = CONVERSATION_CHAT,
+    generation_prompt: bool = False,
+) -> dict[str, DataFrame]:
+    """Write chat texts, single messages and pairs of the conversations in JSON lines.
+
+    The lines hold `conv_id`, `turn`, `role` and `text`. Below the output lie `texts`,
+    `messages` and `pairs`, as JSON lines.
+    """
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    messages = spark.read.schema(schema).json(input_path)
+    made = {
+        "texts": chat.chat_render_multi_turn(messages, template, generation_prompt),
+        "messages": chat.chat_render_messages(messages, template),
+        "pairs": chat.sft_pairs(messages),
+    }
+    for name, table in made.items():
+        table.write.mode("overwrite").json(f"{output_path}/{name}")
+    pieces = spark.read.schema("filled boolean").json(f"{output_path}/messages")
+    pairs = spark.read.schema("n_prompts int, n_responses int").json(f"{output_path}/pairs")
+    return {
+        "messages": pieces.agg(F.count("*").alias("n_rows"), F.count_if("filled").alias("n_filled")),
+        "pairs": pairs.agg(
             F.count("*").alias("n_rows"),
-            F.count(readers.CORRUPT).alias("n_corrupt"),
-            F.count_if(F.col("instruction").isNull() | F.col("output").isNull()).alias("n_unusable"),
+            F.count_if(F.col("n_prompts") + F.col("n_responses") > 2).alias("n_with_several"),
+        ),
+    }
+
+
+def compare_responses(
+    spark: SparkSession, base_path: str, tuned_path: str, output_path: str, report: ReportTemplate = ReportTemplate()
+) -> dict[str, DataFrame]:
+    """Compare two sets of responses in JSON lines `(prompt_id, response)`; writes the rows."""
+    schema = "prompt_id string, response string"
+    base, tuned = (spark.read.schema(schema).json(path) for path in (base_path, tuned_path))
+    compare.paired_response_compare(base, tuned, report).write.mode("overwrite").json(output_path)
+    both = base.withColumn("label", F.lit("base")).unionByName(tuned.withColumn("label", F.lit("tuned")))
+    rows = spark.read.schema("answered_by string, words_delta double").json(output_path)
+    return {
+        "layout": quality.report_layout_check(both, report, text="response"),
+        "prompts": rows.groupBy("answered_by").agg(
+            F.count("*").alias("n_prompts"), F.avg("words_delta").alias("mean_words_delta")
         ),
-        "terminators": quality.doubled_terminator_check(written, template.end_of_turn),
-        "lengths": quality.max_length_check(written),
-        "schedule": profile.training_schedule(written),
     }

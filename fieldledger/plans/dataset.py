@@ -6,17 +6,22 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldledger import fixed_values as fv
 from fieldledger.functions.report import ReportTemplate
 from fieldledger.operators import clean, enrich, profile, quality, records, splits
-from fieldledger.scratch import staged
+from fieldledger.scratch import scratch_run, staged
 from fieldledger.sources import readers, writers
 
 
 @dataclass(frozen=True)
 class DatasetConfig:
-    """Paths and parameters; the defaults are the fixed values."""
+    """Paths and parameters; the defaults are the fixed values.
+
+    `max_records` bounds the cleaned incidents, 0 keeps all. `spread` deals incidents
+    that are read by few tasks (multi-line or compressed files) out over so many.
+    """
 
     incidents_path: str
     log_paths: Sequence[str]
@@ -25,7 +30,8 @@ class DatasetConfig:
     names: Mapping[str, str] = field(default_factory=lambda: fv.COUNTRY_NAMES)
     years: Sequence[int] = fv.ACTIVITY_YEARS
     log_width: int = fv.ACTIVITY_WIDTH
-    max_records: int = fv.MAX_RECORDS
+    max_records: int = 0
+    spread: int | None = None
     fractions: Mapping[str, float] = field(default_factory=lambda: fv.SPLIT_FRACTIONS)
     seed: int = fv.SEED
     random: bool = False
@@ -37,9 +43,10 @@ class DatasetConfig:
 
 @dataclass(frozen=True)
 class DatasetReport:
-    """Small tables about a finished run."""
+    """Small tables about a finished run, also written below `<output>/_report`."""
 
     schema: DataFrame
+    log_widths: DataFrame
     stages: DataFrame
     match_rate: DataFrame
     split_sizes: DataFrame
@@ -47,19 +54,29 @@ class DatasetReport:
 
 
 def build_dataset(spark: SparkSession, config: DatasetConfig) -> DatasetReport:
-    """Write `<output>/<split>.jsonl` and report on it.
+    """Write `<output>/<split>.jsonl`, once, and report on it.
 
-    The log is read once, into a staged count per year and country. The
-    incidents are read once, or twice if they are bounded, into a staged table
-    partitioned by split. All counts come from the staged tables.
+    The log is read for its widths and for the count per year and country. Records are
+    rendered in the pass that writes them. Counts of the incidents come from narrow
+    passes that render nothing, counts of the splits from the read-back. Staged tables
+    are removed at the end.
     """
+    with scratch_run(spark):
+        tables = _build(spark, config)
+        path = f"{config.output_path}/_report"
+        writers.sink_profile_tables(tables, path)
+    return DatasetReport(**{name: spark.read.parquet(f"{path}/{name}") for name in tables})
+
+
+def _build(spark: SparkSession, config: DatasetConfig) -> dict[str, DataFrame]:
     raw = readers.scan_headered_csv(spark, config.incidents_path, multiline=config.multiline)
     schema = quality.schema_presence_report(raw, config.columns, count_filled=False)
-    incidents = clean.clean_incidents(readers.spread(raw), config.columns).transform(
+    incidents = clean.clean_incidents(readers.spread(raw, config.spread), config.columns).transform(
         splits.bounded_sample, config.max_records, config.seed
     )
 
-    quality.min_column_count_gate(spark.read.text(list(config.log_paths)))
+    widths = staged(quality.width_distribution(spark.read.text(list(config.log_paths))), "widths")
+    quality.min_column_count_gate(widths)
     log = readers.scan_positional_tsv(spark, list(config.log_paths), config.log_width)
     activity = staged(
         enrich.activity_by_year_country(
@@ -71,23 +88,33 @@ def build_dataset(spark: SparkSession, config: DatasetConfig) -> DatasetReport:
 
     enriched = enrich.enrich_left(incidents, activity)
     lines = records.format_incident_records(enriched, config.template, config.spaced_json)
+    counts = staged(
+        profile.stage_counts(
+            (raw, {"raw": None, **clean.cleaning_flags(raw, config.columns)}),
+            (enriched, {"sampled": None}),
+            (lines, {"rendered": None, "matched": F.col("evt_count") > 0}),
+            (activity, {"activity": None}),
+        ),
+        "stages",
+    )
+    quality.non_empty_gate(counts.filter("stage = 'rendered' and n_rows > 0"), "records")
     if config.random:
-        whole = staged(lines.select("value", "evt_count"), "lines")
-        tagged = records.union_splits(splits.random_split(whole, config.fractions, config.seed))
+        tagged = splits.random_split(lines, config.fractions, config.seed)
     else:
         tagged = splits.hash_split(lines, ["instruction", "output"], config.fractions, config.seed)
-    stage = writers.stage_splits(tagged.select("value", "split", "evt_count"))
-    quality.non_empty_gate(stage, "records")
-    writers.write_split_folders(stage, config.output_path, list(config.fractions), config.files_per_split)
-
-    return DatasetReport(
-        schema=schema,
-        stages=quality.stage_gate(
-            profile.stage_counts(
-                {"activity": activity, "records": stage, "matched": clean.matched_only(stage)}
-            )
-        ),
-        match_rate=enrich.match_rate(stage),
-        split_sizes=profile.estimated_split_sizes(stage, config.fractions),
-        readback=writers.sink_verify_readback(spark, config.output_path, list(config.fractions)),
+    writers.sink_jsonl_splits(tagged, config.output_path, list(config.fractions), config.files_per_split)
+
+    readback = staged(
+        writers.sink_verify_readback(spark, config.output_path, list(config.fractions)), "readback"
     )
+    named = {name: F.max(F.when(F.col("stage") == name, F.col("n_rows"))) for name in ("matched", "rendered")}
+    return {
+        "schema": schema,
+        "log_widths": widths,
+        "stages": quality.stage_gate(counts),
+        "match_rate": counts.agg(named["matched"].alias("n_matched"), named["rendered"].alias("n_rows")).withColumn(
+            "match_pct", F.floor(100 * F.col("n_matched") / F.col("n_rows"))
+        ),
+        "split_sizes": profile.estimated_split_sizes(readback, config.fractions, weight="n_records"),
+        "readback": readback,
+    }

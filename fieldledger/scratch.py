@@ -9,11 +9,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldledger.folders import remove_folder
+
 _SETTING = "spark.checkpoint.dir"
 _own_folder: dict[str, str] = {}
+_runs: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -29,8 +34,20 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the scratch root."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder name under the scratch root, or under that of the current run."""
+    return f"{_runs[-1] if _runs else scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """Staged tables of the block lie in one folder, which is removed at its end."""
+    folder = scratch_path(spark, "run")
+    _runs.append(folder)
+    try:
+        yield
+    finally:
+        _runs.remove(folder)
+        remove_folder(spark, folder)
 
 
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

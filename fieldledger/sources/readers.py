@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldledger import fixed_values as fv
+from fieldledger.functions.records import decoded
 
 CORRUPT = "_corrupt_record"
 
@@ -46,15 +47,13 @@ def scan_headered_csv(
     return reader.csv(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """The scan, redistributed if it has fewer partitions than the session has cores.
+def spread(scan: DataFrame, partitions: int | None) -> DataFrame:
+    """The scan, dealt out over `partitions`; as it is for None.
 
-    A few files that cannot be split (compressed, multi-line, or one row group)
-    would otherwise leave the rendering to as many tasks. A scan of a large
-    input has partitions enough and is returned as it is.
+    For input that is known not to split (compressed or multi-line files, one row
+    group), which would otherwise leave the work after it to a task per file.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(partitions) if partitions else scan
 
 
 def year_globs(base: str, years: Sequence[int] = fv.ACTIVITY_YEARS, pattern: str = "{base}/{year}*.csv") -> list[str]:
@@ -77,8 +76,10 @@ def scan_text_lines(
     for split in splits:
         try:
             found[split] = spark.read.option("lineSep", "\n").text(f"{base}/{split}.jsonl")
-        except AnalysisException:
-            continue  # the report says so
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            # The report says so.
     report = spark.createDataFrame(
         [(split, split in found) for split in splits], "split string, readable boolean"
     )
@@ -86,9 +87,19 @@ def scan_text_lines(
 
 
 def scan_jsonl_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """JSON lines as columns of `RECORD_KEYS`; a broken line is kept in `_corrupt_record`."""
-    schema = text_schema([*fv.RECORD_KEYS, CORRUPT])
-    return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    """JSON lines as columns of `RECORD_KEYS`; a line that is no record is kept in `_corrupt_record`.
+
+    Lines are read as everywhere else, by `decoded`: a record is one object on its line
+    whose instruction and output are texts. Those two are empty where their key is
+    missing, the others NULL.
+    """
+    parsed, record = decoded(spark.read.option("lineSep", "\n").text(path), keys=fv.RECORD_KEYS)
+    sound = record.is_object
+    for key in fv.REQUIRED_RECORD_KEYS:
+        sound = sound & record.has_text_or_nothing(key)
+    value = {k: record.text(k) if k in fv.REQUIRED_RECORD_KEYS else record.given_text(k) for k in fv.RECORD_KEYS}
+    columns = [F.when(sound, column).alias(key) for key, column in value.items()]
+    return parsed.select(*columns, F.when(~sound, F.col("value")).alias(CORRUPT))
 
 
 def scan_part_files(spark: SparkSession, path: str, pattern: str = "part-*") -> DataFrame:
@@ -107,5 +118,7 @@ def lookup_table(spark: SparkSession, names: Mapping[str, str] = fv.COUNTRY_NAME
 
 
 def lookup_from_table(table: DataFrame, code: str, name: str) -> DataFrame:
-    """Code and name of a reference table, one row per code."""
-    return table.groupBy(F.col(code).alias("code")).agg(F.max(name).alias("name"))
+    """Code and name of a reference table, one row per code; two names of a code are an error."""
+    names = table.groupBy(F.col(code).alias("code")).agg(F.min(name).alias("name"), F.max(name).alias("last"))
+    clash = F.raise_error(F.concat(F.lit("two names of code "), F.col("code"))).cast("string")
+    return names.select("code", F.when(F.col("name") == F.col("last"), F.col("name")).when(F.col("last").isNotNull(), clash).alias("name"))

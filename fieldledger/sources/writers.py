@@ -8,35 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldledger import fixed_values as fv
+from fieldledger.folders import folder_names, remove_folder, replace_folder
 from fieldledger.functions.records import decoded
-from fieldledger.scratch import staged
 from fieldledger.sources.readers import scan_text_lines
 
 
-def stage_splits(lines: DataFrame) -> DataFrame:
-    """The lines `(value, split, ...)`, computed once into a table partitioned by split."""
-    return staged(lines, "splits", partition_by="split")
-
-
-def write_split_folders(
-    stage: DataFrame,
-    path: str,
-    splits: Sequence[str] = tuple(fv.SPLIT_FRACTIONS),
-    files_per_split: int | None = None,
-    max_records_per_file: int = 0,
-) -> None:
-    """Overwrite `<path>/<split>.jsonl` from a staged table; each reads its own partition.
-
-    `files_per_split` only narrows this copy, so asking for one file never
-    serialises the computation before it.
-    """
-    for split in splits:
-        part = stage.filter(F.col("split") == split).select("value")
-        if files_per_split:
-            part = part.coalesce(files_per_split)
-        part.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).text(f"{path}/{split}.jsonl")
-
-
 def sink_jsonl_splits(
     lines: DataFrame,
     path: str,
@@ -44,10 +20,24 @@ def sink_jsonl_splits(
     files_per_split: int | None = None,
     max_records_per_file: int = 0,
 ) -> None:
-    """Overwrite `<path>/<split>.jsonl` with the lines `(value, split)`, computed in one pass."""
-    write_split_folders(
-        stage_splits(lines.select("value", "split")), path, splits, files_per_split, max_records_per_file
-    )
+    """Overwrite `<path>/<split>.jsonl` with the lines `(value, split)`, written once.
+
+    One pass writes all splits side by side; their folders then get their names. A
+    split without lines is an empty folder. `files_per_split` deals the finished lines
+    out by split and content, so the work before it stays parallel.
+    """
+    spark = lines.sparkSession
+    rows = lines.select("value", "split")
+    if files_per_split:
+        part = F.pmod(F.xxhash64("value"), F.lit(files_per_split))
+        rows = rows.repartition(len(splits) * files_per_split, "split", part)
+    writing = f"{path}/_writing"
+    writer = rows.write.mode("overwrite").partitionBy("split")
+    writer.option("maxRecordsPerFile", max_records_per_file).text(writing)
+    written = {name.removeprefix("split="): f"{writing}/{name}" for name in folder_names(spark, writing)}
+    for split in (*splits, *(name for name in written if name not in splits)):
+        replace_folder(spark, f"{path}/{split}.jsonl", written.get(split))
+    remove_folder(spark, writing)
 
 
 def sink_jsonl_partitioned(lines: DataFrame, path: str, max_records_per_file: int = 0) -> None:

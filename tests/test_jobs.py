@@ -8,9 +8,13 @@ from pathlib import Path
 import pytest
 
 from fieldledger.operators.quality import EmptyStageError, MissingColumnsError
-from fieldledger.plans.chat_texts import prepare_chat_texts
+from pyspark.sql import functions as F
+
+from fieldledger.checks import proxies
+from fieldledger.plans.chat_texts import compare_responses, prepare_chat_texts, prepare_conversations
 from fieldledger.plans.dataset import DatasetConfig, build_dataset
 from fieldledger.plans.describe import describe_dataset
+from fieldledger.scratch import scratch_root
 
 HEADER = "eventid,iyear,country_txt,attacktype1_txt,targtype1_txt,weaptype1_txt,nkill,nwound,gname\n"
 
@@ -45,7 +49,7 @@ def read_lines(out):
 
 def test_build_describe_chat(spark, inputs, tmp_path):
     out = tmp_path / "out"
-    report = build_dataset(spark, config(inputs, out, max_records=0, files_per_split=1))
+    report = build_dataset(spark, config(inputs, out, files_per_split=1))
     lines = read_lines(out)
     assert sum(map(len, lines.values())) == 200
     records = [r for rs in lines.values() for r in rs]
@@ -56,7 +60,11 @@ def test_build_describe_chat(spark, inputs, tmp_path):
     assert len(active) == expected
     rate = report.match_rate.first()
     assert (rate.n_matched, rate.n_rows, rate.match_pct) == (expected, 200, 100 * expected // 200)
-    assert {r.stage: r.n_rows for r in report.stages.collect()} == {"activity": 6, "records": 200, "matched": expected}
+    stages = {r.stage: r.n_rows for r in report.stages.collect()}
+    assert {k: n for k, n in stages.items() if n} == {"raw": 400, "cleaned": 200, "sampled": 200, "rendered": 200, "matched": expected, "activity": 6}
+    assert [tuple(r) for r in report.log_widths.collect()] == [(57, 900, True)]
+    assert spark.read.parquet(f"{out}/_report/stages").count() == len(stages)
+    assert not list(out.glob("_writing*"))
     assert {r["column"] for r in report.schema.collect() if not r.present} == {"summary"}
     sizes = {r.split: (r.n_rows, r.estimated) for r in report.split_sizes.collect()}
     assert {s: n for s, (n, _) in sizes.items()} == {s: len(rs) for s, rs in lines.items()}
@@ -79,7 +87,7 @@ def test_build_describe_chat(spark, inputs, tmp_path):
     assert any(lines["train"][0]["output"] + "<|eot_id|>" == t[-len(lines["train"][0]["output"]) - 10 :] for t in texts)
     assert made["terminators"].first().n_doubled == 0
     assert made["schedule"].first().steps_per_epoch == len(texts) / 8
-    assert tuple(made["records"].first()) == (len(texts), 0, 0)
+    assert tuple(made["records"].first()) == (len(texts), 0)
 
 
 def test_bounded_and_random(spark, inputs, tmp_path):
@@ -116,3 +124,36 @@ def test_command_line_names_its_jobs():
     root = Path(__file__).resolve().parent.parent
     done = subprocess.run([sys.executable, "-m", "fieldledger", "--help"], cwd=root, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0 and "describe" in done.stdout
+
+
+def test_nothing_is_cut_by_default():
+    assert DatasetConfig("a", ["b"], "c").max_records == 0
+
+
+def test_build_leaves_no_staged_tables(spark, inputs, tmp_path):
+    root = Path(scratch_root(spark))
+    before = {p.name for p in root.iterdir()}
+    build_dataset(spark, config(inputs, tmp_path / "out"))
+    assert {p.name for p in root.iterdir()} == before
+
+
+def test_conversations_and_comparison(spark, tmp_path):
+    talks = [{"conv_id": 1, "turn": t, "role": r, "text": x} for t, r, x in ((0, "system", "s"), (1, "user", "q"), (2, "assistant", "a"), (3, "user", None))]
+    (tmp_path / "talks.jsonl").write_text("\n".join(map(json.dumps, talks)), "utf-8")
+    made = prepare_conversations(spark, str(tmp_path / "talks.jsonl"), str(tmp_path / "out"))
+    assert tuple(made["messages"].first()) == (4, 1) and tuple(made["pairs"].first()) == (1, 0)
+    assert spark.read.json(f"{tmp_path}/out/texts").first().n_turns == 4
+    for name, ids in (("base", "pq"), ("tuned", "qr")):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(json.dumps({"prompt_id": i, "response": "x y"}) for i in ids), "utf-8")
+    done = compare_responses(spark, str(tmp_path / "base.jsonl"), str(tmp_path / "tuned.jsonl"), str(tmp_path / "versus"))
+    assert {r.answered_by: r.n_prompts for r in done["prompts"].collect()} == {"base": 1, "tuned": 1, "both": 1}
+    assert {r.label: r.n_rows for r in done["layout"].collect()} == {"base": 2, "tuned": 2}
+
+
+def test_chat_and_report_agree_on_usable_lines(spark, folder, tmp_path):
+    lines = proxies.damaged_lines(spark, folder).select(F.translate("value", "\n", " ").alias("value"))
+    lines.write.text(f"{tmp_path}/train.jsonl")
+    made = prepare_chat_texts(spark, str(tmp_path), str(tmp_path / "chat"))["records"].first()
+    kinds = {r.kind: r.n_rows for r in describe_dataset(spark, str(tmp_path))["kinds"].collect()}
+    assert made.n_rows - made.n_corrupt == kinds["ok"] + kinds["no_label"] == spark.read.text(f"{tmp_path}/chat").count()
+    assert sum(kinds.values()) == made.n_rows and len(kinds) == 5

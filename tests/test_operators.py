@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldledger import fixed_values as fv
-from fieldledger.operators import chat, compare, enrich, joins, profile, quality, splits
+from fieldledger.checks import proxies
+from fieldledger.operators import chat, clean, compare, enrich, joins, profile, quality, splits
 from fieldledger.sources import readers, writers
 
 
@@ -47,6 +48,14 @@ def test_salted_join_spreads_the_hot_key(spark, hot_facts):
     assert parts > 1
 
 
+def test_salted_join_spreads_facts_that_lie_with_their_key(spark, hot_facts):
+    dealt = hot_facts.repartition(16, "k")
+    salted = joins.salted_join(dealt, spark.createDataFrame([("hot", 1)], "k string, n int"), ["k"], "inner", salts=8)
+    facts = dealt.filter("k = 'hot'").select(F.pmod(F.xxhash64("k", "id") + F.spark_partition_id(), F.lit(8)).alias("s"))
+    assert salted.count() == 2000
+    assert max(r["count"] for r in facts.groupBy("s").count().collect()) < 400
+
+
 def test_is_small_looks_at_rows_and_bytes(spark):
     assert joins.is_small(spark.range(5).toDF("a"), 5)
     assert not joins.is_small(spark.range(6).toDF("a"), 5)
@@ -66,8 +75,8 @@ def test_lookup_holds_every_country_once(spark):
 
 
 def test_lookup_from_table_has_one_row_per_code(spark):
-    table = spark.createDataFrame([("A", "x"), ("A", "y"), ("B", "z")], "c string, n string")
-    assert rows_of(readers.lookup_from_table(table, "c", "n")) == [("A", "y"), ("B", "z")]
+    table = spark.createDataFrame([("A", "x"), ("A", "x"), ("B", "z")], "code string, name string")
+    assert rows_of(readers.lookup_from_table(table, "code", "name")) == [("A", "x"), ("B", "z")]
 
 
 def test_enrich_keeps_every_incident(spark):
@@ -124,21 +133,28 @@ def test_hash_split_counts_on_known_table(spark):
 
 def test_hash_split_with_other_fractions(spark):
     tagged = splits.hash_split(spark.range(5000), ["id"], {"a": 0.5, "b": 0.5}, seed=1)
-    counts = {r.split: r.n_rows for r in profile.split_counts(tagged).collect()}
+    counts = {r.split: r.n_rows for r in profile.split_counts(tagged, splits=()).collect()}
     assert set(counts) == {"a", "b"} and abs(counts["a"] - 2500) < 200
     assert splits.hash_split(spark.range(3), ["id"], {"all": 1.0}).select("split").distinct().collect()[0][0] == "all"
 
 
 def test_conversation_texts(spark):
-    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f" m{t} ") for t in range(10)]
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f" m{t} ") for t in range(3000)]
     messages = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
-    whole = chat.chat_render_multi_turn(messages, generation_prompt=True).first()
-    assert whole.part == 0 and whole.n_turns == 10
+    (whole,) = chat.chat_render_multi_turn(messages, generation_prompt=True).collect()
+    assert (whole.n_turns, whole.n_filled) == (3000, 0)
     assert whole.text.startswith("<|begin_of_text|><|start_header_id|>user<|end_header_id|>\n\nm0<|eot_id|>")
-    assert whole.text.endswith("m9<|eot_id|><|start_header_id|>assistant<|end_header_id|>\n\n")
-    parts = chat.chat_render_multi_turn(messages, generation_prompt=True, max_turns=3).orderBy("part").collect()
-    assert [p.part for p in parts] == [0, 1, 2, 3]
-    assert "".join(p.text for p in parts) == whole.text
+    assert whole.text.endswith("m2999<|eot_id|><|start_header_id|>assistant<|end_header_id|>\n\n")
+    pieces = chat.chat_render_messages(messages).orderBy("turn").collect()
+    assert "<|begin_of_text|>" + "".join(p.piece for p in pieces) == chat.chat_render_multi_turn(messages).first().text
+
+
+def test_messages_without_text_or_role_stay(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", None), (1, 2, "assistant", "a"), (1, 3, None, "x")]
+    messages = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    (whole,) = chat.chat_render_multi_turn(messages).collect()
+    assert (whole.n_turns, whole.n_filled, whole.text.count("<|eot_id|>")) == (4, 2, 4)
+    assert "user<|end_header_id|>\n\n<|eot_id|>" in whole.text and "unknown<|end_header_id|>\n\nx" in whole.text
 
 
 def test_copies_of_messages_do_not_multiply(spark):
@@ -146,7 +162,17 @@ def test_copies_of_messages_do_not_multiply(spark):
     schema = "conv_id bigint, turn bigint, role string, text string"
     once, often = spark.createDataFrame(rows, schema), spark.createDataFrame(rows * 50, schema).repartition(6)
     assert rows_of(chat.chat_render_multi_turn(often)) == rows_of(chat.chat_render_multi_turn(once))
-    assert rows_of(chat.sft_pairs(often)) == rows_of(chat.sft_pairs(once)) == [(1, 0, "q", "a")]
+    assert rows_of(chat.sft_pairs(often)) == rows_of(chat.sft_pairs(once)) == [(1, 0, "q", "a", 1, 1)]
+
+
+def test_prompts_have_system_and_history(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "q"), (1, 2, "assistant", "a"), (1, 3, "user", "r"), (1, 3, "user", "t"), (1, 4, "assistant", "b")]
+    messages = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    pairs = chat.sft_pairs(messages)
+    assert rows_of(pairs) == [(1, 1, "q", "a", 1, 1), (1, 3, "r", "b", 2, 1)]
+    (last,) = chat.sft_prompts(pairs.filter("turn = 3"), messages).collect()
+    assert [last.messages_text.count(f"\n\n{x}<|eot_id|>") for x in "sqarb"] == [1, 1, 1, 1, 0]
+    assert last.messages_text.endswith("assistant<|end_header_id|>\n\n") and last.response == "b"
 
 
 def test_chat_record_without_system_and_input(spark):
@@ -161,7 +187,9 @@ def test_chat_record_without_system_and_input(spark):
 def test_compare_folds_repeated_prompts(spark):
     base = spark.createDataFrame([("p", f"answer {i}") for i in range(300)], "prompt_id string, response string")
     tuned = spark.createDataFrame([("p", "one two three")] * 200 + [("q", "x")], "prompt_id string, response string")
-    (row,) = compare.paired_response_compare(base, tuned).collect()
+    row, other = compare.paired_response_compare(base, tuned).orderBy("prompt_id").collect()
+    assert (other.answered_by, other.base_n, other.tuned_n, other.words_delta) == ("tuned", 0, 1, None)
+    assert row.answered_by == "both"
     assert (row.base_n, row.tuned_n, row.base_words, row.tuned_words, row.words_delta) == (300, 200, 2.0, 3.0, 1.0)
 
 
@@ -169,18 +197,24 @@ def test_gates(spark, tmp_path):
     empty = spark.createDataFrame([], "a string")
     with pytest.raises(quality.EmptyStageError):
         quality.non_empty_gate(empty, "stage")
-    with pytest.raises(quality.MissingColumnsError):
+    with pytest.raises(quality.MissingColumnsError, match="iyear"):
         quality.schema_presence_report(empty)
     with pytest.raises(quality.MissingColumnsError):
         quality.required_fields_gate(empty)
     with pytest.raises(quality.MissingColumnsError):
-        quality.min_column_count_gate(spark.createDataFrame([("a\tb",)], "value string"))
-    quality.min_column_count_gate(spark.createDataFrame([("\t" * 7,)], "value string"))
-    report = quality.schema_presence_report(spark.createDataFrame([("1970",), (None,)], "iyear string"))
-    got = {r["column"]: (r.required, r.present, r.n_filled) for r in report.collect()}
-    header = quality.schema_presence_report(spark.createDataFrame([("1970",)], "iyear string"), count_filled=False)
+        quality.min_column_count_gate(quality.width_distribution(spark.createDataFrame([("a\tb",)], "value string")))
+    mixed = spark.createDataFrame([("a\tb",), ("\t" * 7,), ("\t" * 7,)], "value string")
+    widths = quality.min_column_count_gate(quality.width_distribution(mixed))
+    assert rows_of(widths) == [(2, 1, False), (8, 2, True)]
+    names = [name for name, new in fv.INCIDENT_COLUMNS.items() if new != "summary"]
+    schema = ", ".join(f"{name} string" for name in names)
+    table = spark.createDataFrame([("1970", *names[1:]), (None, *names[1:])], schema)
+    got = {r["column"]: (r.required, r.present, r.n_filled) for r in quality.schema_presence_report(table).collect()}
+    assert got["iyear"] == (True, True, 1) and got["summary"] == (False, False, 0)
+    header = quality.schema_presence_report(table, count_filled=False)
     assert [tuple(r) for r in header.collect()][0] == ("iyear", "year", True, True)
-    assert got["iyear"] == (True, True, 1) and got["gname"] == (True, False, 0) and got["summary"] == (False, False, 0)
+    with pytest.raises(quality.MissingColumnsError, match="nkill"):
+        quality.schema_presence_report(table.drop("nkill"))
 
 
 def test_csv_with_quoted_line_feed(spark, tmp_path):
@@ -225,6 +259,73 @@ def test_broken_json_line_is_kept_beside(spark, tmp_path):
     assert got == [(None, "i", None, "o", None), (None, None, None, None, "junk")]
 
 
+def test_lines_that_are_no_records_are_kept_beside(spark, tmp_path):
+    bad = ['{"instruction": "i", "output": "o"} trailing', '[{"instruction": "i"}, {"output": "o"}]', "5", '{"instruction": {"a": 1}, "output": "o"}', '{"instruction": null, "output": "o"}']
+    good = ['{"output": "o"}', '{"instruction": "i", "output": "o", "system": "s", "input": ""}']
+    (tmp_path / "a.jsonl").write_text("\n".join(bad + good) + "\n", "utf-8")
+    got = rows_of(readers.scan_jsonl_records(spark, str(tmp_path)).filter("_corrupt_record is null"))
+    assert got == sorted([(None, "", None, "o", None), ("s", "i", "", "o", None)], key=repr)
+    report = quality.corrupt_record_report(spark.read.text(str(tmp_path)))
+    assert sum(r.n_rows for r in report.collect() if r.kind in ("ok", "no_label")) == len(good)
+
+
+def test_only_a_missing_split_is_skipped(spark, tmp_path):
+    found, report = readers.scan_text_lines(spark, str(tmp_path), ["train"])
+    assert not found and rows_of(report) == [("train", False)]
+    with pytest.raises(Exception, match="DATASOURCE|scheme|FileSystem"):
+        readers.scan_text_lines(spark, "nosuchscheme://x", ["train"])
+
+
+def test_two_names_of_one_code_are_an_error(spark):
+    table = spark.createDataFrame([("A", "x"), ("A", "y")], "code string, name string")
+    with pytest.raises(Exception, match="two names of code A"):
+        readers.lookup_from_table(table, "code", "name").collect()
+
+
+def test_log_lines_with_null_and_other_values(spark):
+    lines = ['{"step": 1, "loss": 0.5}', '{"step": 2, "loss": null}', '{"step": 3, "loss": "x"}', '{"step": 4}', "junk"]
+    got = rows_of(clean.records_having_key(spark.createDataFrame([(x,) for x in lines], "value string")))
+    assert got == [(1, 0.5, True), (2, None, False), (3, None, False)]
+
+
+def test_histogram_holds_every_row(spark):
+    lengths = spark.createDataFrame([(n,) for n in (0, 24, 25, 799, 800, 801, 5000)], "token_len int")
+    bins = profile.token_length_histogram(lengths).orderBy("bin").collect()
+    assert sum(b.n_rows for b in bins) == 7
+    assert (bins[31].n_rows, bins[32].from_len, bins[32].to_len, bins[32].n_rows) == (2, 800, None, 2)
+    with pytest.raises(ValueError, match="multiple"):
+        profile.token_length_histogram(lengths, cap=810)
+
+
+def test_empty_splits_have_rows(spark):
+    rows = spark.createDataFrame([("train",)] * 5, "split string")
+    assert rows_of(profile.split_shares(rows)) == [("test", 0, "0%"), ("train", 5, "100%"), ("val", 0, "0%")]
+    assert {r.split: r.n_rows for r in profile.estimated_split_sizes(rows).collect()} == {"train": 5, "val": 0, "test": 0}
+    assert {r.split: r.effective_epochs for r in profile.training_schedule(rows).collect()}["val"] is None
+
+
+def test_fine_fractions_are_refused(spark):
+    with pytest.raises(ValueError, match="whole parts"):
+        splits.hash_split(spark.range(3), ["id"], {"a": 0.99999, "b": 0.00001})
+
+
+def test_random_split_is_one_narrow_pass(spark):
+    drawn = splits.random_split(spark.range(20_000, numPartitions=4))
+    plan = drawn._jdf.queryExecution().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
+    counts = {r.split: r["count"] for r in drawn.groupBy("split").count().collect()}
+    assert abs(counts["train"] - 16_000) < 400 and abs(counts["val"] - 2000) < 300
+
+
+def test_cleaning_flags_agree_with_cleaning(spark, folder):
+    raw = proxies.incidents_raw(spark, folder)
+    flags = clean.cleaning_flags(raw)
+    row = raw.agg(*[F.count_if(c).alias(n) for n, c in flags.items()]).first()
+    cleaned = clean.clean_incidents(raw)
+    assert row.cleaned == cleaned.count()
+    assert row.kills_replaced > 0 and row.wounds_replaced == 0
+
+
 def test_persisted_is_released(spark):
     df = spark.range(10)
     with splits.persisted(df) as kept:

@@ -13,7 +13,7 @@ def con(folder):
     return connect(folder)
 
 
-@pytest.mark.parametrize("key", list(QUERIES))
+@pytest.mark.parametrize("key", [key for key in QUERIES if key in ORACLES])
 def test_query_agrees_with_sql(spark, folder, con, key):
     assert differences(QUERIES[key](spark, folder), con, ORACLES[key]) == []
 
