@@ -14,8 +14,8 @@ from fieldledger.scratch import staged
 #: Rows of a side that may be broadcast; a few long or short binary columns each.
 BROADCAST_ROWS = 2_000_000
 
-#: Characters that one vectorised step takes at once, unless one text alone is longer.
-SLICE_BYTES = 2_000_000
+#: Bytes of text that one vectorised step takes at once, unless one text alone is longer.
+SLICE_BYTES = 500_000
 
 SPACES = " \t\n\x0b\x0c\r"
 
