@@ -43,7 +43,7 @@ def sized(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     A larger one is left to a sort-merge join, whose hot keys adaptive execution
     splits, as both sides are shuffled for it.
     """
-    return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small
+    return F.broadcast(small) if small.count() <= rows else small
 
 
 def without_rows(df: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
