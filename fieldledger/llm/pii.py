@@ -109,17 +109,17 @@ def _ip(key, found, back):
 
 
 def _phone(key, found, back):
+    """With a country code or brackets, any digits; without, the rules of ten-digit numbers."""
     lead = re.match(r"\+\d{1,3}(?=[ .(-])|\+1(?=\d{10}$)|", found)[0]
     digits = re.sub(r"\D", "", found[len(lead) :])
-    if lead in ("", "+1"):
-        if len(digits) != 10 or digits[0] < "2" or digits[3] < "2":
-            return None
-        low = [2 if i in (0, 3) else 0 for i in range(10)]
-    elif 6 <= len(digits) <= 12:
-        low = [0] * len(digits)
-    else:
+    marked = bool(lead) or "(" in found
+    if not 6 <= len(digits) <= 12 or not lead and len(digits) != 10:
         return None
-    out = _mixed(key, f"phone{lead}", [int(d) - n for d, n in zip(digits, low, strict=True)], [10 - n for n in low], back)
+    if not marked and (digits[0] < "2" or digits[3] < "2"):
+        return None
+    low = [0 if marked or i not in (0, 3) else 2 for i in range(len(digits))]
+    free = [int(d) - n for d, n in zip(digits, low, strict=True)]
+    out = _mixed(key, f"phone{lead}{marked}", free, [10 - n for n in low], back)
     return lead + _refill(found[len(lead) :], "".join(str(d + n) for d, n in zip(out, low, strict=True)))
 
 
