@@ -39,15 +39,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def scratch_run(spark: SparkSession) -> Iterator[None]:
-    """Staged tables of the block lie in one folder, which is removed at its end."""
+def kept_run(spark: SparkSession) -> Iterator[str]:
+    """Staged tables of the block lie in one folder, which whoever opens it removes."""
     folder = scratch_path(spark, "run")
     _runs.append(folder)
     try:
-        yield
+        yield folder
     finally:
         _runs.remove(folder)
-        remove_folder(spark, folder)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """Staged tables of the block lie in one folder, which is removed at its end."""
+    with kept_run(spark) as folder:
+        try:
+            yield
+        finally:
+            remove_folder(spark, folder)
 
 
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
