@@ -12,8 +12,8 @@ are one node. Two nodes link when they share at least `share` percent of their u
 2. Search. The members of a cluster, in shards of bounded size, are indexed by
    inverted lists. A set asks for all sets that share at least T of its n-grams. Its
    longest lists, fewer than T, are put aside; the short ones are merged over a heap,
-   skipping ahead where too few lists agree; each candidate is then looked up in the
-   long lists by binary search. A set that is already in the component of the
+   skipping ahead where too few lists agree (very many elements are counted as arrays
+   instead); each candidate is then looked up in the long lists by binary search. A set that is already in the component of the
    cluster's first member needs no search of its own: whatever it links with is
    either in that component too or searches itself. Sets outside of it are searched in
    the other shards of their cluster as well.
@@ -25,7 +25,7 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
-from math import log2
+from math import exp, log2
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ from fieldledger.llm.words import mixed, windows_hash, words_of
 from fieldledger.scratch import staged
 
 #: n-grams of the sets of one shard that a task indexes at once.
-SHARD_GRAMS = 2_000_000
+SHARD_GRAMS = 500_000
 
 #: Sets are compared within bands of sizes; a band's upper bound is so many times its lower one.
 BAND = 1.5
@@ -46,8 +46,15 @@ BAND = 1.5
 #: Weight of the long lists in DivideSkip's choice of how many there are.
 _MU = 0.0085
 
+#: Elements of short lists that are merged over a heap. More of them are counted as arrays,
+#: and so many lists are put aside as cost least if a probe costs as much as _PROBE counts.
+HEAP, _PROBE = 2000, 30
+
 _PART = np.uint64(0xD1B54A32D192ED03)
 
+#: Parts up to which empty ones are always told further.
+FEW = 32
+
 
 # sets --------------------------------------------------------------------------------
 
@@ -75,8 +82,8 @@ def _digest(grams: np.ndarray) -> bytes:
     return mixed(np.array(halves, np.uint64)).tobytes()
 
 
-def bands(n: int, share: int) -> list[tuple[int, int]]:
-    """The bands, by number and parts, in which a set of `n` meets its partners.
+def bands(n: int, share: int) -> list[tuple[int, int, int]]:
+    """The bands, by number, parts and least size, in which a set of `n` meets its partners.
 
     A band holds sizes from one bound up to the next; a pair meets in the band of its
     smaller set, so larger partners of a band's sizes belong to it as well.
@@ -87,7 +94,7 @@ def bands(n: int, share: int) -> list[tuple[int, int]]:
         largest = top * 100 // share
         if n <= largest:
             apart = (100 - share) * (top + largest) // (100 + share)
-            out.append((band, apart + 1))
+            out.append((band, apart + 1, low))
         band, low = band + 1, top + 1
     return out
 
@@ -105,18 +112,27 @@ def part_digests(grams: np.ndarray, share: int) -> np.ndarray:
     """Digests of the parts of a set, for each band that it belongs to.
 
     A digest tells the band and the part. That a part is empty says little, so an empty
-    one is told further by the parts of a second, independent cut. Sizes so small that
-    linked sets are equal have one part; they need none.
+    one is told further by the parts of a second, independent cut. That would be many
+    digests where a band has many and small parts. But there, linked sets agree in
+    more than a third of the parts, and by the hash the chance that all of these are
+    empty is below 0.66 ** parts, so empty parts are left out, and a second cut
+    is added up to 64 parts: a link is missed with a chance below 10 ** -11. Sizes so small
+    that linked sets are equal have one part; they need none.
     """
     out = []
     spread, again = mixed(grams ^ _PART), mixed(grams + _PART)
-    for band, parts in bands(len(grams), share):
+    for band, parts, low in bands(len(grams), share):
         if parts == 1:
             continue
         digests, empty = _cut(spread, parts, band + 1)
         out.append(digests[~empty])
-        for i in np.flatnonzero(empty):
-            out.append(_cut(again, parts, (band + 1) * 1_000_003 + int(i))[0])
+        label = (band + 1) * 1_000_003
+        if parts <= FEW or parts * exp(-low / parts) <= 1:
+            for i in np.flatnonzero(empty):
+                out.append(_cut(again, parts, label + int(i))[0])
+        elif parts < 2 * FEW:
+            digests, empty = _cut(again, parts, label - 1)
+            out.append(digests[~empty])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -264,33 +280,47 @@ class Index:
         place = np.repeat(np.arange(len(new)), np.diff(self.start))
         self.pairs = place * max(1, len(sets)) + self.owner
 
-    def linked(self, x: np.ndarray) -> list[int]:
+    def linked(self, x: np.ndarray) -> np.ndarray:
         """The sets that share at least `share` percent of the union with `x`."""
+        none = np.zeros(0, np.int64)
         if not len(x) or not len(self.grams):
-            return []
+            return none
         n, share = len(x), self.share
         least = -(-n * share // 100)
         at = np.minimum(np.searchsorted(self.grams, x), len(self.grams) - 1)
         at = at[self.grams[at] == x]
         if len(at) < least:
-            return []
+            return none
         lengths = self.start[at + 1] - self.start[at]
-        at = at[np.argsort(lengths, kind="stable")]
-        longest = int(lengths.max())
-        aside = min(least - 1, int(least / (_MU * log2(longest) + 1)) if longest > 1 else least - 1)
+        order = np.argsort(lengths, kind="stable")
+        at, total = at[order], np.concatenate(([0], np.cumsum(lengths[order])))
+        longest = int(total[-1] - total[-2])
+        aside = min(least - 1, int(least / (_MU * log2(longest) + 1)))
+        heap = total[len(at) - aside] <= HEAP
+        if not heap:
+            asides = np.arange(least)
+            merged = total[len(at) - asides]
+            probes = asides * np.minimum(merged / (least - asides), len(self.sizes))
+            aside = int(np.argmin(merged + _PROBE * probes))
         short, long_ = at[: len(at) - aside], at[len(at) - aside :]
         lists = [self.owner[self.start[i] : self.start[i + 1]] for i in short]
-        out = []
-        for y, count in heap_merge(lists, least - aside).items():
-            size = int(self.sizes[y])
-            if 100 * min(n, size) < share * max(n, size):
-                continue
-            probes = long_ * len(self.sizes) + y
-            found = np.minimum(np.searchsorted(self.pairs, probes), len(self.pairs) - 1)
-            both = count + int((self.pairs[found] == probes).sum())
-            if 100 * both >= share * (n + size - both):
-                out.append(y)
-        return out
+        if heap:
+            merged = heap_merge(lists, least - aside)
+            found = np.fromiter(merged.keys(), np.int64, len(merged))
+            both = np.fromiter(merged.values(), np.int64, len(merged))
+        else:
+            counts = np.bincount(np.concatenate(lists), minlength=len(self.sizes))
+            found = np.flatnonzero(counts >= least - aside)
+            both = counts[found]
+        sizes = self.sizes[found]
+        near = 100 * np.minimum(n, sizes) >= share * np.maximum(n, sizes)
+        found, both, sizes = found[near], both[near], sizes[near]
+        step = max(1, 1_000_000 // max(1, aside))
+        for i in range(0, len(found), step):
+            keys = long_[None, :] * len(self.sizes) + found[i : i + step, None]
+            place = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+            both[i : i + step] += (self.pairs[place] == keys).sum(axis=1)
+        return found[100 * both >= share * (n + sizes - both)]
 
 
 class _Search:
@@ -319,7 +349,7 @@ class _Search:
                         members.append((node, grams, role, shards))
                 else:
                     index = index or Index([m[1] for m in members], self.share)
-                    out += [(node, members[y][0]) for y in index.linked(grams)]
+                    out += [(node, members[y][0]) for y in index.linked(grams).tolist()]
             if out:
                 yield self._rows(out)
                 out = []
@@ -348,7 +378,7 @@ class _Search:
         for i, (node, grams, _, _) in enumerate(members):
             if i and top(i) == top(0):
                 continue
-            for j in index.linked(grams):
+            for j in index.linked(grams).tolist():
                 if (a := top(i)) != (b := top(j)):
                     root[max(a, b)] = min(a, b)
                     out.append((node, members[j][0]))
@@ -389,18 +419,21 @@ def jaccard_components(
     kind = slim.schema["doc"].dataType.simpleString()
     schema = f"row long, doc {kind}, n long, digest binary, parts binary"
     sets = staged(slim.mapInArrow(_Sets(words, share), schema), "gram-sets")
-    full = sets.where("n > 0")
+    full = sets.where("n > 0").select("row", "doc", "n", "digest")
     nodes = full.groupBy("digest").agg(
-        F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("parts").alias("parts")
+        F.min("row").alias("node"), F.min("doc").alias("doc"), F.first("n").alias("n")
     )
-    nodes = staged(nodes.withColumn("node", F.monotonically_increasing_id()), "gram-nodes")
-
-    clusters = components(_edges(nodes)).withColumnRenamed("root", "cluster")
+    nodes = staged(nodes, "gram-nodes")
+    later = full.select("row", "digest").join(nodes.select("digest", "node"), "digest")
+    later = staged(later.where("row <> node").select("row"), "equal-sets")
+    first = sets.where("n > 0").join(sized(later), "row", "left_anti")
+    edges = _edges(first.select(F.col("row").alias("node"), "parts"))
+    clusters = components(edges).withColumnRenamed("root", "cluster")
     members = nodes.select("node", "digest", "doc", "n").join(clusters, "node")
     members = staged(members, "members")
     total = members.groupBy("cluster").agg(
         F.ceil(F.sum("n") / shard_grams).cast("int").alias("shards"),
-        F.min("node").alias("hub"),
+        F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "node"))["node"].alias("hub"),
     )
     members = staged(members.join(sized(staged(total, "clusters")), "cluster"), "members")
     asked = sized(staged(members.select(F.col("doc").alias("wanted")).distinct(), "wanted"))
