@@ -17,7 +17,8 @@ BROADCAST_ROWS = 2_000_000
 #: Bytes of text that one vectorised step takes at once, unless one text alone is longer.
 SLICE_BYTES = 500_000
 
-SPACES = " \t\n\x0b\x0c\r"
+#: Edges that one task may hold while components are made.
+FEW_EDGES = 250_000
 
 
 def slices(
@@ -51,12 +52,20 @@ def without_rows(df: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
     return df.join(sized(dropped), row, "left_anti").drop(row)
 
 
-def numbered_rows(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """`df` written once with a row number, under a column name that it does not have."""
+def numbered_rows(df: DataFrame, doc: str) -> tuple[DataFrame, str]:
+    """`df` with a number for each row, under a column name that it does not have.
+
+    The number is the id where ids are whole numbers, all different. Otherwise rows are
+    numbered in a table that is written once.
+    """
     row = "__row"
     while row in df.columns:
         row += "_"
-    return staged(df.withColumn(row, F.monotonically_increasing_id()), name), row
+    if dict(df.dtypes)[doc] in ("tinyint", "smallint", "int", "bigint"):
+        ids = df.groupBy(F.col(doc).alias("id")).count()
+        if ids.where("id is null or count > 1").isEmpty():
+            return df.withColumn(row, F.col(doc).cast("long")), row
+    return staged(df.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -68,12 +77,13 @@ def _least(edges: DataFrame, name: str) -> DataFrame:
     return sized(staged(edges.groupBy("u").agg(F.min("v").alias("m")), name))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, few: int = FEW_EDGES) -> DataFrame:
     """(node, root) for every node of the edges (a, b); root is the smallest node reachable.
 
     Alternates large and small stars, each an aggregate and a join on it. A round is
-    written before the next one, so nothing is recomputed from far back. Nodes are
-    longs. Edges with a null end count for nothing; a node linked only with itself is
+    written before the next one, so nothing is recomputed from far back. Up to `few`
+    edges lie in one partition, where a round needs no shuffle; more are dealt out. Nodes
+    are longs. Edges with a null end count for nothing; a node linked only with itself is
     its own root.
     """
     a, b = F.col("a").cast("long"), F.col("b").cast("long")
@@ -81,20 +91,25 @@ def components(edges: DataFrame) -> DataFrame:
     given = staged(
         ends.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges"
     )
-    now, seen = given.where("u > v"), None
+    small = given.count() <= few
+
+    def near(df: DataFrame) -> DataFrame:
+        return df.coalesce(1) if small else df
+
+    now, seen = near(given).where("u > v"), None
     while seen != (signature := _signature(now)):
         seen = signature
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = near(now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         large = both.join(_least(both, "large-least"), "u").where("v > u")
         large = large.select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-        large = staged(large.where("u > v").distinct(), "large-star")
-        small = large.join(_least(large, "small-least"), "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+        large = near(staged(large.where("u > v").distinct(), "large-star"))
+        stars = large.join(_least(large, "small-least"), "u")
+        stars = stars.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             large.groupBy("u").agg(F.min("v").alias("v"))
         )
-        now = staged(small.where("u > v").distinct(), "small-star")
+        now = near(staged(near(stars).where("u > v").distinct(), "small-star"))
     linked = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    lows = given.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    lows = near(given).select(F.explode(F.array("u", "v")).alias("node")).distinct()
     return lows.join(linked, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root")
     )

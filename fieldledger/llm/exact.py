@@ -56,9 +56,13 @@ def _blocks(df: DataFrame, row: str, doc: str, text: str, block: int) -> DataFra
 
 
 def _names(values: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """The repeated values in their order, named -1, -2, ...; gaps do no harm."""
+    """The repeated values, named -1, -2, ... by partition and order; gaps do no harm.
+
+    The count has dealt the values out by hash and each is in one place, so they are
+    sorted where they lie.
+    """
     repeated = values.groupBy(*keys).count().where("count > 1").drop("count")
-    ordered = repeated.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ordered = repeated.sortWithinPartitions(*keys)
     return staged(ordered.withColumn("name", -F.monotonically_increasing_id() - 1), name)
 
 
@@ -99,7 +103,11 @@ def identities(df: DataFrame, row: str, doc: str, text: str, block: int = BLOCK)
 
 
 def exact_groups(
-    df: DataFrame, row: str | None = None, doc: str = "doc_id", text: str = "text"
+    df: DataFrame,
+    row: str | None = None,
+    doc: str = "doc_id",
+    text: str = "text",
+    block: int = BLOCK,
 ) -> DataFrame:
     """One row per row of `df`: its document, the one that stays, and its text's digest.
 
@@ -111,7 +119,7 @@ def exact_groups(
     if row is None:
         row = "__row"
         df = df.select(doc, text).withColumn(row, F.monotonically_increasing_id())
-    rows = staged(identities(df, row, doc, text), "identities")
+    rows = staged(identities(df, row, doc, text, block), "identities")
     shared = rows.where(F.col("name") < NOTHING)
     order = F.struct(F.col("doc").isNull().alias("none"), "doc", "row")
     groups = shared.groupBy("level", "name").agg(
@@ -133,7 +141,7 @@ def exact_groups(
 
 def exact_dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` without the rows whose normalised text an earlier id has; all columns stay."""
-    numbered, row = numbered_rows(docs, "numbered")
+    numbered, row = numbered_rows(docs, doc)
     groups = exact_groups(numbered, row, doc, text)
     return without_rows(numbered, row, staged(groups.where("not kept").select(row), "copies"))
 

@@ -5,8 +5,8 @@ are one node. Two nodes link when they share at least `share` percent of their u
 
 1. Clusters. Linked sets differ in few n-grams: at most D of them for sizes up to some
    bound. Cut by hash into D + 1 parts, they agree in at least one whole part. So each
-   set gives the digests of its parts, and sets that share a digest are put into one
-   cluster; no link leaves a cluster. Digests are sorted over range partitions, and
+   set gives the digests of its parts (see `part_digests`), and sets that share a digest
+   are put into one cluster; no link leaves a cluster. Digests are sorted over range partitions, and
    neighbours give the edges, so a digest that many sets share is spread over tasks
    and gives one edge per set.
 2. Search. The members of a cluster, in shards of bounded size, are indexed by
@@ -25,7 +25,7 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
-from math import exp, log2
+from math import ceil, exp, log2
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ from fieldledger.llm.words import mixed, windows_hash, words_of
 from fieldledger.scratch import staged
 
 #: n-grams of the sets of one shard that a task indexes at once.
-SHARD_GRAMS = 500_000
+SHARD_GRAMS = 1_000_000
 
 #: Sets are compared within bands of sizes; a band's upper bound is so many times its lower one.
 BAND = 1.5
@@ -52,8 +52,11 @@ HEAP, _PROBE = 2000, 30
 
 _PART = np.uint64(0xD1B54A32D192ED03)
 
-#: Parts up to which empty ones are always told further.
-FEW = 32
+#: So few parts, or so many n-grams a part, are cut with one part more than differences.
+FEW, LARGE = 8, 5
+
+#: Digests of a set where parts are fewer and larger; a link is missed with a chance of 10 ** -11.
+DIGESTS = 100
 
 
 # sets --------------------------------------------------------------------------------
@@ -111,28 +114,36 @@ def _cut(spread: np.ndarray, parts: int, label: int) -> tuple[np.ndarray, np.nda
 def part_digests(grams: np.ndarray, share: int) -> np.ndarray:
     """Digests of the parts of a set, for each band that it belongs to.
 
-    A digest tells the band and the part. That a part is empty says little, so an empty
-    one is told further by the parts of a second, independent cut. That would be many
-    digests where a band has many and small parts. But there, linked sets agree in
-    more than a third of the parts, and by the hash the chance that all of these are
-    empty is below 0.66 ** parts, so empty parts are left out, and a second cut
-    is added up to 64 parts: a link is missed with a chance below 10 ** -11. Sizes so small
-    that linked sets are equal have one part; they need none.
+    A digest tells the band and the part. With one part more than linked sets can differ
+    in, they agree in a whole one. That a part is empty says little, so an empty one is
+    told further by the parts of a second, independent cut, unless there are so many
+    parts that linked sets agree in others.
+
+    Where such parts would be small, texts with one passage in common would share them
+    as well. There, sets are cut into fewer and larger parts, several times: linked sets
+    differ in at most 1.5 n-grams a part on average, each part agrees with a chance of
+    0.22 or more, and of `DIGESTS` of them none does with a chance of 0.78 ** DIGESTS.
+
+    Sizes so small that linked sets are equal have one part; they need no digest.
     """
     out = []
-    spread, again = mixed(grams ^ _PART), mixed(grams + _PART)
     for band, parts, low in bands(len(grams), share):
+        label = (band + 1) * 1_000_003
         if parts == 1:
             continue
-        digests, empty = _cut(spread, parts, band + 1)
-        out.append(digests[~empty])
-        label = (band + 1) * 1_000_003
-        if parts <= FEW or parts * exp(-low / parts) <= 1:
-            for i in np.flatnonzero(empty):
-                out.append(_cut(again, parts, label + int(i))[0])
-        elif parts < 2 * FEW:
-            digests, empty = _cut(again, parts, label - 1)
+        if parts <= FEW or low >= LARGE * parts:
+            digests, empty = _cut(mixed(grams ^ _PART), parts, label)
             out.append(digests[~empty])
+            if parts <= FEW or parts * exp(-low / parts) <= 1:
+                again = mixed(grams + _PART)
+                for i in np.flatnonzero(empty):
+                    out.append(_cut(again, parts, label + 1 + int(i))[0])
+        else:
+            fewer = ceil((parts - 1) / 1.5)
+            for i in range(ceil(DIGESTS / fewer)):
+                other = np.uint64(int(_PART) * (2 * i + 3) % (1 << 64))
+                digests, empty = _cut(mixed(grams + other), fewer, label + 1 + i)
+                out.append(digests[~empty])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -478,7 +489,7 @@ def jaccard_components(
 
 def drop_near_copies(docs: DataFrame, doc: str = "doc_id", **options) -> DataFrame:
     """`docs` with one document of each component, the one with the smallest id."""
-    numbered, row = numbered_rows(docs, "numbered")
+    numbered, row = numbered_rows(docs, doc)
     groups = jaccard_components(numbered, doc=doc, row=row, **options)
     return without_rows(numbered, row, staged(groups.where("not kept").select(row), "copies"))
 

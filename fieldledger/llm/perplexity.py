@@ -187,19 +187,26 @@ Arrays = dict[str | None, dict[int, tuple[np.ndarray, np.ndarray]]]
 
 
 def sorted_arrays(model: DataFrame) -> Arrays:
-    """The model's keys in order beside its values, by language and kind."""
-    rows = model.toArrow()
-    langs, names = rows.column("lang").combine_chunks().dictionary_encode(), {}
-    code = langs.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-    names = dict(enumerate(langs.dictionary.to_pylist())) | {-1: None}
-    kind, key, value = (rows.column(c).to_numpy() for c in ("kind", "key", "value"))
-    order = np.lexsort((key, kind, code))
-    code, kind, key, value = code[order], kind[order], key[order], value[order]
-    turn = np.flatnonzero((np.diff(code) != 0) | (np.diff(kind) != 0)) + 1
+    """The model's keys in order beside its values, by language and kind.
+
+    One kind after the other comes to the driver, so that no more than its own rows are
+    held there in another form than the arrays.
+    """
     out: Arrays = defaultdict(dict)
-    bounds = [0, *turn.tolist(), len(key)] if len(key) else []
-    for a, b in zip(bounds, bounds[1:], strict=False):
-        out[names[int(code[a])]][int(kind[a])] = (key[a:b], value[a:b].astype(np.float32))
+    for kind in range(-ORDER, ORDER + 1):
+        part = model.where(F.col("kind") == kind)
+        rows = part.select("lang", "key", F.col("value").cast("float").alias("value")).toArrow()
+        if not rows.num_rows:
+            continue
+        langs = rows.column("lang").combine_chunks().dictionary_encode()
+        names = langs.dictionary.to_pylist()
+        code = langs.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        key, value = rows.column("key").to_numpy(), rows.column("value").to_numpy()
+        del rows
+        for c in np.unique(code).tolist():
+            mine = np.flatnonzero(code == c)
+            mine = mine[np.argsort(key[mine])]
+            out[names[c] if c >= 0 else None][kind] = (key[mine], value[mine])
     return dict(out)
 
 
@@ -364,10 +371,10 @@ def quality_scores(
     )
 
 
-def quality_filter(docs: DataFrame, **columns: str) -> DataFrame:
+def quality_filter(docs: DataFrame, doc: str = "doc_id", **columns: str) -> DataFrame:
     """The rows of `docs` that the rules keep, with all their columns."""
-    numbered, row = numbered_rows(docs, "numbered")
-    judged = quality_scores(numbered, row=row, **columns)
+    numbered, row = numbered_rows(docs, doc)
+    judged = quality_scores(numbered, doc=doc, row=row, **columns)
     rejected = staged(judged.where("not kept").select(F.col("row").alias(row)), "rejected")
     return without_rows(numbered, row, rejected)
 

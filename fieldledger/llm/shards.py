@@ -114,7 +114,7 @@ def write_shards(
     docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text", limit: int = LIMIT
 ) -> None:
     """Writes `docs` under `path`, one folder for each shard, with all their columns."""
-    numbered, row = numbered_rows(docs, "numbered")
+    numbered, row = numbered_rows(docs, doc)
     name = "shard"
     while name in docs.columns:
         name += "_"

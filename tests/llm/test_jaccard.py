@@ -4,19 +4,43 @@ from collections import Counter
 import numpy as np
 import plain
 import pytest
-from fieldledger.llm.jaccard import Index, bands, drop_near_copies, heap_merge, jaccard_components
+from fieldledger.llm.jaccard import Index, bands, drop_near_copies, heap_merge, jaccard_components, part_digests
+
+
+def parts_by_band(n, share):
+    return {band: parts for band, parts, _ in bands(n, share)}
 
 
 def test_pairs_that_may_link_meet_in_a_band():
     for share in (80, 90):
         for n in range(1, 400):
-            mine = dict(bands(n, share))
+            mine = parts_by_band(n, share)
             for m in range(n, n * 100 // share + 1):
-                both = [k for k in mine if k in dict(bands(m, share))]
+                both = [k for k in mine if k in parts_by_band(m, share)]
                 apart = (100 - share) * (n + m) // (100 + share)
                 assert any(mine[k] > apart for k in both), (n, m)
 
 
+def test_linked_sets_share_a_digest():
+    rng = np.random.default_rng(31)
+    for share in (80, 90):
+        for n in [*range(5, 60), 100, 180, 260, 400, 900]:
+            for _ in range(12):
+                x = rng.integers(0, 2**63, n).astype(np.uint64)
+                # As many differences as a link allows, in any way between the two.
+                apart = (100 - share) * n // share
+                gone = int(rng.integers(0, apart + 1))
+                come = 0
+                while 100 * (n - gone) >= share * (n + come + 1):
+                    come += 1
+                if 100 * (n - gone) < share * (n + come):
+                    continue
+                y = np.concatenate((x[gone:], rng.integers(0, 2**63, come).astype(np.uint64)))
+                both = [part_digests(np.unique(s), share) for s in (x, y)]
+                equal = gone == come == 0
+                assert equal or len(np.intersect1d(*both)), (share, n, gone, come)
+
+
 def test_heap_merge_counts():
     rng = random.Random(7)
     for _ in range(200):
