@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -148,10 +149,15 @@ class PieceEncoder(Gathered):
         super().__init__()
 
     def split(self, text: str) -> list[str]:
-        return self.model.words(text) if text else []
-
-    def learn(self, pieces: list[str]) -> list[list[int]]:
-        return self.model.encode(pieces)
+        if not text:
+            return []
+        if self.model.whole or "  " in text or SPACE in text or text[0] == " ":
+            return [" " + w for w in self.model.words(text)]
+        return text.split(" ")
+
+    def learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.model.encode([p.replace(" ", SPACE) for p in pieces])
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.array(list(map(len, found)))
 
     def decode(self, ids: np.ndarray) -> str:
         raw = b"".join([self.bytes[i] for i in ids.tolist()])

@@ -1,7 +1,8 @@
 """Token ids of many texts with a public byte-level BPE tokenizer.
 
-Texts are split by the tokenizer's own pattern, and each distinct piece is given to
-the tokenizer once, as merges never cross pieces. What it returned is held in one flat
+Texts are cut before single spaces, where the tokenizer's own pattern cuts as well, or
+by that pattern where spaces stand together. Each distinct piece is given to the
+tokenizer once, as merges never cross such cuts. What it returned is held in one flat
 array, and a text's ids are gathered from it.
 """
 
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -21,13 +23,30 @@ from tokenizers import Tokenizer  # noqa: E402
 VOCABULARY = "byte_bpe_50k.json"
 
 #: Distinct pieces that a task holds; beyond it the table starts anew.
-PIECES = 500_000
+PIECES = 1_000_000
+
+#: Pieces that the tokenizer takes at once.
+BATCH = 50_000
+
+
+class _Places(dict):
+    """Numbers keys in the order in which they are first asked for, and lists the new ones."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = at = len(self)
+        self.new.append(key)
+        return at
 
 
 class Gathered:
     """Ids of texts, gathered from those of their distinct pieces.
 
-    `split` cuts a text into pieces, `learn` gives the ids of pieces not seen before.
+    `split` cuts a text into keys, `learn` gives the ids of pieces not seen before,
+    all in one array, and how many each has. Key `x` is the piece " x", and key " x" the piece "x", so that a text cut at single
+    spaces is its own list of keys but for the first one.
     """
 
     def __init__(self):
@@ -36,35 +55,32 @@ class Gathered:
     def split(self, text: str) -> list[str]:
         raise NotImplementedError
 
-    def learn(self, pieces: list[str]) -> list[list[int]]:
+    def learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raise NotImplementedError
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Places()
         self.flat, self.start = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _extend(self, pieces: list[str]) -> None:
-        found = self.learn(pieces)
-        places = range(len(self.known), len(self.known) + len(pieces))
-        self.known.update(zip(pieces, places, strict=True))
-        ends = np.cumsum([len(x) for x in found]) + len(self.flat)
-        flat = np.fromiter((i for x in found for i in x), np.uint32)
+    def _extend(self, keys: list[str]) -> None:
+        flat, sizes = self.learn([k[1:] if k[:1] == " " else " " + k for k in keys])
+        self.start = np.concatenate((self.start, np.cumsum(sizes) + len(self.flat)))
         self.flat = np.concatenate((self.flat, flat))
-        self.start = np.concatenate((self.start, ends))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.split(t) for t in texts]
         if len(self.known) > PIECES:
             self._clear()
-        new = {p for pieces in split for p in pieces if p not in self.known}
-        if new:
-            self._extend(sorted(new))
-        flat = np.fromiter((self.known[p] for pieces in split for p in pieces), np.int64)
+        split = list(map(self.split, texts))
+        places = map(self.known.__getitem__, chain.from_iterable(split))
+        flat = np.fromiter(places, np.int64, sum(map(len, split)))
+        if new := self.known.new:
+            self.known.new = []
+            self._extend(new)
         begin, sizes = self.start[flat], self.start[flat + 1] - self.start[flat]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.flat[np.arange(total) + np.repeat(begin - (ends - sizes), sizes)]
-        cuts = np.concatenate(([0], np.cumsum([len(p) for p in split]))).astype(np.int64)
+        cuts = np.cumsum([0, *map(len, split)])
         upto = np.concatenate(([0], ends))[cuts]
         return [ids[a:b] for a, b in zip(upto[:-1], upto[1:], strict=True)]
 
@@ -83,10 +99,23 @@ class Encoder(Gathered):
         super().__init__()
 
     def split(self, text: str) -> list[str]:
-        return [text] if any(m in text for m in self.marks) else self.pattern.findall(text)
-
-    def learn(self, pieces: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
+        if any(m in text for m in self.marks):
+            return [" " + text]
+        if "  " in text:
+            pieces = self.pattern.findall(text)
+            return [p[1:] if p[0] == " " and " " not in p[1:] else " " + p for p in pieces]
+        keys = text.split(" ")
+        keys[0] = " " + keys[0]
+        return keys
+
+    def learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        out = [self._encoded(pieces[i : i + BATCH]) for i in range(0, len(pieces), BATCH)]
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        ids, words = np.array(found.ids, np.uint32), np.array(found.word_ids, np.int64)
+        return ids, np.bincount(words, minlength=len(pieces))
 
 
 @lru_cache(maxsize=2)

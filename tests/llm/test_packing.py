@@ -16,6 +16,8 @@ def test_ids_are_the_tokenizers():
     rng = random.Random(12)
     odd = "a1 '\n\t  é中😀\x00\x1c\x85²Ⅷ_<|endoftext|>'ll're 's"
     texts = ["", " ", "it's  \n\n a's", "x<|endoftext|>y", "\x1c\x1d a", "áb ²³ Ⅷ"]
+    texts += ["Hi, a. b, hi. Été, naïve; x1, it's. foo,, (a). a! . , ,a", "a. a, b"] * 2
+    texts += ["".join(rng.choice(odd + "ab.,;!") for _ in range(rng.randint(1, 40))) for _ in range(300)]
     texts += ["".join(rng.choice(odd) for _ in range(rng.randint(1, 40))) for _ in range(300)]
     mine = Encoder(PATH)(texts)
     theirs = Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)
