@@ -11,7 +11,8 @@ A text's score is the mean negative log probability of its characters, each afte
 the characters before it (padding stands before the first one). The mean of few
 characters varies more, so deviations from the language's median are taken times the
 square root of the text's length, and the median of their amounts, over all texts that
-pass the base rules, is the language's spread. So many spreads below and above are the
+pass the base rules, is the language's spread. Equal texts of a language count once, in
+the model as in the medians; each of them is judged. So many spreads below and above are the
 bands, wider for short texts; a text outside is rejected. Scores that lie high are
 gibberish and foreign symbols, scores that lie low are text that repeats itself.
 """
@@ -306,7 +307,7 @@ def _keys_by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _scores_by_join(docs: DataFrame, model: DataFrame) -> DataFrame:
     """(row, nats): each text's own distinct n-grams meet the model in a join.
 
-    The model holds every n-gram of `docs`, as it was counted from them.
+    The model holds every n-gram of `docs`, as it was counted from their different texts.
     """
     own = docs.mapInArrow(_keys_by_row, "row long, lang string, key long, n long")
     top = model.where(f"kind = {ORDER}").select(
@@ -317,6 +318,20 @@ def _scores_by_join(docs: DataFrame, model: DataFrame) -> DataFrame:
     return found.groupBy("row").agg(nats.alias("nats"))
 
 
+def _later_copies(docs: DataFrame) -> DataFrame:
+    """(row), staged: rows whose text stands in an earlier row of their language, too.
+
+    Texts are told apart by 128 bits.
+    """
+    digests = [F.xxhash64("text").alias("one"), F.xxhash64(F.lit(1), "text").alias("two")]
+    told = docs.select("row", "lang", *digests)
+    groups = told.groupBy(F.col("lang").alias("other"), F.col("one").alias("a"), F.col("two").alias("b"))
+    groups = groups.agg(F.min("row").alias("first"), F.count("*").alias("copies"))
+    groups = sized(staged(groups.where("copies > 1").drop("copies"), "copied"))
+    later = told.join(groups, F.expr("lang <=> other and one = a and two = b and row > first"))
+    return staged(later.select("row"), "later-copies")
+
+
 def quality_scores(
     docs: DataFrame,
     doc: str = "doc_id",
@@ -329,30 +344,31 @@ def quality_scores(
 
     Columns row, doc_id, lang, STATS, base_failed, nats, lower, upper, kept. A null text
     counts as empty and fails the base rules; a null language is a language of its own.
-    A language whose texts all fail has no band and keeps nothing. Repeated rows are
-    judged each for itself; other columns are not read.
+    A language whose texts all fail has no band and keeps nothing. Equal texts count
+    once in model and medians, and each row is judged; other columns are not read.
     """
-    number = F.col(row) if row else F.monotonically_increasing_id()
+    if not row:
+        docs, row = numbered_rows(docs.select(*dict.fromkeys([doc, text, lang])), doc)
     plain = F.coalesce(F.col(text).cast("string"), F.lit(""))
     slim = docs.select(
-        number.alias("row"), F.col(doc).alias("doc"), F.col(lang).cast("string").alias("lang"), plain.alias("text")
+        F.col(row).alias("row"), F.col(doc).alias("doc"), F.col(lang).cast("string").alias("lang"), plain.alias("text")
     )
-    model = kneser_ney(slim.select("lang", "text"))
+    later = _later_copies(slim)
+    once = slim.join(sized(later), "row", "left_anti").select("lang", "text")
+    model = kneser_ney(once)
     kind = dict(slim.dtypes)["doc"]
     schema = f"row long, doc {kind}, lang string, chars long, " + ", ".join(f"{c} long" for c in STATS)
     if model.count() <= model_rows:
         arrays = docs.sparkSession.sparkContext.broadcast(sorted_arrays(model))
         scores = slim.mapInArrow(_Score(arrays), schema + ", nats double")
     else:
-        if not row:
-            slim = staged(slim, "numbered")
         nats = staged(_scores_by_join(slim, model), "scores")
         scores = slim.mapInArrow(_Score(), schema).join(nats, "row", "left")
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > int(100 * REPEATED) * F.col("n_words")
     )
     scores = staged(scores.withColumn("base_failed", failed).fillna(0.0, ["nats"]), "scores")
-    sound = scores.where(~F.col("base_failed"))
+    sound = scores.where(~F.col("base_failed")).join(sized(later), "row", "left_anti")
     middle = sound.groupBy("lang").agg(F.percentile(F.round("nats", 3), F.lit(0.5)).alias("middle"))
     middle = F.broadcast(middle.withColumnRenamed("lang", "other"))
     apart = F.abs(F.col("nats") - F.col("middle")) * F.sqrt("chars")

@@ -85,5 +85,16 @@ def test_foreign_text_is_rejected_and_no_other(spark):
     assert len(found) > 200
 
 
+def test_copies_of_a_sound_text_are_kept(spark):
+    rng = random.Random(17)
+    rows = [(i, plain.syllables(rng, rng.randint(12, 120)), "en") for i in range(200)]
+    copied = plain.syllables(rng, 200)
+    rows += [(1000 + i, copied, "en") for i in range(100)]
+    for size in (perplexity.MODEL_ROWS, 0):
+        found = quality_scores(plain.table(spark, rows), model_rows=size)
+        assert found.where("doc_id >= 1000 and not base_failed").count() == 100
+        assert found.where("doc_id >= 1000 and kept").count() == 100
+
+
 def test_empty_table(spark):
     assert quality_scores(plain.table(spark, [])).count() == 0
