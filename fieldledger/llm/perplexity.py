@@ -2,19 +2,22 @@
 
 The language model is an interpolated modified Kneser-Ney model over characters, one
 for each language, of order `ORDER`. Tasks count n-grams of the texts that they read,
-Spark adds the counts and derives all lower orders, discounts, back-off weights and
-probabilities from them by aggregates and joins. The model is stored as arrays of
-sorted n-gram keys beside their log probabilities. An n-gram's key is its characters,
-12 bits each; code points above 2047 are hashed into 2,048 classes.
-
-A text's score is the mean negative log probability of its characters, each after
+and Spark adds the counts. Those of a model that fits are sent to the tasks, as arrays of
+sorted n-gram keys beside their counts and those of their contexts; of a larger one, Spark
+derives the lower orders and joins them with each text's n-grams. An n-gram's key is its
+characters, 12 bits each; code points above 2047 are hashed into 2,048 classes. Equal
+texts of a language are counted once.
+
+A text is scored by what the other texts brought to the counts: its own n-grams are taken
+out at all orders, so those that no other text has back off. Its score is the mean
+negative log probability of its characters, each after
 the characters before it (padding stands before the first one). The mean of few
 characters varies more, so deviations from the language's median are taken times the
-square root of the text's length, and the median of their amounts, over all texts that
-pass the base rules, is the language's spread. Equal texts of a language count once, in
-the model as in the medians; each of them is judged. So many spreads below and above are the
-bands, wider for short texts; a text outside is rejected. Scores that lie high are
-gibberish and foreign symbols, scores that lie low are text that repeats itself.
+square root of the text's length, and the median of their amounts, over all different
+texts that pass the base rules, is the language's spread. So many spreads below and above
+are the bands, wider for short texts; a text outside is rejected. Scores that lie high are
+gibberish and foreign symbols, scores that lie low are text of few common n-grams. A text
+that is alone in its language has nothing to be judged by and scores 0.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from fieldledger.scratch import staged
 
 ORDER, BITS = 5, 12
 
-#: Entries of a model that is sent to the tasks; a larger one is joined instead.
+#: Twice the longest n-grams of a model that is sent to the tasks; a larger one is joined.
 MODEL_ROWS = 6_000_000
 
 #: n-grams that a task holds before it hands on what it has counted.
@@ -120,6 +123,23 @@ def _mask(order: int) -> int:
     return (1 << BITS * order) - 1
 
 
+def top_counts(docs: DataFrame) -> DataFrame:
+    """(lang, key, n), staged: occurrences of the n-grams of `docs` (lang, text)."""
+    partial = docs.mapInArrow(_count, "lang string, key long, n long")
+    return staged(partial.groupBy("lang", "key").agg(F.sum("n").alias("n")), "ngrams")
+
+
+def lower_levels(counts: DataFrame) -> dict[int, DataFrame]:
+    """`counts` and staged tables like it by order; a shorter n-gram's n is the number of
+    different n-grams one longer that end with it."""
+    levels = {ORDER: counts}
+    for k in range(ORDER - 1, 0, -1):
+        shorter = F.col("key").bitwiseAND(F.lit(_mask(k))).alias("key")
+        levels[k] = levels[k + 1].groupBy("lang", shorter).agg(F.count("*").alias("n"))
+        levels[k] = staged(levels[k], "lower-ngrams")
+    return levels
+
+
 def kneser_ney(docs: DataFrame) -> DataFrame:
     """The model of `docs` (lang, text) as rows (lang, kind, key, value), a staged table.
 
@@ -127,13 +147,7 @@ def kneser_ney(docs: DataFrame) -> DataFrame:
     the weight that the context `key`, of k - 1 characters, gives to order k - 1. kind 0:
     the log of the share of an unseen character.
     """
-    partial = docs.mapInArrow(_count, "lang string, key long, n long")
-    counts = staged(partial.groupBy("lang", "key").agg(F.sum("n").alias("n")), "ngrams")
-    levels = {ORDER: counts}
-    for k in range(ORDER - 1, 0, -1):
-        shorter = F.col("key").bitwiseAND(F.lit(_mask(k))).alias("key")
-        levels[k] = levels[k + 1].groupBy("lang", shorter).agg(F.count("*").alias("n"))
-        levels[k] = staged(levels[k], "lower-ngrams")
+    levels = lower_levels(top_counts(docs))
     same = "lang <=> other"
     seen = levels[1].groupBy("lang").agg(F.count("*").alias("symbols"))
     low = seen.select("lang", F.lit(0).alias("key"), (1 / (F.col("symbols") + 1)).alias("p"))
@@ -232,6 +246,119 @@ def log_probabilities(arrays: dict, keys: np.ndarray) -> np.ndarray:
     return out + np.where(np.isin(np.arange(len(keys)), open_), arrays[0][1][0], 0.0)
 
 
+# scores without a text's own counts --------------------------------------------------
+
+
+def _discounts(times: list[int]) -> tuple[float, float, float]:
+    """The discounts of an order by how many n-grams have the counts 1, 2, 3 and 4."""
+    share = max(times[0], 1) / (max(times[0], 1) + 2 * times[1])
+    cut = [i - (i + 1) * share * times[i] / max(times[i - 1], 1) for i in (1, 2, 3)]
+    return tuple(min(max(x, 0.1), i - 0.1) for i, x in enumerate(cut, 1))
+
+
+class Counted:
+    """A language's counts as arrays: n-grams of each order, where their context and the
+    n-gram one shorter stand, and for each context its total and how many n-grams in it
+    have the counts 1, 2 and more."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray):
+        self.keys, self.orders, self.cuts = keys, {}, {}
+        for k in range(ORDER, 0, -1):
+            new = np.diff(keys >> BITS, prepend=-1) != 0
+            start = np.flatnonzero(new)
+            sums = [np.add.reduceat(x, start, dtype=np.int64) for x in (n, n == 1, n == 2, n > 2)]
+            self.cuts[k] = _discounts([int((n == i).sum()) for i in (1, 2, 3, 4)])
+            shorter, at, more = np.unique(
+                keys & _mask(k - 1), return_inverse=True, return_counts=True
+            )
+            context = (np.cumsum(new) - 1).astype(np.int32)
+            self.orders[k] = n.astype(np.int64), context, sums, at.astype(np.int32)
+            self.symbols = len(keys)
+            keys, n = shorter, more
+
+    def figures(self, keys: np.ndarray):
+        """For each order from the longest, the figures of `keys`, all of them counted ones."""
+        at = np.searchsorted(self.keys, keys)
+        for k in range(ORDER, 0, -1):
+            n, context, sums, shorter = self.orders[k]
+            yield n[at], *(x[context[at]] for x in sums)
+            at = shorter[at]
+
+
+def counted(counts: DataFrame) -> dict[str | None, Counted]:
+    rows = counts.select("lang", "key", "n").toArrow()
+    if not rows.num_rows:
+        return {}
+    langs = rows.column("lang").combine_chunks().dictionary_encode()
+    names = [*langs.dictionary.to_pylist(), None]
+    code = langs.indices.fill_null(len(names) - 1).to_numpy(zero_copy_only=False)
+    key, n = rows.column("key").to_numpy(), rows.column("n").to_numpy()
+    del rows
+    out = {}
+    for c in np.unique(code).tolist():
+        mine = np.flatnonzero(code == c)
+        mine = mine[np.argsort(key[mine])]
+        out[names[c]] = Counted(key[mine], n[mine])
+    return out
+
+
+def nats_without_own(doc, keys, own, figures, cuts: dict, symbols: int) -> np.ndarray:
+    """The negative log probability of all characters of each text 0, 1, ... of `doc`, under
+    the model without what the text itself brought to the counts.
+
+    Rows are the different n-grams of each text with their number, in the order of text
+    and key. The text's occurrences are taken from the counts of the longest n-grams; one
+    that only this text has is taken from the count of the n-gram one shorter, and so on
+    down. The discounts are those of all texts.
+    """
+    p, weight = np.zeros(len(keys)), np.ones(len(keys))
+    gone = np.arange(len(keys))
+    for k, (n, total, *kinds) in zip(range(ORDER, 0, -1), figures, strict=True):
+        if k == ORDER:
+            at, less = gone, own
+            new = (np.diff(doc, prepend=-1) != 0) | (np.diff(keys >> BITS, prepend=-1) != 0)
+            start = np.flatnonzero(new)
+            row_less, place, hit = own, np.cumsum(new) - 1, True
+        else:
+            packed = (doc << BITS * (ORDER - 1)) | (keys & _mask(k))
+            lost, first, less = np.unique(packed[gone], return_index=True, return_counts=True)
+            at = gone[first]
+            start = np.flatnonzero(np.diff(lost >> BITS, prepend=-1))
+            row_less = np.zeros(len(keys), np.int64)
+            if len(lost):
+                place = np.minimum(np.searchsorted(lost, packed), len(lost) - 1)
+                row_less = np.where(lost[place] == packed, less[place], 0)
+                contexts, packed = lost[start] >> BITS, packed >> BITS
+                place = np.minimum(np.searchsorted(contexts, packed), len(contexts) - 1)
+                hit = contexts[place] == packed
+        before, after = n[at], n[at] - less
+        if len(at):
+            total = total - np.where(hit, np.add.reduceat(less, start)[place], 0)
+            for i, of in enumerate((lambda x: x == 1, lambda x: x == 2, lambda x: x > 2)):
+                change = of(after).astype(np.int64) - of(before)
+                kinds[i] = kinds[i] + np.where(hit, np.add.reduceat(change, start)[place], 0)
+        now, cut, some = n - row_less, cuts[k], total > 0
+        total = np.maximum(total, 1)
+        kept = now - np.array([0.0, *cut])[np.minimum(now, 3)]
+        p += weight * np.where(some, kept / total, 0.0)
+        weight *= np.where(some, sum(d * x for d, x in zip(cut, kinds, strict=True)) / total, 1.0)
+        gone = at[after == 0]
+    left = symbols - np.bincount(doc[gone], minlength=doc[-1] + 1)
+    return np.bincount(doc, -own * np.log(p + weight / (left[doc] + 1)))
+
+
+#: Texts whose numbers fit beside an n-gram of the second longest order.
+TOGETHER = 1 << (62 - BITS * (ORDER - 1))
+
+
+def own_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different n-grams of each text as rows: number of the text, key, occurrences."""
+    keys, lengths = ngrams(texts)
+    parts = [np.unique(x, return_counts=True) for x in np.split(keys, np.cumsum(lengths)[:-1])]
+    doc = np.repeat(np.arange(len(parts)), [len(x) for x, _ in parts])
+    return doc, np.concatenate([x for x, _ in parts]), np.concatenate([n for _, n in parts])
+
+
 # scores and rules --------------------------------------------------------------------
 
 
@@ -280,12 +407,14 @@ class _Score:
             if self.arrays:
                 nats = np.zeros(len(texts))
                 for lang, at in _languages(batch).items():
-                    keys, lengths = ngrams([texts[i] for i in at])
-                    if len(keys):
-                        total = np.cumsum(log_probabilities(self.arrays.value[lang], keys))
-                        ends = np.cumsum(lengths)
-                        upto = np.concatenate(([0.0], total))
-                        nats[at] = (upto[ends - lengths] - upto[ends]) / np.maximum(lengths, 1)
+                    at = np.array([i for i in at if texts[i]], np.int64)
+                    for part in np.split(at, range(TOGETHER, len(at), TOGETHER)):
+                        if len(part):
+                            model = self.arrays.value[lang]
+                            doc, keys, own = own_grams([texts[i] for i in part])
+                            figures = model.figures(keys)
+                            sums = nats_without_own(doc, keys, own, figures, model.cuts, model.symbols)
+                            nats[part] = sums / [len(texts[i]) for i in part]
                 columns.append(pa.array(nats))
             chars = pa.array([len(t) for t in texts], pa.int64())
             head = [batch.column("row"), batch.column("doc"), batch.column("lang"), chars]
@@ -300,22 +429,83 @@ def _keys_by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, row, lang in zip(texts, rows, langs, strict=True):
             keys, n = np.unique(ngrams([text])[0], return_counts=True)
             yield pa.RecordBatch.from_pydict(
-                {"row": np.full(len(keys), row), "lang": pa.array([lang] * len(keys), pa.string()), "key": keys, "n": n}
+                {"row": np.full(len(keys), row), "lang": pa.array([lang] * len(keys), pa.string()), "key": keys, "own": n}
             )
 
 
-def _scores_by_join(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """(row, nats): each text's own distinct n-grams meet the model in a join.
+FIGURES = ["n", "total", "ones", "twos", "more"]
+
 
-    The model holds every n-gram of `docs`, as it was counted from their different texts.
+class _JoinedScore:
+    """Scores of texts whose n-grams lie one after the other, beside their figures."""
+
+    def __init__(self, languages: dict):
+        self.languages = languages
+
+    def scores(self, rows: pa.Table) -> pa.RecordBatch:
+        row, keys, own = (rows.column(c).to_numpy() for c in ("row", "key", "own"))
+        langs = rows.column("lang").combine_chunks().dictionary_encode()
+        names = [*langs.dictionary.to_pylist(), None]
+        code = langs.indices.fill_null(len(names) - 1).to_numpy(zero_copy_only=False)
+        new = np.flatnonzero(np.diff(row, prepend=row[0] - 1))
+        ids, nats = [], []
+        for a, b in zip(new.tolist(), [*new[1:].tolist(), len(row)], strict=True):
+            cuts, symbols = self.languages[names[code[a]]]
+            figures = (
+                [rows.column(f"{c}{k}").slice(a, b - a).to_numpy() for c in FIGURES]
+                for k in range(ORDER, 0, -1)
+            )
+            doc = np.zeros(b - a, np.int64)
+            total = nats_without_own(doc, keys[a:b], own[a:b], figures, cuts, symbols)
+            ids.append(row[a])
+            nats.append(total[0] / own[a:b].sum())
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(nats)], ["row", "nats"])
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            row = batch.column("row").to_numpy()
+            last = int(np.searchsorted(row, row[-1]))
+            if held and held[-1].column("row")[-1].as_py() != row[0]:
+                yield self.scores(pa.Table.from_batches(held))
+                held = []
+            if last:
+                yield self.scores(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield self.scores(pa.Table.from_batches(held))
+
+
+def _scores_by_join(docs: DataFrame, levels: dict[int, DataFrame]) -> DataFrame:
+    """(row, nats): each text's own distinct n-grams meet their figures in a join.
+
+    The counts hold every n-gram of `docs`, as they were made from them.
     """
-    own = docs.mapInArrow(_keys_by_row, "row long, lang string, key long, n long")
-    top = model.where(f"kind = {ORDER}").select(
-        F.col("lang").alias("other"), F.col("key").alias("gram"), "value"
-    )
-    found = own.join(top, F.expr("lang <=> other and key = gram"))
-    nats = -F.sum(F.col("n") * F.col("value").cast("float")) / F.sum("n")
-    return found.groupBy("row").agg(nats.alias("nats"))
+    languages, wide = {}, levels[ORDER].withColumnRenamed("n", f"n{ORDER}")
+    for k in range(ORDER, 0, -1):
+        times = [F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]
+        for lang, *found, size in levels[k].groupBy("lang").agg(*times, F.count("*")).collect():
+            languages.setdefault(lang, ({}, size))[0][k] = _discounts(found)
+            languages[lang] = languages[lang][0], size
+        n, short = F.col("n"), F.col("key").bitwiseAND(F.lit(_mask(k)))
+        if k < ORDER:
+            level = levels[k].select(F.col("lang").alias("other"), F.col("key").alias("gram"), n.alias(f"n{k}"))
+            wide = wide.join(level, F.col("lang").eqNullSafe(F.col("other")) & (short == F.col("gram")))
+            wide = wide.drop("other", "gram")
+        kinds = [F.count_if(c).alias(f"{name}{k}") for name, c in (("ones", n == 1), ("twos", n == 2), ("more", n > 2))]
+        contexts = levels[k].groupBy(F.col("lang").alias("other"), F.shiftright("key", BITS).alias("before"))
+        contexts = contexts.agg(F.sum("n").alias(f"total{k}"), *kinds)
+        wide = wide.join(contexts, F.col("lang").eqNullSafe(F.col("other")) & (F.shiftright(short, BITS) == F.col("before")))
+        wide = wide.drop("other", "before")
+    names = {"lang": "other", "key": "gram"}
+    wide = staged(wide, "figures").withColumnsRenamed(names)
+    own = docs.mapInArrow(_keys_by_row, "row long, lang string, key long, own long")
+    found = own.join(wide, F.expr("lang <=> other and key = gram")).drop("other", "gram")
+    found = found.repartition("row").sortWithinPartitions("row", "key")
+    return found.mapInArrow(_JoinedScore(languages), "row long, nats double")
 
 
 def _later_copies(docs: DataFrame) -> DataFrame:
@@ -355,14 +545,14 @@ def quality_scores(
     )
     later = _later_copies(slim)
     once = slim.join(sized(later), "row", "left_anti").select("lang", "text")
-    model = kneser_ney(once)
+    counts = top_counts(once)
     kind = dict(slim.dtypes)["doc"]
     schema = f"row long, doc {kind}, lang string, chars long, " + ", ".join(f"{c} long" for c in STATS)
-    if model.count() <= model_rows:
-        arrays = docs.sparkSession.sparkContext.broadcast(sorted_arrays(model))
+    if 2 * counts.count() <= model_rows:
+        arrays = docs.sparkSession.sparkContext.broadcast(counted(counts))
         scores = slim.mapInArrow(_Score(arrays), schema + ", nats double")
     else:
-        nats = staged(_scores_by_join(slim, model), "scores")
+        nats = staged(_scores_by_join(slim, lower_levels(counts)), "scores")
         scores = slim.mapInArrow(_Score(), schema).join(nats, "row", "left")
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > int(100 * REPEATED) * F.col("n_words")

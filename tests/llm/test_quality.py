@@ -96,5 +96,30 @@ def test_copies_of_a_sound_text_are_kept(spark):
         assert found.where("doc_id >= 1000 and kept").count() == 100
 
 
+def test_scores_leave_out_what_the_text_brought(spark):
+    texts = [t for t in dict.fromkeys(plain.random_texts(4, 30)) if t] + ["😀ж中" * 5]
+    full = plain.KneserNey(texts, perplexity.ORDER)
+    docs = plain.table(spark, [(i, t, "en") for i, t in enumerate(texts + texts[:2])])
+    for size in (perplexity.MODEL_ROWS, 0):
+        for r in quality_scores(docs, model_rows=size).collect():
+            text = (texts + texts[:2])[r.doc_id]
+            others = plain.KneserNey([t for t in texts if t != text], perplexity.ORDER)
+            others.cuts = full.cuts
+            assert abs(r.nats - others.nats(text)) < 1e-6
+
+
+def test_gibberish_is_rejected_in_any_amount(spark):
+    rng = random.Random(18)
+    rows = [(i, plain.syllables(rng, rng.randint(100, 400)), "en") for i in range(250)]
+    kinds = ["abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz0123456789", "αβγδεζηθικλμνξοπρστυφχψω"]
+    for amount in (1, 20):
+        junk = ["".join(rng.choice(k + "  " * 2) for _ in range(n)) for k in kinds for n in (1500, 6000) for _ in range(amount)]
+        odd = [(1000 + i, t, "en") for i, t in enumerate(junk)]
+        found = quality_scores(plain.table(spark, rows + odd)).where("not base_failed")
+        assert found.where("doc_id >= 1000").count() == len(junk)
+        assert found.where("doc_id >= 1000 and kept").count() == 0
+        assert found.where("doc_id < 1000 and not kept").count() <= 2
+
+
 def test_empty_table(spark):
     assert quality_scores(plain.table(spark, [])).count() == 0
