@@ -45,7 +45,7 @@ HELD = 4_000_000
 
 #: Half-widths of the bands in spreads of a language, the least spread, and what is added
 #: for a text of any length, in nats a character.
-BELOW, ABOVE, LEAST, MORE = 7.0, 4.0, 0.8, 0.02
+BELOW, ABOVE, LEAST, MORE = 2.5, 4.75, 0.8, 0.02
 
 #: Base rules: fewer words, or a larger share of words in repeated windows, fail.
 MIN_WORDS, WINDOW, REPEATED = 10, 5, 0.2
