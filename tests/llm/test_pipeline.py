@@ -67,4 +67,4 @@ def test_stages_return_documents(spark, folder):
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
