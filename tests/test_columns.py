@@ -217,7 +217,7 @@ def test_own_wording(spark):
 def test_histogram_edges(spark):
     lengths = spark.createDataFrame([(n,) for n in [0, 24, 25, 799, 800, 801, 5000]], "token_len int")
     got = {r.bin: r.n_rows for r in profile.token_length_histogram(lengths).collect()}
-    assert len(got) == 32 and {b: n for b, n in got.items() if n} == {0: 2, 1: 1, 31: 2}
+    assert len(got) == 33 and {b: n for b, n in got.items() if n} == {0: 2, 1: 1, 31: 2, 32: 2}
     stats = profile.token_length_stats(lengths).first()
     assert (stats.n_capped, stats.min_capped, stats.max_capped, stats.mean_capped) == (5, 0, 800, 329)
     assert (stats.n_all, stats.max_all) == (7, 5000)
