@@ -140,112 +140,6 @@ def lower_levels(counts: DataFrame) -> dict[int, DataFrame]:
     return levels
 
 
-def kneser_ney(docs: DataFrame) -> DataFrame:
-    """The model of `docs` (lang, text) as rows (lang, kind, key, value), a staged table.
-
-    kind k from 1 to ORDER: the log probability of the k-gram `key`. kind -k: the log of
-    the weight that the context `key`, of k - 1 characters, gives to order k - 1. kind 0:
-    the log of the share of an unseen character.
-    """
-    levels = lower_levels(top_counts(docs))
-    same = "lang <=> other"
-    seen = levels[1].groupBy("lang").agg(F.count("*").alias("symbols"))
-    low = seen.select("lang", F.lit(0).alias("key"), (1 / (F.col("symbols") + 1)).alias("p"))
-    rows = [low.select("lang", F.lit(0).alias("kind"), "key", F.log("p").alias("value"))]
-    for k in range(1, ORDER + 1):
-        times = [F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]
-        ones = F.greatest("n1", F.lit(1))
-        share = ones / (ones + 2 * F.col("n2"))
-        discounts = [
-            F.least(
-                F.greatest(
-                    i - (i + 1) * share * F.col(f"n{i + 1}") / F.greatest(f"n{i}", F.lit(1)),
-                    F.lit(0.1),
-                ),
-                F.lit(float(i) - 0.1),
-            ).alias(f"d{i}")
-            for i in (1, 2, 3)
-        ]
-        cut = levels[k].groupBy("lang").agg(*times)
-        cut = F.broadcast(cut.select(F.col("lang").alias("other"), *discounts))
-        some = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2"))
-        grams = levels[k].join(cut, F.expr(same)).drop("other")
-        grams = grams.withColumn("context", F.shiftright("key", BITS))
-        kinds = [F.count_if(c).alias(f"k{i}") for i, c in ((1, F.col("n") == 1), (2, F.col("n") == 2), (3, F.col("n") > 2))]
-        contexts = grams.groupBy("lang", "context", "d1", "d2", "d3").agg(
-            F.sum("n").alias("total"), *kinds
-        )
-        reserved = sum(F.col(f"d{i}") * F.col(f"k{i}") for i in (1, 2, 3))
-        contexts = contexts.select(
-            F.col("lang").alias("other"), "context", "total", (reserved / F.col("total")).alias("g")
-        )
-        contexts = staged(contexts, "contexts")
-        below = staged(low, "lower-order")
-        below = below.select(F.col("lang").alias("third"), F.col("key").alias("rest"), F.col("p").alias("less"))
-        kept = (F.col("n") - some.otherwise(F.col("d3"))) / F.col("total")
-        low = (
-            grams.join(contexts.withColumnRenamed("context", "before"), F.expr(f"{same} and context = before"))
-            .withColumn("suffix", F.col("key").bitwiseAND(F.lit(_mask(k - 1))))
-            .join(below, F.expr("lang <=> third and suffix = rest"))
-            .select("lang", "key", (kept + F.col("g") * F.col("less")).alias("p"))
-        )
-        low = staged(low, "probabilities")
-        rows.append(low.select("lang", F.lit(k).alias("kind"), "key", F.log("p").alias("value")))
-        rows.append(contexts.select(F.col("other").alias("lang"), F.lit(-k).alias("kind"), F.col("context").alias("key"), F.log("g").alias("value")))
-    model = rows[0]
-    for more in rows[1:]:
-        model = model.unionByName(more)
-    return staged(model, "model")
-
-
-Arrays = dict[str | None, dict[int, tuple[np.ndarray, np.ndarray]]]
-
-
-def sorted_arrays(model: DataFrame) -> Arrays:
-    """The model's keys in order beside its values, by language and kind.
-
-    One kind after the other comes to the driver, so that no more than its own rows are
-    held there in another form than the arrays.
-    """
-    out: Arrays = defaultdict(dict)
-    for kind in range(-ORDER, ORDER + 1):
-        part = model.where(F.col("kind") == kind)
-        rows = part.select("lang", "key", F.col("value").cast("float").alias("value")).toArrow()
-        if not rows.num_rows:
-            continue
-        langs = rows.column("lang").combine_chunks().dictionary_encode()
-        names = langs.dictionary.to_pylist()
-        code = langs.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-        key, value = rows.column("key").to_numpy(), rows.column("value").to_numpy()
-        del rows
-        for c in np.unique(code).tolist():
-            mine = np.flatnonzero(code == c)
-            mine = mine[np.argsort(key[mine])]
-            out[names[c] if c >= 0 else None][kind] = (key[mine], value[mine])
-    return dict(out)
-
-
-def _found(arrays: dict, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    known, values = arrays.get(kind, (np.zeros(1, np.int64) - 1, np.zeros(1, np.float32)))
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return known[at] == keys, values[at]
-
-
-def log_probabilities(arrays: dict, keys: np.ndarray) -> np.ndarray:
-    """The log probability of each n-gram's last character; unseen n-grams back off."""
-    out, open_ = np.zeros(len(keys), np.float64), np.arange(len(keys))
-    for k in range(ORDER, 0, -1):
-        now = keys[open_] & _mask(k)
-        hit, value = _found(arrays, k, now)
-        out[open_[hit]] += value[hit]
-        open_, now = open_[~hit], now[~hit]
-        if not len(open_):
-            return out
-        hit, value = _found(arrays, -k, now >> BITS)
-        out[open_[hit]] += value[hit]
-    return out + np.where(np.isin(np.arange(len(keys)), open_), arrays[0][1][0], 0.0)
-
-
 # scores without a text's own counts --------------------------------------------------
 
 
@@ -548,6 +442,7 @@ def quality_scores(
     counts = top_counts(once)
     kind = dict(slim.dtypes)["doc"]
     schema = f"row long, doc {kind}, lang string, chars long, " + ", ".join(f"{c} long" for c in STATS)
+    arrays = None
     if 2 * counts.count() <= model_rows:
         arrays = docs.sparkSession.sparkContext.broadcast(counted(counts))
         scores = slim.mapInArrow(_Score(arrays), schema + ", nats double")
@@ -558,6 +453,8 @@ def quality_scores(
         100 * F.col("n_repeat_words") > int(100 * REPEATED) * F.col("n_words")
     )
     scores = staged(scores.withColumn("base_failed", failed).fillna(0.0, ["nats"]), "scores")
+    if arrays:
+        arrays.destroy()  # written scores need it no more, and workers drop theirs
     sound = scores.where(~F.col("base_failed")).join(sized(later), "row", "left_anti")
     middle = sound.groupBy("lang").agg(F.percentile(F.round("nats", 3), F.lit(0.5)).alias("middle"))
     middle = F.broadcast(middle.withColumnRenamed("lang", "other"))

@@ -18,13 +18,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldledger.llm.common import slices, text_or_empty
-from fieldledger.llm.registry import query, table
+from fieldledger.llm.common import SLICE_BYTES, slices, text_or_empty
+from fieldledger.llm.registry import query, reach, table
 from fieldledger.llm.tokens import Gathered
 from fieldledger.llm.words import _STEP, _power, code_points, mixed
 
@@ -183,16 +184,30 @@ class _Encode:
 
 
 class _Decode:
-    def __init__(self, path: str):
-        self.path = path
+    """Texts of ids; with `encode`, texts are encoded first, in the same pass."""
+
+    def __init__(self, path: str, encode: bool = False):
+        self.path, self.encode = path, encode
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = piece_encoder(self.path).decode
-        for batch in batches:
-            lists = batch.column("ids")
-            values = [np.array(x.as_py() or [], np.int64) for x in lists]
-            texts = pa.array([decode(x) for x in values], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), lists, texts], ["doc", "ids", "text"])
+        for batch in _Encode(self.path)(batches) if self.encode else batches:
+            for part in _id_slices(batch):
+                lists = part.column("ids")
+                ids, many = lists.flatten().to_numpy(), pc.fill_null(pc.list_value_length(lists), 0)
+                ends = np.concatenate(([0], np.cumsum(many.to_numpy(zero_copy_only=False))))
+                texts = [decode(ids[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                columns = [part.column("doc"), lists, pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "ids", "text"])
+
+
+def _id_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about `SLICE_BYTES` ids in all."""
+    many = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False)
+    group = (np.cumsum(many) - many) // SLICE_BYTES
+    for at in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(group)) + 1):
+        if len(at):
+            yield batch.slice(int(at[0]), len(at))
 
 
 def encoded(
@@ -215,9 +230,21 @@ def decoded(ids: DataFrame, path: str | None = None) -> DataFrame:
     )
 
 
+def round_trip(
+    docs: DataFrame, doc: str = "doc_id", text: str = "text", path: str | None = None
+) -> DataFrame:
+    """(doc, ids, text): `decoded(encoded(docs))` in one pass, so that a task has one worker
+    and one table of pieces. Odd rows are treated as these two do."""
+    path = path or public_tokenizers.path(VOCABULARY)
+    reach(docs.sparkSession)
+    slim = docs.select(F.col(doc).alias("doc"), text_or_empty(text).alias("text"))
+    kind = slim.schema["doc"].dataType.simpleString()
+    return slim.mapInArrow(_Decode(path, encode=True), f"doc {kind}, ids array<int>, text string")
+
+
 @query("op2_sentencepiece")
 def op2_sentencepiece(spark, folder):
-    found = decoded(encoded(table(spark, folder, "documents")))
+    found = round_trip(table(spark, folder, "documents"))
     joined = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return found.select(
         F.col("doc").alias("doc_id"),

@@ -22,11 +22,9 @@ from tokenizers import Tokenizer  # noqa: E402
 
 VOCABULARY = "byte_bpe_50k.json"
 
-#: Distinct pieces that a task holds; beyond it the table starts anew.
-PIECES = 1_000_000
-
-#: Pieces that the tokenizer takes at once.
-BATCH = 50_000
+#: Bytes of distinct pieces and their ids that a task holds; beyond it the table starts
+#: anew. What Python adds to each piece is counted as `EXTRA`.
+TABLE_BYTES, EXTRA = 70_000_000, 200
 
 
 class _Places(dict):
@@ -59,16 +57,17 @@ class Gathered:
         raise NotImplementedError
 
     def _clear(self) -> None:
-        self.known = _Places()
+        self.known, self.held = _Places(), 0
         self.flat, self.start = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _extend(self, keys: list[str]) -> None:
         flat, sizes = self.learn([k[1:] if k[:1] == " " else " " + k for k in keys])
         self.start = np.concatenate((self.start, np.cumsum(sizes) + len(self.flat)))
         self.flat = np.concatenate((self.flat, flat))
+        self.held += EXTRA * len(keys) + sum(map(len, keys)) + flat.nbytes
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > PIECES:
+        if self.held > TABLE_BYTES:
             self._clear()
         split = list(map(self.split, texts))
         places = map(self.known.__getitem__, chain.from_iterable(split))
@@ -85,6 +84,14 @@ class Gathered:
         return [ids[a:b] for a, b in zip(upto[:-1], upto[1:], strict=True)]
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: visible ones of
+    Latin-1 stand for themselves, others for letters from U+0100 on, in order."""
+    seen = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    other = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
 class Encoder(Gathered):
     """Encodes like `Tokenizer.encode(text, add_special_tokens=False)`.
 
@@ -96,6 +103,8 @@ class Encoder(Gathered):
         self.pattern = regex.compile(pattern)
         self.marks = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.bytewise = self.tokenizer.normalizer is None
+        self.letters = _byte_letters()
         super().__init__()
 
     def split(self, text: str) -> list[str]:
@@ -109,13 +118,31 @@ class Encoder(Gathered):
         return keys
 
     def learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        out = [self._encoded(pieces[i : i + BATCH]) for i in range(0, len(pieces), BATCH)]
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
-    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        ids, words = np.array(found.ids, np.uint32), np.array(found.word_ids, np.int64)
-        return ids, np.bincount(words, minlength=len(pieces))
+        """What the tokenizer's pattern cuts goes to its model, each different cut once."""
+        known: dict[str, list[int]] = {}
+        flat, sizes = [], []
+        for piece in pieces:
+            before = len(flat)
+            for cut in self._cuts(piece):
+                if (ids := known.get(cut)) is None:
+                    ids = known[cut] = self._ids(cut)
+                flat += ids
+            sizes.append(len(flat) - before)
+        return np.array(flat, np.uint32), np.array(sizes, np.int64)
+
+    def _cuts(self, piece: str) -> list[str]:
+        if piece[1:].isalpha() and piece[0] == " " or self._whole(piece):
+            return [piece]
+        return self.pattern.findall(piece)
+
+    def _whole(self, piece: str) -> bool:
+        return not self.bytewise or any(m in piece for m in self.marks)
+
+    def _ids(self, cut: str) -> list[int]:
+        if self._whole(cut):
+            return self.tokenizer.encode(cut, add_special_tokens=False).ids
+        letters = cut.encode().decode("latin1").translate(self.letters)
+        return [x.id for x in self.tokenizer.model.tokenize(letters)]
 
 
 @lru_cache(maxsize=2)

@@ -3,7 +3,7 @@
 import math
 import random
 import re
-from collections import Counter, defaultdict
+from collections import ChainMap, Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -104,6 +104,7 @@ class KneserNey:
         self.levels = {order: counts}
         for k in range(order - 1, 0, -1):
             self.levels[k] = Counter(g[1:] for g in self.levels[k + 1])
+        self.symbols = len(self.levels[1])
         self.cuts, self.total, self.classes = {}, defaultdict(int), defaultdict(Counter)
         for k, level in self.levels.items():
             n = Counter(level.values())
@@ -126,7 +127,7 @@ class KneserNey:
     def p(self, gram):
         k = len(gram)
         if not k:
-            return 1 / (len(self.levels[1]) + 1)
+            return 1 / (self.symbols + 1)
         c, total = self.levels[k][gram], self.total[k, gram[:-1]]
         if not total:
             return self.p(gram[1:])
@@ -136,6 +137,27 @@ class KneserNey:
         own = c - cut[min(c, 3) - 1] if c else 0
         return own / total + weight * self.p(gram[1:])
 
+    def without(self, text):
+        """This model without what `text` brought to its counts, with the same discounts."""
+        out = KneserNey.__new__(KneserNey)
+        out.order, out.cuts, out.levels = self.order, self.cuts, {}
+        total, classes, less = {}, {}, Counter(self.grams(text))
+        for k in range(self.order, 0, -1):
+            level = {}
+            for g, n in less.items():
+                before = self.levels[k][g]
+                level[g] = after = before - n
+                context = (k, g[:-1])
+                total[context] = total.get(context, self.total[context]) - n
+                kinds = classes.setdefault(context, Counter(self.classes[context]))
+                kinds[min(before, 3)] -= 1
+                kinds[min(after, 3)] += after > 0
+            out.levels[k] = ChainMap(level, self.levels[k])
+            less = Counter(g[1:] for g in less if not level[g])
+        out.total, out.classes = ChainMap(total, self.total), ChainMap(classes, self.classes)
+        out.symbols = sum(n > 0 for n in out.levels[1].values())
+        return out
+
     def nats(self, text):
         return -sum(math.log(self.p(g)) for g in self.grams(text)) / max(1, len(text))
 
@@ -146,6 +168,33 @@ def median(values):
     return (values[(n - 1) // 2] + values[n // 2]) / 2
 
 
+def verdicts(rows, order, below, above, least, more):
+    """(figures, base_failed, nats, kept) of each (text, lang), with equal texts once in
+    models and medians, and each text scored without what it brought."""
+    full, scored = {}, {}
+    for lang in {lang for _, lang in rows}:
+        texts = dict.fromkeys(t for t, of in rows if of == lang)
+        full[lang] = KneserNey(texts, order)
+        for t in texts:
+            figures = base_figures(t)
+            failed = figures[0] < 10 or 100 * figures[4] > 20 * figures[0]
+            model = full[lang].without(t)
+            nats = model.nats(t) if model.symbols else 0.0
+            scored[t, lang] = [figures, failed, nats, False]
+        mine = [(t, x) for (t, of), x in scored.items() if of == lang]
+        sound = [(t, x) for t, x in mine if not x[1]]
+        if not sound:
+            continue
+        middle = median([round(x[2], 3) for _, x in sound])
+        apart = [round(abs(x[2] - middle) * len(t) ** 0.5, 2) for t, x in sound]
+        spread = max(1.4826 * median(apart), least)
+        for t, x in mine:
+            reach = spread / max(1, len(t)) ** 0.5
+            within = middle - below * reach - more <= x[2] <= middle + above * reach + more
+            x[3] = within and not x[1]
+    return [scored[r] for r in rows]
+
+
 def random_texts(seed, n=120):
     """Texts of some words, many of them changed copies of others."""
     rng = random.Random(seed)

@@ -16,24 +16,9 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def sound(rows):
     """The documents that the quality rules keep, by plain models."""
-    models, judged = {}, []
-    for lang in {r.lang for r in rows}:
-        models[lang] = plain.KneserNey([r.text for r in rows if r.lang == lang], ORDER)
-    for r in rows:
-        figures = plain.base_figures(r.text)
-        if figures[0] >= 10 and 100 * figures[4] <= 20 * figures[0]:
-            judged.append((r, models[r.lang].nats(r.text)))
-    out = []
-    for lang in models:
-        mine = [(r, x) for r, x in judged if r.lang == lang]
-        middle = plain.median([round(x, 3) for _, x in mine])
-        apart = [round(abs(x - middle) * len(r.text) ** 0.5, 2) for r, x in mine]
-        spread = max(1.4826 * plain.median(apart), LEAST)
-        for r, x in mine:
-            reach = spread / len(r.text) ** 0.5
-            if middle - BELOW * reach - MORE <= x <= middle + ABOVE * reach + MORE:
-                out.append(r)
-    return sorted(out, key=lambda r: r.doc_id)
+    found = plain.verdicts([(r.text, r.lang) for r in rows], ORDER, BELOW, ABOVE, LEAST, MORE)
+    kept = [r for r, x in zip(rows, found, strict=True) if x[-1]]
+    return sorted(kept, key=lambda r: r.doc_id)
 
 
 def test_against_a_plain_version(spark, folder):

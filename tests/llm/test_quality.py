@@ -1,10 +1,8 @@
-import math
 import random
 
-import numpy as np
 import plain
 from fieldledger.llm import perplexity
-from fieldledger.llm.perplexity import STATS, base_stats, kneser_ney, quality_filter, quality_scores, sorted_arrays
+from fieldledger.llm.perplexity import ABOVE, BELOW, LEAST, MORE, STATS, base_stats, quality_filter, quality_scores
 
 
 def test_base_figures():
@@ -16,60 +14,25 @@ def test_base_figures():
     assert found == [plain.base_figures(t) for t in texts]
 
 
-def test_model_is_kneser_ney(spark):
-    texts = plain.random_texts(4, 30) + ["", "😀ж中" * 5]
-    rows = [(i, t, "en") for i, t in enumerate(texts)]
-    arrays = sorted_arrays(kneser_ney(plain.table(spark, rows).select("lang", "text")))["en"]
-    model = plain.KneserNey(texts, perplexity.ORDER)
-    other = texts[:5] + ["unseen zzz qqq", plain.syllables(random.Random(9), 30)]
-    for text in other:
-        if text:
-            keys, _ = perplexity.ngrams([text])
-            found = perplexity.log_probabilities(arrays, keys)
-            assert np.allclose(found, [math.log(model.p(g)) for g in model.grams(text)], atol=1e-5)
-    symbols = [g[0] for g in model.levels[1]]
-    context = model.grams(texts[0])[3][1:]
-    rest = model.p(context[1:] + (4095,)) * 0  # an unseen character takes what is left
-    assert abs(sum(model.p(context + (s,)) for s in symbols) + rest - 1) < 0.05
-
-
 def expected(rows):
-    texts = {}
-    for _, t, lang in rows:
-        texts.setdefault(lang, []).append(t or "")
-    models = {lang: plain.KneserNey(t, perplexity.ORDER) for lang, t in texts.items()}
-    out = []
-    for i, t, lang in rows:
-        figures = plain.base_figures(t)
-        failed = figures[0] < 10 or 100 * figures[4] > 20 * figures[0]
-        out.append([i, t, lang, figures, failed, models[lang].nats(t or "")])
-    for lang in texts:
-        mine = [r for r in out if r[2] == lang]
-        sound = [r for r in mine if not r[4]]
-        if not sound:
-            for r in mine:
-                r.append(False)
-            continue
-        middle = plain.median([round(r[5], 3) for r in sound])
-        apart = [round(abs(r[5] - middle) * len(r[1]) ** 0.5, 2) for r in sound]
-        spread = max(1.4826 * plain.median(apart), perplexity.LEAST)
-        for r in mine:
-            reach = spread / max(1, len(r[1] or "")) ** 0.5
-            low = middle - perplexity.BELOW * reach - perplexity.MORE
-            high = middle + perplexity.ABOVE * reach + perplexity.MORE
-            r.append(low <= r[5] <= high and not r[4])
-    return out
+    figures = BELOW, ABOVE, LEAST, MORE
+    found = plain.verdicts([(t or "", lang) for _, t, lang in rows], perplexity.ORDER, *figures)
+    return [(*r, *x) for r, x in zip(rows, found, strict=True)]
 
 
 def test_verdicts_by_both_ways(spark):
     rng = random.Random(5)
     rows = plain.odd_rows(rng) + [(100 + i, t, "en") for i, t in enumerate(plain.random_texts(6, 60))]
     docs = plain.table(spark, rows)
-    want = sorted((str(r[0]), *r[3], r[4], r[6]) for r in expected(rows))
+    plainly = expected(rows)
+    want = sorted((str(r[0]), *r[3], r[4], r[6]) for r in plainly)
+    nats = sorted((str(r[0]), round(r[5], 5)) for r in plainly)
     for size in (perplexity.MODEL_ROWS, 0):
         found = quality_scores(docs, model_rows=size).collect()
         got = sorted((str(r.doc_id), *(r[c] for c in STATS), r.base_failed, r.kept) for r in found)
         assert got == want
+        scored = sorted((str(r.doc_id), round(r.nats, 5)) for r in found)
+        assert all(abs(x[1] - y[1]) < 1e-4 for x, y in zip(scored, nats, strict=True))
     kept = quality_filter(docs)
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(r[0] for r in want if r[-1])
