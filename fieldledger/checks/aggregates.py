@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from fieldledger.checks import proxies, sql
 from fieldledger.checks.registry import query
-from fieldledger.functions.casts import lenient_year
 from fieldledger.functions.text import word_count
 from fieldledger.operators import clean, enrich, profile, records
 from fieldledger.operators.joins import join_dimension
@@ -66,12 +65,10 @@ def label_balance_records(spark: SparkSession, folder: str) -> DataFrame:
 )
 def stage_counts(spark: SparkSession, folder: str) -> DataFrame:
     activity = staged(proxies.activity(spark, folder), "activity")
-    raw = proxies.incidents_raw(spark, folder)
-    typed = raw.withColumns({"year": lenient_year(F.col("iyear")), "country": F.col("country_txt")})
-    cleaned = clean.cleaning_flags(raw)["cleaned"]
-    matched = cleaned & (F.col("evt_count") > 0)
+    judged = staged(clean.judged_incidents(proxies.incidents_raw(spark, folder)), "incidents")
+    cleaned, matched = F.col("cleaned"), F.col("cleaned") & (F.col("evt_count") > 0)
     return profile.stage_counts(
-        (enrich.enrich_left(typed, activity), {"incidents_raw": None, "incidents": cleaned, "matched": matched}),
+        (enrich.enrich_left(judged, activity), {"incidents_raw": None, "incidents": cleaned, "matched": matched}),
         (activity, {"activity": None}),
     )
 

@@ -63,12 +63,12 @@ def required_fields_gate(spark: SparkSession, folder: str) -> DataFrame:
 )
 def non_empty_gate(spark: SparkSession, folder: str) -> DataFrame:
     activity = quality.non_empty_gate(staged(proxies.activity(spark, folder), "activity"), "activity")
-    raw = proxies.incidents_raw(spark, folder)
-    joined = proxies.enrich_left(clean.clean_incidents(raw), activity)
+    judged = staged(clean.judged_incidents(proxies.incidents_raw(spark, folder)), "incidents")
+    joined = proxies.enrich_left(clean.kept_incidents(judged), activity)
     lines = staged(records.format_incident_records(joined).select("value"), "lines")
     return quality.stage_gate(
         profile.stage_counts(
-            (raw, {"incidents": clean.cleaning_flags(raw)["cleaned"]}),
+            (judged, {"incidents": F.col("cleaned")}),
             (activity, {"activity": None}),
             (joined, {"joined": None}),
             (lines, {"formatted": F.col("value").isNotNull()}),

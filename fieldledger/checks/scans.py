@@ -14,6 +14,7 @@ from fieldledger.functions.text import nonblank
 from fieldledger.operators import profile, records
 from fieldledger.scratch import scratch_path, staged
 from fieldledger.sources import readers, writers
+from fieldledger.sources.published import split_folder
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -109,7 +110,7 @@ def scan_jsonl_records(spark: SparkSession, folder: str) -> DataFrame:
 )
 def scan_part_files(spark: SparkSession, folder: str) -> DataFrame:
     path = written_splits(spark, folder)
-    parts = {s: readers.scan_part_files(spark, f"{path}/{s}.jsonl") for s in fv.SPLIT_FRACTIONS}
+    parts = {s: readers.scan_part_files(spark, split_folder(spark, path, s)) for s in fv.SPLIT_FRACTIONS}
     return records.union_splits(parts).groupBy("split").agg(
         F.count("*").alias("n_rows"),
         (F.count_distinct("file_name") >= 1).alias("has_files"),
@@ -120,10 +121,16 @@ def scan_part_files(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "lookup_table",
     f"with {sql.LOOKUP}, {sql.ACTIVITY_RAW}, counted as (select c7, count(*) as n from activity_raw group by 1) "
-    "select code, name, cast(coalesce(n, 0) as bigint) as n_rows from country_lookup left join counted on code = c7",
+    "select code, name, cast(coalesce(n, 0) as bigint) as n_rows, true as in_mapping "
+    "from country_lookup left join counted on code = c7",
 )
 def lookup_table(spark: SparkSession, folder: str) -> DataFrame:
-    lookup = readers.lookup_from_table(proxies.country_lookup(spark, folder), "code", "name")
+    names = proxies.country_lookup(spark, folder)
+    # A literal mapping is what a user passes; here it comes from the few rows of the reference table.
+    mapping = readers.lookup_table(spark, {r.code: r.name for r in names.collect()})
+    same = mapping.select("code", "name", F.lit(True).alias("in_mapping"))
+    lookup = readers.lookup_from_table(names, "code", "name").join(F.broadcast(same), ["code", "name"], "full")
+    lookup = lookup.fillna(False, ["in_mapping"])
     counts = proxies.activity_raw(spark, folder).groupBy(F.col("c7").alias("code")).agg(F.count("*").alias("n_rows"))
     return lookup.join(counts, "code", "left").fillna(0, ["n_rows"])
 
@@ -133,8 +140,12 @@ def lookup_table(spark: SparkSession, folder: str) -> DataFrame:
     f"with {sql.SPLIT_REPORTS} select split, system, instruction, '' as input, output from split_reports",
 )
 def sink_jsonl_splits(spark: SparkSession, folder: str) -> DataFrame:
-    path = written_splits(spark, folder)
-    read = {s: readers.scan_jsonl_records(spark, f"{path}/{s}.jsonl") for s in fv.SPLIT_FRACTIONS}
+    path = scratch_path(spark, "records")
+    lines = proxies.record_lines(spark, folder)
+    # A first version with other lines, which the second one takes the place of.
+    writers.sink_jsonl_splits(lines.select(F.lit("{}").alias("value"), "split"), path)
+    writers.sink_jsonl_splits(lines, path)
+    read = {s: readers.scan_split_records(spark, path, s) for s in fv.SPLIT_FRACTIONS}
     return records.union_splits(read).select("split", *fv.RECORD_KEYS)
 
 

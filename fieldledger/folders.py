@@ -1,4 +1,4 @@
-"""Folders in whatever file system Spark reads: listed, moved and removed as a whole."""
+"""Folders in whatever file system Spark reads: listed and removed as a whole."""
 
 from __future__ import annotations
 
@@ -21,13 +21,3 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     if not system.exists(folder):
         return []
     return [entry.getPath().getName() for entry in system.listStatus(folder) if entry.isDirectory()]
-
-
-def replace_folder(spark: SparkSession, path: str, source: str | None) -> None:
-    """`source` under the name `path`, in place of what was there; an empty folder for None."""
-    system, folder = _folder(spark, path)
-    system.delete(folder, True)
-    if source is None:
-        system.mkdirs(folder)
-    elif not system.rename(_folder(spark, source)[1], folder):
-        raise OSError(f"{source} could not be moved to {path}")

@@ -12,6 +12,7 @@ from fieldledger.functions.casts import double_or_zero, lenient_year, year_prefi
 from fieldledger.functions.records import decoded
 
 KEY_FIELDS = ("year", "country", "attack_type")
+FLAGS = ("cleaned", "kills_missing", "kills_replaced", "wounds_missing", "wounds_replaced")
 
 
 def project_rename(df: DataFrame, mapping: Mapping[str, str] = fv.INCIDENT_COLUMNS) -> DataFrame:
@@ -91,6 +92,22 @@ def cleaning_flags(
     return flags
 
 
+def judged_incidents(raw: DataFrame, mapping: Mapping[str, str] = fv.INCIDENT_COLUMNS) -> DataFrame:
+    """All raw incidents, renamed and typed, beside the `cleaning_flags`.
+
+    Stage it: counts of what was dropped or replaced and the kept incidents then come
+    from one reading of the source.
+    """
+    needed = {old: new for old, new in mapping.items() if new not in fv.OPTIONAL_INCIDENT_COLUMNS}
+    typed = project_rename(raw.withColumns(cleaning_flags(raw, mapping)), {**needed, **{n: n for n in FLAGS}})
+    return cast_measures(typed)
+
+
+def kept_incidents(judged: DataFrame) -> DataFrame:
+    """The incidents that `clean_incidents` keeps, of a staged `judged_incidents`."""
+    return judged.where("cleaned").drop(*FLAGS)
+
+
 def activity_rows(
     log: DataFrame,
     years: Sequence[int] = fv.ACTIVITY_YEARS,

@@ -20,13 +20,13 @@ def prepare_chat_texts(
     template: ChatTemplate = RECORD_CHAT,
     default_system: str = ReportTemplate().system,
 ) -> dict[str, DataFrame]:
-    """Write the chat texts of `<input>/<split>.jsonl` as JSON lines `{text}` and report on them.
+    """Write the chat texts of a split below `input_path` as JSON lines `{text}` and report on them.
 
     Lines that are no records (`corrupt_record_report` calls them not_json, not_object
     or not_text) are not written; the table `records` counts them. The written texts are
     read once, into counts.
     """
-    read = readers.scan_jsonl_records(spark, f"{input_path}/{split}.jsonl")
+    read = readers.scan_split_records(spark, input_path, split)
     given = quality.required_fields_gate(read)
     usable = given.filter(F.col(readers.CORRUPT).isNull())
     texts = chat.chat_render_single(usable, template, default_system).select("text")

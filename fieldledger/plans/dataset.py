@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldledger import fixed_values as fv
@@ -54,12 +55,13 @@ class DatasetReport:
 
 
 def build_dataset(spark: SparkSession, config: DatasetConfig) -> DatasetReport:
-    """Write `<output>/<split>.jsonl`, once, and report on it.
+    """Publish the splits below `output_path`, written once, and report on them.
 
-    The log is read for its widths and for the count per year and country. Records are
-    rendered in the pass that writes them. Counts of the incidents come from narrow
-    passes that render nothing, counts of the splits from the read-back. Staged tables
-    are removed at the end.
+    The log is read for its widths and for the count per year and country. The incidents
+    are read once, into a typed table that all counts and the records come from; counts
+    of its committed rows are exact whatever tasks were repeated. Records are rendered in
+    the pass that writes them; counts of the splits come from the read-back. Staged
+    tables are removed at the end.
     """
     with scratch_run(spark):
         tables = _build(spark, config)
@@ -71,9 +73,10 @@ def build_dataset(spark: SparkSession, config: DatasetConfig) -> DatasetReport:
 def _build(spark: SparkSession, config: DatasetConfig) -> dict[str, DataFrame]:
     raw = readers.scan_headered_csv(spark, config.incidents_path, multiline=config.multiline)
     schema = quality.schema_presence_report(raw, config.columns, count_filled=False)
-    incidents = clean.clean_incidents(readers.spread(raw, config.spread), config.columns).transform(
-        splits.bounded_sample, config.max_records, config.seed
-    )
+    judged = staged(clean.judged_incidents(readers.spread(raw, config.spread), config.columns), "incidents")
+    incidents = clean.kept_incidents(judged)
+    if config.max_records:
+        incidents = staged(splits.bounded_sample(incidents, config.max_records, config.seed), "sample")
 
     widths = staged(quality.width_distribution(spark.read.text(list(config.log_paths))), "widths")
     quality.min_column_count_gate(widths)
@@ -88,11 +91,11 @@ def _build(spark: SparkSession, config: DatasetConfig) -> dict[str, DataFrame]:
 
     enriched = enrich.enrich_left(incidents, activity)
     lines = records.format_incident_records(enriched, config.template, config.spaced_json)
+    has_keys = reduce(Column.__and__, (F.col(name).isNotNull() for name in clean.KEY_FIELDS))
     counts = staged(
         profile.stage_counts(
-            (raw, {"raw": None, **clean.cleaning_flags(raw, config.columns)}),
-            (enriched, {"sampled": None}),
-            (lines, {"rendered": None, "matched": F.col("evt_count") > 0}),
+            (judged, {"raw": None, **{name: F.col(name) for name in clean.FLAGS}}),
+            (enriched, {"sampled": None, "rendered": has_keys, "matched": has_keys & (F.col("evt_count") > 0)}),
             (activity, {"activity": None}),
         ),
         "stages",

@@ -18,7 +18,7 @@ def describe_dataset(
     output_path: str | None = None,
     splits: Sequence[str] = tuple(fv.SPLIT_FRACTIONS),
 ) -> dict[str, DataFrame]:
-    """Histogram, length statistics, labels, split shares and summary of `<input>/<split>.jsonl`.
+    """Histogram, length statistics, labels, split shares and summary of the splits below `input_path`.
 
     The lines are read and parsed once, into staged counts per split, label and
     length; every table is made from those. A split that cannot be read is left

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldledger import fixed_values as fv
 from fieldledger.functions.records import decoded
+from fieldledger.sources.published import published_version, split_lines
 
 CORRUPT = "_corrupt_record"
 
@@ -71,15 +71,13 @@ def scan_positional_tsv(
 def scan_text_lines(
     spark: SparkSession, base: str, splits: Sequence[str] = tuple(fv.SPLIT_FRACTIONS)
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Lines of `<base>/<split>.jsonl` by split, and a report of what could be read."""
-    found: dict[str, DataFrame] = {}
-    for split in splits:
-        try:
-            found[split] = spark.read.option("lineSep", "\n").text(f"{base}/{split}.jsonl")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            # The report says so.
+    """Lines of each split, all of one version, and a report of what could be read.
+
+    Splits are those that were published below `base`, or the folders `<base>/<split>.jsonl`.
+    """
+    version = published_version(spark, base)
+    lines = {split: split_lines(spark, base, split, version) for split in splits}
+    found = {split: df for split, df in lines.items() if df is not None}
     report = spark.createDataFrame(
         [(split, split in found) for split in splits], "split string, readable boolean"
     )
@@ -93,7 +91,12 @@ def scan_jsonl_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     whose instruction and output are texts. Those two are empty where their key is
     missing, the others NULL.
     """
-    parsed, record = decoded(spark.read.option("lineSep", "\n").text(path), keys=fv.RECORD_KEYS)
+    return jsonl_records(spark.read.option("lineSep", "\n").text(path))
+
+
+def jsonl_records(lines: DataFrame) -> DataFrame:
+    """`scan_jsonl_records` of the lines `value`."""
+    parsed, record = decoded(lines, keys=fv.RECORD_KEYS)
     sound = record.is_object
     for key in fv.REQUIRED_RECORD_KEYS:
         sound = sound & record.has_text_or_nothing(key)
@@ -102,6 +105,14 @@ def scan_jsonl_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parsed.select(*columns, F.when(~sound, F.col("value")).alias(CORRUPT))
 
 
+def scan_split_records(spark: SparkSession, base: str, split: str) -> DataFrame:
+    """`scan_jsonl_records` of a split, published below `base` or in `<base>/<split>.jsonl`."""
+    lines = split_lines(spark, base, split)
+    if lines is None:
+        raise FileNotFoundError(f"no split {split} below {base}")
+    return jsonl_records(lines)
+
+
 def scan_part_files(spark: SparkSession, path: str, pattern: str = "part-*") -> DataFrame:
     """Lines of all part files of a folder, or of all its files where none is a part file."""
     parts = _lines_with_file(spark.read.option("pathGlobFilter", pattern), path)

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldledger import fixed_values as fv
-from fieldledger.folders import folder_names, remove_folder, replace_folder
 from fieldledger.functions.records import decoded
+from fieldledger.sources.published import Version, next_version, publish
 from fieldledger.sources.readers import scan_text_lines
 
 
@@ -19,25 +19,26 @@ def sink_jsonl_splits(
     splits: Sequence[str] = tuple(fv.SPLIT_FRACTIONS),
     files_per_split: int | None = None,
     max_records_per_file: int = 0,
-) -> None:
-    """Overwrite `<path>/<split>.jsonl` with the lines `(value, split)`, written once.
+    keep: int = 1,
+) -> Version:
+    """Publish the lines `(value, split)` as the next version of the splits below `path`.
 
-    One pass writes all splits side by side; their folders then get their names. A
-    split without lines is an empty folder. `files_per_split` deals the finished lines
-    out by split and content, so the work before it stays parallel.
+    One pass writes all splits side by side into a folder that no reader looks at; then
+    a manifest makes it the version that `scan_text_lines` and the others read
+    (`published`). A writer that stops at any point leaves the version before it whole.
+    A split of `splits` without lines is published as empty. `files_per_split` deals the
+    finished lines out by split and content, so the work before it stays parallel.
     """
     spark = lines.sparkSession
     rows = lines.select("value", "split")
     if files_per_split:
         part = F.pmod(F.xxhash64("value"), F.lit(files_per_split))
         rows = rows.repartition(len(splits) * files_per_split, "split", part)
-    writing = f"{path}/_writing"
-    writer = rows.write.mode("overwrite").partitionBy("split")
-    writer.option("maxRecordsPerFile", max_records_per_file).text(writing)
-    written = {name.removeprefix("split="): f"{writing}/{name}" for name in folder_names(spark, writing)}
-    for split in (*splits, *(name for name in written if name not in splits)):
-        replace_folder(spark, f"{path}/{split}.jsonl", written.get(split))
-    remove_folder(spark, writing)
+    version = next_version(spark, path, splits)
+    writer = rows.write.mode("errorifexists").partitionBy("split")
+    writer.option("maxRecordsPerFile", max_records_per_file).text(f"{path}/{version.folder}")
+    publish(spark, path, version, keep)
+    return version
 
 
 def sink_jsonl_partitioned(lines: DataFrame, path: str, max_records_per_file: int = 0) -> None:

@@ -41,8 +41,9 @@ def config(inputs, out, **more):
 
 
 def read_lines(out):
+    last = max(Path(out).glob("v0*"))
     return {
-        split: [json.loads(s) for f in Path(out, f"{split}.jsonl").glob("part-*") for s in f.read_text("utf-8").splitlines()]
+        split: [json.loads(s) for f in Path(last, f"split={split}").glob("part-*") for s in f.read_text("utf-8").splitlines()]
         for split in ("train", "val", "test")
     }
 

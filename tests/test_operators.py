@@ -244,7 +244,7 @@ def test_split_folders_and_readback(spark, tmp_path):
     rows = [('{"instruction": "i", "output": "%s"}' % ("x" * 200), "train")] * 50 + [("junk", "val")]
     lines = spark.createDataFrame(rows, "value string, split string").repartition(4)
     writers.sink_jsonl_splits(lines, str(tmp_path), files_per_split=1)
-    assert len(list((tmp_path / "train.jsonl").glob("part-*"))) == 1
+    assert len(list(tmp_path.glob("v0*/split=train/part-*"))) == 1
     got = {r.split: r for r in writers.sink_verify_readback(spark, str(tmp_path)).collect()}
     assert (got["train"].n_records, got["train"].n_unparsed, got["train"].output_preview) == (50, 0, "x" * 120)
     assert (got["val"].n_records, got["val"].n_unparsed) == (1, 1)

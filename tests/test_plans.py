@@ -12,7 +12,7 @@ def plan(df):
 
 #: Scans of a test table or of files, for queries that once read one table several times.
 SCANS = {
-    "non_empty_gate": 11, "stage_counts": 6, "split_shares": 1, "estimated_split_sizes": 1, "training_schedule": 1,
+    "non_empty_gate": 5, "stage_counts": 3, "split_shares": 1, "estimated_split_sizes": 1, "training_schedule": 1,
     "max_length_check": 1, "union_splits": 3, "fill_missing_count": 5, "drop_join_keys": 5, "chat_render_multi_turn_prompted": 1,
     "sft_pairs": 1, "sink_jsonl_splits": 3, "scan_jsonl_records": 1,
 }
