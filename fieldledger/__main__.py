@@ -51,11 +51,13 @@ def arguments() -> argparse.ArgumentParser:
     chat.add_argument("--system", default=ReportTemplate().system)
     chat.add_argument("--markers", help="JSON file with the fields of ChatTemplate")
 
-    talks = jobs.add_parser("conversations", help="chat texts, messages and pairs of conversations")
+    talks = jobs.add_parser("conversations", help="chat texts, messages, pairs and prompts of conversations")
     talks.add_argument("--input", required=True)
     talks.add_argument("--output", required=True)
     talks.add_argument("--markers", help="JSON file with the fields of ChatTemplate")
     talks.add_argument("--prompt", action="store_true", help="end each text with the opening of an answer")
+    talks.add_argument("--history-turns", type=int, default=0, help="most messages before a prompt; 0: all")
+    talks.add_argument("--history-chars", type=int, default=0, help="most characters before a prompt; 0: all")
 
     versus = jobs.add_parser("compare", help="two sets of responses to the same prompts")
     versus.add_argument("--base", required=True)
@@ -106,7 +108,7 @@ def main() -> None:
         tables = prepare_chat_texts(spark, given.input, given.output, given.split, markers, given.system)
     elif given.job == "conversations":
         markers = replace(CONVERSATION_CHAT, **told(given.markers, {}))
-        tables = prepare_conversations(spark, given.input, given.output, markers, given.prompt)
+        tables = prepare_conversations(spark, given.input, given.output, markers, given.prompt, given.history_turns, given.history_chars)
     else:
         tables = compare_responses(spark, given.base, given.tuned, given.output)
     for name, table in tables.items():

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldledger.checks import proxies, sql
 from fieldledger.checks.registry import query
 from fieldledger.functions.chat import with_context
-from fieldledger.operators import chat
+from fieldledger.operators import chat, history
 
 CONTEXT_RECORDS = """
 context_records as (
@@ -104,13 +104,39 @@ def sft_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return chat.sft_pairs(proxies.broken_messages(spark, folder))
 
 
-@query(
-    "sft_prompts",
-    f"with {PAIRS}, pieces as (select conv_id, turn, {PIECE} as piece from messages) "
-    "select p.conv_id, p.turn, '<|begin_of_text|>' || string_agg(m.piece, '' order by m.turn) "
-    f"|| {ANSWER} as messages_text, any_value(p.response) as response "
-    "from pairs p join pieces m on m.conv_id = p.conv_id and m.turn <= p.turn group by p.conv_id, p.turn",
-)
-def sft_prompts(spark: SparkSession, folder: str) -> DataFrame:
+def prompts_sql(kept: str = "true") -> str:
+    """Each pair with the messages before it for which `kept` holds: `back` of them from
+    the prompt, with `chars` characters from there on."""
+    return (
+        f"with {PAIRS}, pieces as (select conv_id, turn, {PIECE} as piece from messages), "
+        "before as (select p.conv_id, p.turn as upto, m.turn, m.piece, "
+        "row_number() over w as back, sum(length(m.piece)) over w as chars "
+        "from pairs p join pieces m on m.conv_id = p.conv_id and m.turn < p.turn "
+        "window w as (partition by p.conv_id, p.turn order by m.turn desc rows unbounded preceding)), "
+        "history as (select conv_id, upto, string_agg(piece, '' order by turn) as text, count(*) as n "
+        f"from before where {kept} group by 1, 2) "
+        "select p.conv_id, p.turn, '<|begin_of_text|>' || coalesce(h.text, '') || o.piece "
+        f"|| {ANSWER} as messages_text, p.response, cast(coalesce(h.n, 0) as bigint) as n_history "
+        "from pairs p join pieces o on o.conv_id = p.conv_id and o.turn = p.turn "
+        "left join history h on h.conv_id = p.conv_id and h.upto = p.turn"
+    )
+
+
+def prompts(spark: SparkSession, folder: str, **bounds: int) -> DataFrame:
     messages = proxies.broken_messages(spark, folder)
-    return chat.sft_prompts(chat.sft_pairs(messages), messages)
+    return history.sft_prompts(chat.sft_pairs(messages), messages, **bounds)
+
+
+@query("sft_prompts", prompts_sql())
+def sft_prompts(spark: SparkSession, folder: str) -> DataFrame:
+    return prompts(spark, folder)
+
+
+@query("sft_prompts_turns", prompts_sql("back <= 2"))
+def sft_prompts_turns(spark: SparkSession, folder: str) -> DataFrame:
+    return prompts(spark, folder, max_turns=2)
+
+
+@query("sft_prompts_chars", prompts_sql("chars <= 1500 and back <= 4"))
+def sft_prompts_chars(spark: SparkSession, folder: str) -> DataFrame:
+    return prompts(spark, folder, max_turns=4, max_chars=1500)

@@ -80,44 +80,21 @@ def chat_render_multi_turn(
 def sft_pairs(messages: DataFrame) -> DataFrame:
     """User messages with the assistant message that follows at once.
 
-    Both fall into one group by conversation and the user's turn, so the messages
-    are read and shuffled once, a long conversation is spread like any other
-    rows, and copies of a message in its place never multiply. Of several texts in one
-    place the smallest is taken; `n_prompts` and `n_responses` count them. What came
-    before a pair is named by (conv_id, turn) and rendered by `sft_prompts` on demand.
+    Both fall into one group by conversation and the user's turn, so a long conversation
+    is spread like any other rows. Equal texts of a place are folded first, and a group
+    keeps the smallest text and a number of each side: copies of a message in its place
+    never multiply, and a place with very many texts is not gathered. Of several texts
+    in one place the smallest is taken; `n_prompts` and `n_responses` count them. What
+    came before a pair is named by (conv_id, turn) and rendered by `history.sft_prompts`.
     """
-    role, turn, text = F.col("role"), F.col("turn"), F.col("text")
-    prompt, response = F.when(role == "user", text), F.when(role == "assistant", text)
-    asked = F.when(role == "assistant", turn - 1).otherwise(turn)
-    sides = (
-        messages.filter(role.isin("user", "assistant"))
-        .groupBy("conv_id", asked.alias("turn"))
-        .agg(F.collect_set(prompt).alias("prompts"), F.collect_set(response).alias("responses"))
+    turn = F.when(F.col("role") == "assistant", F.col("turn") - 1).otherwise(F.col("turn"))
+    texts = (
+        messages.where(F.col("role").isin("user", "assistant") & F.col("text").isNotNull())
+        .groupBy("conv_id", turn.alias("turn"), "role", "text")
+        .agg(F.count("*").alias("n_copies"))
     )
-    pairs = sides.filter((F.size("prompts") > 0) & (F.size("responses") > 0))
-    return pairs.select(
-        "conv_id",
-        "turn",
-        F.array_min("prompts").alias("prompt"),
-        F.array_min("responses").alias("response"),
-        F.size("prompts").alias("n_prompts"),
-        F.size("responses").alias("n_responses"),
-    )
-
-
-def sft_prompts(
-    pairs: DataFrame, messages: DataFrame, template: ChatTemplate = CONVERSATION_CHAT
-) -> DataFrame:
-    """The chosen pairs with all messages up to the user's, system and history, as `messages_text`.
-
-    Every pair repeats its history, so the result grows with the square of a long
-    conversation: pass the pairs that are wanted.
-    """
-    wanted = pairs.select("conv_id", F.col("turn").alias("upto"), "response")
-    before = chat_render_messages(messages, template).join(wanted, "conv_id").filter("turn <= upto")
-    gathered = before.groupBy("conv_id", "upto", "response").agg(
-        F.collect_set(F.struct("turn", "piece")).alias("pieces")
-    )
-    body = F.array_join(F.transform(F.array_sort("pieces"), lambda m: m.piece), "")
-    text = F.concat(F.lit(template.begin), body, template.opening(F.lit("assistant")))
-    return gathered.select("conv_id", F.col("upto").alias("turn"), text.alias("messages_text"), "response")
+    sides = {"prompt": F.col("role") == "user", "response": F.col("role") == "assistant"}
+    kept = [F.min(F.when(side, F.col("text"))).alias(name) for name, side in sides.items()]
+    counted = [F.count_if(side).cast("int").alias(f"n_{name}s") for name, side in sides.items()]
+    pairs = texts.groupBy("conv_id", "turn").agg(*kept, *counted)
+    return pairs.where("n_prompts > 0 and n_responses > 0")

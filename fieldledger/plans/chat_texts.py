@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from fieldledger.functions.chat import CONVERSATION_CHAT, RECORD_CHAT, ChatTemplate
 from fieldledger.functions.report import ReportTemplate
-from fieldledger.operators import chat, compare, profile, quality
-from fieldledger.scratch import staged
+from fieldledger.operators import chat, compare, history, profile, quality
+from fieldledger.scratch import scratch_run, staged
 from fieldledger.sources import readers
 
 
@@ -47,11 +47,15 @@ def prepare_conversations(
     output_path: str,
     template: ChatTemplate = CONVERSATION_CHAT,
     generation_prompt: bool = False,
+    history_turns: int = 0,
+    history_chars: int = 0,
 ) -> dict[str, DataFrame]:
-    """Write chat texts, single messages and pairs of the conversations in JSON lines.
+    """Write chat texts, messages, pairs and prompts of the conversations in JSON lines.
 
     The lines hold `conv_id`, `turn`, `role` and `text`. Below the output lie `texts`,
-    `messages` and `pairs`, as JSON lines.
+    `messages`, `pairs` and `prompts` (pairs with their history), as JSON lines. A
+    history has at most the last `history_turns` messages and `history_chars` characters;
+    0 stands for all, which grows with the square of a long conversation.
     """
     schema = "conv_id bigint, turn bigint, role string, text string"
     messages = spark.read.schema(schema).json(input_path)
@@ -62,6 +66,13 @@ def prepare_conversations(
     }
     for name, table in made.items():
         table.write.mode("overwrite").json(f"{output_path}/{name}")
+    pair = "conv_id bigint, turn bigint, prompt string, response string"
+    with scratch_run(spark):
+        prompts = history.sft_prompts(
+            spark.read.schema(pair).json(f"{output_path}/pairs"), messages, template, history_turns, history_chars
+        )
+        prompts.write.mode("overwrite").json(f"{output_path}/prompts")
+    told = spark.read.schema("n_history bigint").json(f"{output_path}/prompts")
     pieces = spark.read.schema("filled boolean").json(f"{output_path}/messages")
     pairs = spark.read.schema("n_prompts int, n_responses int").json(f"{output_path}/pairs")
     return {
@@ -70,6 +81,7 @@ def prepare_conversations(
             F.count("*").alias("n_rows"),
             F.count_if(F.col("n_prompts") + F.col("n_responses") > 2).alias("n_with_several"),
         ),
+        "prompts": told.agg(F.count("*").alias("n_rows"), F.max("n_history").alias("longest_history")),
     }
 
 

@@ -144,6 +144,9 @@ def test_conversations_and_comparison(spark, tmp_path):
     made = prepare_conversations(spark, str(tmp_path / "talks.jsonl"), str(tmp_path / "out"))
     assert tuple(made["messages"].first()) == (4, 1) and tuple(made["pairs"].first()) == (1, 0)
     assert spark.read.json(f"{tmp_path}/out/texts").first().n_turns == 4
+    assert tuple(made["prompts"].first()) == (1, 1)
+    prompt = spark.read.json(f"{tmp_path}/out/prompts").first()
+    assert prompt.messages_text.index("\n\ns<") < prompt.messages_text.index("\n\nq<") and prompt.response == "a"
     for name, ids in (("base", "pq"), ("tuned", "qr")):
         (tmp_path / f"{name}.jsonl").write_text("\n".join(json.dumps({"prompt_id": i, "response": "x y"}) for i in ids), "utf-8")
     done = compare_responses(spark, str(tmp_path / "base.jsonl"), str(tmp_path / "tuned.jsonl"), str(tmp_path / "versus"))

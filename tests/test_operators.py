@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fieldledger import fixed_values as fv
 from fieldledger.checks import proxies
-from fieldledger.operators import chat, clean, compare, enrich, joins, profile, quality, splits
+from fieldledger.operators import chat, history, clean, compare, enrich, joins, profile, quality, splits
 from fieldledger.sources import readers, writers
 
 
@@ -170,7 +170,7 @@ def test_prompts_have_system_and_history(spark):
     messages = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     pairs = chat.sft_pairs(messages)
     assert rows_of(pairs) == [(1, 1, "q", "a", 1, 1), (1, 3, "r", "b", 2, 1)]
-    (last,) = chat.sft_prompts(pairs.filter("turn = 3"), messages).collect()
+    (last,) = history.sft_prompts(pairs.filter("turn = 3"), messages).collect()
     assert [last.messages_text.count(f"\n\n{x}<|eot_id|>") for x in "sqarb"] == [1, 1, 1, 1, 0]
     assert last.messages_text.endswith("assistant<|end_header_id|>\n\n") and last.response == "b"
 
