@@ -59,6 +59,10 @@ def arguments() -> argparse.ArgumentParser:
     talks.add_argument("--history-turns", type=int, default=0, help="most messages before a prompt; 0: all")
     talks.add_argument("--history-chars", type=int, default=0, help="most characters before a prompt; 0: all")
 
+    sift = jobs.add_parser("sift", help="records of JSON lines, and the lines that are none")
+    sift.add_argument("--input", required=True)
+    sift.add_argument("--output", required=True)
+
     versus = jobs.add_parser("compare", help="two sets of responses to the same prompts")
     versus.add_argument("--base", required=True)
     versus.add_argument("--tuned", required=True)
@@ -109,6 +113,8 @@ def main() -> None:
     elif given.job == "conversations":
         markers = replace(CONVERSATION_CHAT, **told(given.markers, {}))
         tables = prepare_conversations(spark, given.input, given.output, markers, given.prompt, given.history_turns, given.history_chars)
+    elif given.job == "sift":
+        tables = sift_records(spark, given.input, given.output)
     else:
         tables = compare_responses(spark, given.base, given.tuned, given.output)
     for name, table in tables.items():

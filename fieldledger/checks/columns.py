@@ -191,3 +191,25 @@ def code_lookup_join(spark: SparkSession, folder: str) -> DataFrame:
 )
 def paired_response_compare(spark: SparkSession, folder: str) -> DataFrame:
     return compare.paired_response_compare(*proxies.responses(spark, folder))
+
+
+@query(
+    "paired_response_rows",
+    "with answers as (select conv_id, conv_id || '-' || turn as prompt_id, text, turn from conversations where role = 'assistant'), "
+    "base_rows as (select prompt_id, text from answers where conv_id % 9 <> 2 union all "
+    "select prompt_id, text || ' again' from answers where conv_id % 5 = 1), "
+    "tuned_rows as (select prompt_id, turn <= 1 as layout, 'INCIDENT REPORT — ANSWER | assistant | 1' || chr(10) || chr(10) || text "
+    "|| case when turn > 1 then '' else chr(10) || chr(10) || 'CONTEXT: none' end || chr(10) || chr(10) || 'ASSESSMENT: none' as text "
+    "from answers where conv_id % 9 <> 4), "
+    f"base as (select prompt_id, text, count(*) as n, any_value(cast({sql.words('text')} as int)) as words, false as layout, "
+    "row_number() over (partition by prompt_id order by md5(text), text) as i from base_rows group by prompt_id, text), "
+    f"tuned as (select prompt_id, text, count(*) as n, any_value(cast({sql.words('text')} as int)) as words, any_value(layout) as layout, "
+    "row_number() over (partition by prompt_id order by md5(text), text) as i from tuned_rows group by prompt_id, text) "
+    "select coalesce(b.prompt_id, t.prompt_id) as prompt_id, cast(coalesce(b.i, t.i) as bigint) as ordinal, "
+    "b.text as base_response, cast(b.n as bigint) as base_copies, b.words as base_words, b.layout as base_layout, "
+    "t.text as tuned_response, cast(t.n as bigint) as tuned_copies, t.words as tuned_words, t.layout as tuned_layout, "
+    "t.words - b.words as words_delta, case when b.n is null then 'tuned' when t.n is null then 'base' else 'both' end as answered_by "
+    "from base b full join tuned t on b.prompt_id = t.prompt_id and b.i = t.i",
+)
+def paired_response_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return compare.paired_response_rows(*proxies.responses(spark, folder))

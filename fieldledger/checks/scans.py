@@ -12,9 +12,10 @@ from fieldledger.checks import proxies, sql
 from fieldledger.checks.registry import query
 from fieldledger.functions.text import nonblank
 from fieldledger.operators import profile, records
+from fieldledger.plans.chat_texts import sift_records as sift
 from fieldledger.scratch import scratch_path, staged
 from fieldledger.sources import readers, writers
-from fieldledger.sources.published import split_folder
+from fieldledger.sources.published import split_folder, split_lines
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -103,6 +104,27 @@ def scan_jsonl_records(spark: SparkSession, folder: str) -> DataFrame:
     return read.select(*fv.RECORD_KEYS, F.col(readers.CORRUPT).isNotNull().alias("is_corrupt"))
 
 
+@query(
+    "sift_records",
+    f"with {sql.DAMAGED} select case when kind in (0, 1, 2, 4, 7) then 'rejected' else 'records' end as split, "
+    "case when kind in (0, 7) then 'not_json' when kind = 1 then 'not_object' when kind in (2, 4) then 'not_text' end as kind, "
+    "cast(count(*) as bigint) as n_lines, cast(count(*) as bigint) as n_places from decoded group by 1, 2",
+)
+def sift_records(spark: SparkSession, folder: str) -> DataFrame:
+    path, out = scratch_path(spark, "damaged"), scratch_path(spark, "sifted")
+    proxies.damaged_lines(spark, folder).select(F.translate("value", "\n", " ")).write.text(path)
+    sift(spark, path, out)
+    sound = readers.scan_split_records(spark, out, records.RECORDS)
+    bad = records.rejected_lines(split_lines(spark, out, records.REJECTED))
+    none = F.lit(None).cast("string").alias("kind")
+    kept = sound.where(F.col(readers.CORRUPT).isNull()).groupBy(F.lit(records.RECORDS).alias("split"), none)
+    thrown = bad.groupBy(F.lit(records.REJECTED).alias("split"), "kind")
+    rows = F.count("*").alias("n_lines")
+    return kept.agg(rows, F.count("*").alias("n_places")).unionByName(
+        thrown.agg(rows, F.count_distinct("file_name", "block_start", "row").alias("n_places"))
+    )
+
+
 @query(
     "scan_part_files",
     f"with {sql.SPLIT_REPORTS} select split, cast(count(*) as bigint) as n_rows, true as has_files, true as only_part_files "

@@ -114,3 +114,20 @@ def decoded(
     """
     parsed = lines.withColumn(PARSED, parse_line(F.col(column), keys))
     return parsed, DecodedRecord(F.col(column), F.col(PARSED))
+
+
+def record_columns(record: DecodedRecord) -> dict[str, Column]:
+    """The keys of a record: instruction and output are empty where their key is missing, the
+    others NULL. A line that is no record (`unread_kind`) has NULL everywhere."""
+    sound = unread_kind(record).isNull()
+    value = {k: record.text(k) if k in fv.REQUIRED_RECORD_KEYS else record.given_text(k) for k in fv.RECORD_KEYS}
+    return {key: F.when(sound, column) for key, column in value.items()}
+
+
+def unread_kind(record: DecodedRecord) -> Column:
+    """Why a line is no record: one object on its line whose instruction and output are texts.
+
+    NULL for a record.
+    """
+    texts = record.has_text_or_nothing("instruction") & record.has_text_or_nothing("output")
+    return F.when(~record.is_json, "not_json").when(~record.is_object, "not_object").when(~texts, "not_text")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldledger import fixed_values as fv
-from fieldledger.functions.records import DecodedRecord, decoded
+from fieldledger.functions.records import DecodedRecord, decoded, unread_kind
 from fieldledger.functions.report import ReportTemplate
 from fieldledger.functions.text import label_of, word_count
 
@@ -111,14 +111,7 @@ def stage_gate(counts: DataFrame) -> DataFrame:
 
 
 def corrupt_kind(record: DecodedRecord, output: Column) -> Column:
-    texts = record.has_text_or_nothing("instruction") & record.has_text_or_nothing("output")
-    return (
-        F.when(~record.is_json, "not_json")
-        .when(~record.is_object, "not_object")
-        .when(~texts, "not_text")
-        .when(label_of(output).isNull(), "no_label")
-        .otherwise("ok")
-    )
+    return F.coalesce(unread_kind(record), F.when(label_of(output).isNull(), "no_label").otherwise("ok"))
 
 
 def corrupt_record_report(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -8,12 +8,16 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldledger.functions.records import decoded, encode_record, encode_record_spaced
+from fieldledger import fixed_values as fv
+from fieldledger.functions.records import decoded, encode_record, encode_record_spaced, record_columns, unread_kind
 from fieldledger.functions.report import ReportTemplate, instruction_text, report_text
 from fieldledger.functions.text import label_of, word_count
 from fieldledger.operators.clean import KEY_FIELDS, keep_not_null
 from fieldledger.operators.quality import layout_flags
 
+#: The two outputs of a sift.
+RECORDS, REJECTED = "records", "rejected"
+
 
 def render_reports(enriched: DataFrame, template: ReportTemplate = ReportTemplate()) -> DataFrame:
     """The enriched incidents with `system`, `instruction` and `output` texts."""
@@ -94,3 +98,36 @@ def profile_rows(lines: DataFrame, template: ReportTemplate = ReportTemplate())
         F.coalesce("unread", labelled).alias("kind"),
         "has_layout",
     )
+
+
+def sifted_lines(lines: DataFrame) -> DataFrame:
+    """Every line `value` of a file scan with its `split`, `RECORDS` or `REJECTED`, and its
+    record's keys.
+
+    `rejected` is, for a line that is no record, a JSON object with the line, what is
+    wrong with it (not_json, not_object or not_text) and where it stood: the file's name,
+    the offset of the block of the file that a task read, and the number of the row in
+    that task's reading. One pass can so write both outputs (`sink_jsonl_splits`).
+    """
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = lines.select(
+        "value",
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        row.alias("row"),
+    )
+    parsed, record = decoded(placed, keys=fv.RECORD_KEYS)
+    kind = unread_kind(record)
+    told = F.to_json(F.struct("value", kind.alias("kind"), "file_name", "block_start", "row"))
+    return parsed.select(
+        "value",
+        F.when(kind.isNull(), RECORDS).otherwise(REJECTED).alias("split"),
+        F.when(kind.isNotNull(), told).alias("rejected"),
+        *(column.alias(key) for key, column in record_columns(record).items()),
+    )
+
+
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """(value, kind, file_name, block_start, row) of the written `rejected` lines."""
+    schema = "value string, kind string, file_name string, block_start bigint, row bigint"
+    return lines.select(F.inline(F.array(F.from_json("value", schema))))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldledger import fixed_values as fv
-from fieldledger.functions.records import decoded
+from fieldledger.functions.records import decoded, record_columns, unread_kind
 from fieldledger.sources.published import published_version, split_lines
 
 CORRUPT = "_corrupt_record"
@@ -97,12 +97,8 @@ def scan_jsonl_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def jsonl_records(lines: DataFrame) -> DataFrame:
     """`scan_jsonl_records` of the lines `value`."""
     parsed, record = decoded(lines, keys=fv.RECORD_KEYS)
-    sound = record.is_object
-    for key in fv.REQUIRED_RECORD_KEYS:
-        sound = sound & record.has_text_or_nothing(key)
-    value = {k: record.text(k) if k in fv.REQUIRED_RECORD_KEYS else record.given_text(k) for k in fv.RECORD_KEYS}
-    columns = [F.when(sound, column).alias(key) for key, column in value.items()]
-    return parsed.select(*columns, F.when(~sound, F.col("value")).alias(CORRUPT))
+    columns = [column.alias(key) for key, column in record_columns(record).items()]
+    return parsed.select(*columns, F.when(unread_kind(record).isNotNull(), F.col("value")).alias(CORRUPT))
 
 
 def scan_split_records(spark: SparkSession, base: str, split: str) -> DataFrame:

@@ -1,11 +1,12 @@
 """Prompts with history against a plain version, with a conversation that holds a third of the messages."""
 
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from fieldledger.operators import chat, history
+from fieldledger.operators import chat, compare, history
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string"
 
@@ -96,3 +97,32 @@ def test_nothing_to_prompt(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert history.sft_prompts(chat.sft_pairs(none), none).count() == 0
     assert history.sft_prompts(chat.sft_pairs(none), none, max_turns=3).count() == 0
+
+
+def test_responses_are_paired_by_their_number(spark):
+    rng = random.Random(3)
+    schema = "prompt_id string, response string"
+    sides = []
+    for _ in range(2):
+        rows = [("hot", f"r{rng.randint(0, 400)}") for _ in range(900)] + [("copies", "same")] * 300
+        rows += [(rng.choice("abcde"), rng.choice(["x", "y", "", None])) for _ in range(20)] + [(None, "z"), ("hot", None)]
+        sides.append(rows)
+    sides[1] += [("only", "tuned"), ("only", "tuned too")]
+    tables = [spark.createDataFrame(rows, schema).repartition(3) for rows in sides]
+    found = compare.paired_response_rows(*tables).collect()
+    numbered = []
+    for rows in sides:
+        by_prompt = {}
+        for prompt, response in rows:
+            by_prompt.setdefault(prompt, set()).add(response)
+        digest = lambda r: hashlib.md5((r or "").encode()).hexdigest()
+        numbered.append({(p, i): r for p, rs in by_prompt.items() for i, r in enumerate(sorted(rs, key=lambda r: (digest(r), r is not None, r or "")), 1)})
+    keys = numbered[0].keys() | numbered[1].keys()
+    assert {(r.prompt_id, r.ordinal) for r in found} == keys and len(found) == len(keys)
+    for r in found:
+        key = (r.prompt_id, r.ordinal)
+        both = [key in side for side in numbered]
+        assert r.answered_by == {(True, True): "both", (True, False): "base", (False, True): "tuned"}[tuple(both)]
+        assert (r.base_response, r.tuned_response) == (numbered[0].get(key), numbered[1].get(key))
+    copies = [r for r in found if r.prompt_id == "copies"]
+    assert [(r.base_copies, r.tuned_copies, r.words_delta) for r in copies] == [(300, 300, 0)]

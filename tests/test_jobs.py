@@ -11,10 +11,13 @@ from fieldledger.operators.quality import EmptyStageError, MissingColumnsError
 from pyspark.sql import functions as F
 
 from fieldledger.checks import proxies
-from fieldledger.plans.chat_texts import compare_responses, prepare_chat_texts, prepare_conversations
+from fieldledger.plans.chat_texts import compare_responses, prepare_chat_texts, prepare_conversations, sift_records
 from fieldledger.plans.dataset import DatasetConfig, build_dataset
 from fieldledger.plans.describe import describe_dataset
+from fieldledger.operators.records import rejected_lines
 from fieldledger.scratch import scratch_root
+from fieldledger.sources import readers
+from fieldledger.sources.published import split_lines
 
 HEADER = "eventid,iyear,country_txt,attacktype1_txt,targtype1_txt,weaptype1_txt,nkill,nwound,gname\n"
 
@@ -83,12 +86,12 @@ def test_build_describe_chat(spark, inputs, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/profile/labels").count() == 2
 
     made = prepare_chat_texts(spark, str(out), str(tmp_path / "chat"))
-    texts = [r.text for r in spark.read.schema("text string").json(f"{tmp_path}/chat").collect()]
+    texts = [json.loads(r.value)["text"] for r in split_lines(spark, str(tmp_path / "chat"), "texts").collect()]
     assert len(texts) == len(lines["train"])
     assert any(lines["train"][0]["output"] + "<|eot_id|>" == t[-len(lines["train"][0]["output"]) - 10 :] for t in texts)
     assert made["terminators"].first().n_doubled == 0
     assert made["schedule"].first().steps_per_epoch == len(texts) / 8
-    assert tuple(made["records"].first()) == (len(texts), 0)
+    assert made["records"].first().n_rows == len(texts) and made["rejected"].isEmpty()
 
 
 def test_bounded_and_random(spark, inputs, tmp_path):
@@ -152,12 +155,37 @@ def test_conversations_and_comparison(spark, tmp_path):
     done = compare_responses(spark, str(tmp_path / "base.jsonl"), str(tmp_path / "tuned.jsonl"), str(tmp_path / "versus"))
     assert {r.answered_by: r.n_prompts for r in done["prompts"].collect()} == {"base": 1, "tuned": 1, "both": 1}
     assert {r.label: r.n_rows for r in done["layout"].collect()} == {"base": 2, "tuned": 2}
+    assert {r.answered_by: r.n_rows for r in done["responses"].collect()} == {"base": 1, "tuned": 1, "both": 1}
 
 
 def test_chat_and_report_agree_on_usable_lines(spark, folder, tmp_path):
     lines = proxies.damaged_lines(spark, folder).select(F.translate("value", "\n", " ").alias("value"))
     lines.write.text(f"{tmp_path}/train.jsonl")
-    made = prepare_chat_texts(spark, str(tmp_path), str(tmp_path / "chat"))["records"].first()
+    made = prepare_chat_texts(spark, str(tmp_path), str(tmp_path / "chat"))
+    n_texts = made["records"].first().n_rows
+    thrown = {r.kind: r.n_rows for r in made["rejected"].collect()}
     kinds = {r.kind: r.n_rows for r in describe_dataset(spark, str(tmp_path))["kinds"].collect()}
-    assert made.n_rows - made.n_corrupt == kinds["ok"] + kinds["no_label"] == spark.read.text(f"{tmp_path}/chat").count()
-    assert sum(kinds.values()) == made.n_rows and len(kinds) == 5
+    assert n_texts == kinds["ok"] + kinds["no_label"] == split_lines(spark, str(tmp_path / "chat"), "texts").count()
+    assert thrown == {k: n for k, n in kinds.items() if k not in ("ok", "no_label")} and len(kinds) == 5
+    rejected = rejected_lines(split_lines(spark, str(tmp_path / "chat"), "rejected")).collect()
+    given = {r.value for r in lines.collect()}
+    assert all(r.value in given and r.file_name.startswith("part-") and r.block_start == 0 for r in rejected)
+    assert len({(r.file_name, r.row) for r in rejected}) == len(rejected) == sum(thrown.values())
+
+
+def test_sift_loses_no_line(spark, tmp_path):
+    good, bad = '{"instruction": "a", "output": "é \\u0000"}', ["junk", "[1]", '{"instruction": 1, "output": ""}', "", '{"a": 1} x']
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("\n".join([good] * 300 + bad) + "\n", "utf-8")
+    (tmp_path / "in" / "b.txt").write_text("\n".join([bad[0], good, bad[0]]) + "\n", "utf-8")
+    made = sift_records(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    kinds = {r.kind: r.n_rows for r in made["rejected"].collect()}
+    assert made["records"].first().n_rows == 301 and sum(kinds.values()) == 7
+    assert kinds == {"not_json": 5, "not_object": 1, "not_text": 1}
+    rejected = rejected_lines(split_lines(spark, str(tmp_path / "out"), "rejected")).collect()
+    assert sorted(r.value for r in rejected) == sorted([*bad, bad[0], bad[0]])
+    assert sorted((r.file_name, r.row) for r in rejected if r.file_name == "b.txt" or r.value == "[1]")[0] == ("a.txt", 301)
+    again = readers.scan_split_records(spark, str(tmp_path / "out"), "records")
+    assert again.where(F.col(readers.CORRUPT).isNotNull()).isEmpty() and again.count() == 301
+    none = sift_records(spark, str(tmp_path / "out" / "v000001*" / "split=records"), str(tmp_path / "clean"))
+    assert none["records"].first().n_rows == 301 and none["rejected"].isEmpty()
