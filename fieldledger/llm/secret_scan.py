@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldledger.llm.common import slices, text_or_empty
-from fieldledger.llm.registry import query, table
+from fieldledger.llm.registry import query, reach, table
 
 #: Fixed patterns of the base kinds, and the least length of a value.
 ASSIGN = re.compile(
@@ -36,8 +36,11 @@ WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 BASE = ["assign", "access", "hex"]
 KINDS = [*BASE, "private_key", "openssh_key", "signed_token"]
 
-_ARMOUR = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END [A-Z0-9 ]*PRIVATE KEY-----")
-_TOKEN = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*")
+_ARMOUR = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----((?:[^-]|-(?!----))*+)-----END [A-Z0-9 ]*PRIVATE KEY-----")
+#: Tokens begin where a run of their characters does, so that a run is read once.
+_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]*+")
+#: Line ends, also those that are written as escapes, as in JSON and environment files.
+_LINE_END = re.compile(r"(?:\\r|\\n|[\r\n])+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 _LONG_HEX = re.compile(r"[0-9A-Fa-f]{64,}")
 _MAGIC = b"openssh-key-v1\0"
@@ -147,6 +150,20 @@ def _key_kind(raw: bytes | None) -> str | None:
     return "private_key" if is_private_key(raw) else "openssh_key" if is_openssh_key(raw) else None
 
 
+def _armoured_kind(body: str) -> str | None:
+    """The kind of key between armour marks, whatever header lines stand before it.
+
+    A key that its headers call encrypted is cipher blocks of a named cipher.
+    """
+    lines = _LINE_END.split(body.replace("\\/", "/"))
+    heads = [x.split(":", 1) for x in lines if ":" in x]
+    raw = _decoded("".join("".join(x.split()) for x in lines if ":" not in x))
+    told = {name.strip(): value.strip() for name, value in heads}
+    if "ENCRYPTED" in told.get("Proc-Type", "") and "," in told.get("DEK-Info", ""):
+        return "private_key" if raw and len(raw) >= 64 and len(raw) % 8 == 0 else None
+    return _key_kind(raw)
+
+
 def base_spans(text: str) -> list[Span]:
     """Spans of the three base kinds; matches that are too short are dropped."""
     out: list[Span] = []
@@ -165,7 +182,7 @@ def confirmed_spans(text: str) -> list[Span]:
     out: list[Span] = []
     if "PRIVATE KEY-----" in text:
         for m in _ARMOUR.finditer(text):
-            if kind := _key_kind(_decoded("".join(m[1].split()))):
+            if kind := _armoured_kind(m[1]):
                 out.append((kind, *m.span()))
     taken = [(a, b) for _, a, b in out]
 
@@ -206,8 +223,11 @@ def secret_spans(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Da
 
     Spans are kind:start:end in code points, by start and then kind, joined by commas;
     `base` has those of the base kinds. A null text is an empty one, with no spans.
-    Repeated rows are scanned each for itself; other columns are not read.
+    Repeated rows are scanned each for itself; an empty table gives an empty result; other
+    columns are not read. A text of any length is scanned whole, in time that grows in
+    proportion to it.
     """
+    reach(docs.sparkSession)
     slim = docs.select(F.col(doc).alias("doc"), text_or_empty(text).alias("text"))
     kind = slim.schema["doc"].dataType.simpleString()
     return slim.mapInArrow(_scan, f"doc_id {kind}, kinds array<string>, base string, spans string")

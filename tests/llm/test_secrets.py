@@ -2,9 +2,10 @@ import base64
 import json
 import random
 import re
+import time
 
 import plain
-from fieldledger.llm.secret_scan import base_spans, confirmed_spans, is_private_key, listed, secret_spans
+from fieldledger.llm.secret_scan import base_spans, confirmed_spans, is_private_key, is_signed_token, listed, secret_spans
 
 rng = random.Random(28)
 
@@ -74,6 +75,55 @@ def test_structures_are_confirmed():
     assert confirmed_spans(f"a {TOKEN} b") == [("signed_token", 2, 2 + len(TOKEN))]
 
 
+def test_armour_with_escapes_and_headers():
+    body = base64.encodebytes(RSA).decode()
+    for lines in (body.replace("\n", "\\n"), body.replace("\n", "\\r\\n"), "Comment: a key\n\n" + body, body.replace("/", "\\/")):
+        text = f'{{"key": "-----BEGIN RSA PRIVATE KEY-----\\n{lines}-----END RSA PRIVATE KEY-----"}}'
+        assert confirmed_spans(text) == [("private_key", 9, len(text) - 2)], lines[:40]
+    sealed = base64.encodebytes(rng.randbytes(640)).decode()
+    heads = "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n"
+    for text, n in ((f"{heads}{sealed}", 1), (f"\n{sealed}", 0), (f"{heads}{sealed[:50]}\n", 0)):
+        assert len(confirmed_spans(f"-----BEGIN RSA PRIVATE KEY-----{text}-----END RSA PRIVATE KEY-----")) == n
+    assert confirmed_spans("-----BEGIN PRIVATE KEY-----" * 20_000 + "-" * 100_000) == []
+
+
+def test_long_runs_take_time_in_proportion():
+    run = "aB3_" * 250_000
+    for text in (f"{run} x.y", f"x.y {run}", f"{run}.{run}", run + TOKEN):
+        begin = time.process_time()
+        spans = confirmed_spans(text) + base_spans(text)
+        assert time.process_time() - begin < 3, text[-20:]
+        assert not spans
+    assert confirmed_spans(f"{run} {TOKEN}") == [("signed_token", len(run) + 1, len(run) + 1 + len(TOKEN))]
+
+
+def plain_spans(text):
+    """Keys in single words and signed tokens, by trying every word."""
+    out, at = [], 0
+    for word in text.split(" "):
+        if word.count(".") == 2 and all(len(x) >= 8 for x in word.split(".")[:2]) and is_signed_token(word):
+            out.append(("signed_token", at, at + len(word)))
+        for raw in {bytes.fromhex(word) if len(word) >= 64 and len(word) % 2 == 0 and set(word) <= set("0123456789abcdef") else b"", plain_decoded(word)}:
+            if raw and is_private_key(raw):
+                out.append(("private_key", at, at + len(word)))
+        at += len(word) + 1
+    return out
+
+
+def plain_decoded(word):
+    try:
+        return base64.b64decode(word, validate=True) if len(word) >= 40 else b""
+    except ValueError:
+        return b""
+
+
+def test_added_spans_against_a_plain_version():
+    words = ["a", "x.y", "password", "0" * 70, TOKEN, TOKEN[:-5], RSA.hex(), RSA.hex()[2:], base64.b64encode(CURVE).decode(), base64.b64encode(CERTIFICATE).decode(), base64.b64encode(WRAPPED).decode(), "é" * 30]
+    for _ in range(300):
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(1, 12)))
+        assert sorted(confirmed_spans(text)) == sorted(plain_spans(text)), text
+
+
 def test_what_does_not_parse_is_not_reported():
     noise = [base64.b64encode(rng.randbytes(90)).decode() for _ in range(300)]
     noise += [rng.randbytes(60).hex() for _ in range(300)] + [".".join([web(rng.randbytes(20))] * 3)] * 5
