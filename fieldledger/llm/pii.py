@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldledger.llm.common import slices
-from fieldledger.llm.registry import query, table
+from fieldledger.llm.registry import query, reach, table
 
 ROUNDS = 10
 
@@ -109,11 +109,15 @@ def _ip(key, found, back):
 
 
 def _phone(key, found, back):
-    """With a country code or brackets, any digits; without, the rules of ten-digit numbers."""
-    lead = re.match(r"\+\d{1,3}(?=[ .(-])|\+1(?=\d{10}$)|", found)[0]
+    """With a country code or brackets, any digits; without, the rules of ten-digit numbers.
+
+    The country code stays, and a leading 1; of a number without separators the first two
+    digits, as the length of its code is not known.
+    """
+    lead = re.match(r"\+\d{1,3}(?=[ .(-])|\+1(?=\d{10}$)|\+\d\d(?=\d{6,13}$)|1[ .-]|", found)[0]
     digits = re.sub(r"\D", "", found[len(lead) :])
-    marked = bool(lead) or "(" in found
-    if not 6 <= len(digits) <= 12 or not lead and len(digits) != 10:
+    marked = lead.startswith("+") or "(" in found
+    if not 6 <= len(digits) <= 13 or not lead.startswith("+") and len(digits) != 10:
         return None
     if not marked and (digits[0] < "2" or digits[3] < "2"):
         return None
@@ -124,35 +128,48 @@ def _phone(key, found, back):
 
 
 _DATES = [
-    (re.compile(r"\d{4}-\d\d-\d\d"), "ymd", "-"),
-    (re.compile(r"\d{4}/\d\d/\d\d"), "ymd", "/"),
-    (re.compile(r"\d\d/\d\d/\d{4}"), "mdy", "/"),
-    (re.compile(r"\d\d/\d\d/\d{4}"), "dmy", "/"),
-    (re.compile(r"\d\d\.\d\d\.\d{4}"), "dmy", "."),
-    (re.compile(r"\d\d-\d\d-\d{4}"), "dmy", "-"),
+    (re.compile(r"\d{4}-\d{1,2}-\d{1,2}"), "ymd", "-"),
+    (re.compile(r"\d{4}/\d{1,2}/\d{1,2}"), "ymd", "/"),
+    (re.compile(r"\d{1,2}/\d{1,2}/\d{4}"), "mdy", "/"),
+    (re.compile(r"\d{1,2}/\d{1,2}/\d{4}"), "dmy", "/"),
+    (re.compile(r"\d{1,2}\.\d{1,2}\.\d{4}"), "dmy", "."),
+    (re.compile(r"\d{1,2}-\d{1,2}-\d{4}"), "dmy", "-"),
 ]
 
 
+def _written(value: int, like: str, padded: bool) -> str | None:
+    """A day or month in the way of `like`; None where it has no such form.
+
+    With `padded` all numbers have two digits. Otherwise a number has as many digits as
+    `like`, and a leading 0 where that has one.
+    """
+    if padded:
+        return f"{value:02}"
+    form = f"{value:02}" if like[0] == "0" else str(value)
+    return form if len(form) == len(like) and (form[0] == "0") == (like[0] == "0") else None
+
+
 def _date(key, found, back):
     for form, order, mark in _DATES:
         if not form.fullmatch(found):
             continue
-        at = dict(zip(order, map(int, found.split(mark)), strict=True))
+        given = dict(zip(order, found.split(mark), strict=True))
         try:
-            day = datetime.date(at["y"], at["m"], at["d"]).toordinal()
+            day = datetime.date(int(given["y"]), int(given["m"]), int(given["d"])).toordinal()
         except ValueError:
             continue
         if not _FIRST_DAY <= day <= _LAST_DAY:
             continue
+        padded = len(given["m"]) == len(given["d"]) == 2
         tweak, size = f"date{order}{mark}", _LAST_DAY - _FIRST_DAY + 1
         while True:
             day = _FIRST_DAY + permuted(key, tweak, day - _FIRST_DAY, size, back)
             moved = datetime.date.fromordinal(day)
+            parts = {"y": f"{moved.year:04}"}
+            parts |= {c: _written(v, given[c], padded) for c, v in (("m", moved.month), ("d", moved.day))}
             # With slashes, a day of 12 or less would read as month first.
-            if order != "dmy" or mark != "/" or moved.day > 12:
-                break
-        parts = {"y": f"{moved.year:04}", "m": f"{moved.month:02}", "d": f"{moved.day:02}"}
-        return mark.join(parts[c] for c in order)
+            if all(parts.values()) and (order != "dmy" or mark != "/" or moved.day > 12):
+                return mark.join(parts[c] for c in order)
     return None
 
 
@@ -169,12 +186,21 @@ def _iban(key, found, back):
     return _refill(found, f"{plain[:2]}{check:02}{body}")
 
 
+#: Letters and digits of an address that are one number; longer local parts are several.
+_TOGETHER = 64
+
+
 def _email(key, found, back):
     local, host = found.rsplit("@", 1)
     spans = [(10, "0") if c.isdigit() else (26, "a") if c.islower() else (26, "A") for c in local if c.isalnum()]
     values = [ord(c) - ord(low) for c, (_, low) in zip(filter(str.isalnum, local), spans, strict=True)]
-    values = _mixed(key, f"email{host.lower()}", values, [n for n, _ in spans], back)
-    return _refill(local, "".join(chr(ord(low) + v) for v, (_, low) in zip(values, spans, strict=True))) + "@" + host
+    done: list[int] = []
+    for i in range(0, len(values), _TOGETHER):
+        part = slice(i, i + _TOGETHER)
+        tweak = f"email{host.lower()}" + (f"|{i}" if i else "")
+        done += _mixed(key, tweak, values[part], [n for n, _ in spans[part]], back)
+    new = "".join(chr(ord(low) + v) for v, (_, low) in zip(done, spans, strict=True))
+    return _refill(local, new) + "@" + host
 
 
 _MAKE = {"ip": _ip, "iban": _iban, "ssn": _ssn, "date": _date, "phone": _phone, "card": _card}
@@ -185,15 +211,16 @@ _NUMBER = re.compile(
     r"(?P<ip>\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))"
     r"|(?P<iban>[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)"
     r"|(?P<ssn>\d{3}-\d\d-\d{4})"
-    r"|(?P<date>\d{4}(?P<a>[-/])\d\d(?P=a)\d\d|\d\d(?P<b>[-/.])\d\d(?P=b)\d{4})"
-    r"|(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}"
-    r"|\+\d{1,3}(?:[ .-]\d{2,4}){2,5}|\+1\d{10})"
+    r"|(?P<date>\d{4}(?P<a>[-/])\d{1,2}(?P=a)\d{1,2}|\d{1,2}(?P<b>[-/.])\d{1,2}(?P=b)\d{4})"
+    r"|(?P<phone>(?:\+\d{1,3}[ .-]?|1[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}"
+    r"|\+\d{1,3}(?:[ .-]\d{2,4}){2,5}|\+\d{8,15})"
     r"|(?P<card>\d(?:[ -]?\d){12,18})"
-    r")(?![\w])",
+    r")(?!(?!T\d\d:\d\d)\w)",
     re.ASCII,
 )
 _HOST = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}", re.ASCII)
-_LOCAL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*$", re.ASCII)
+#: The characters of a local part; it is read backwards from its @.
+_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+", re.ASCII)
 _DIGIT = re.compile(r"\d", re.ASCII)
 
 
@@ -204,8 +231,10 @@ def _shorter(found: str, kind: str) -> list[str]:
     return [found, *(found[:i] for i in reversed(cuts))]
 
 
-#: Characters before an @ that are looked at; addresses allow 64.
-_LOCAL_LENGTH = 64
+def _local(text: str, at: int) -> str:
+    """The local part that ends at the @ at `at`, whatever its length."""
+    back = _LOCAL.match(text[text.rfind("@", 0, at) + 1 : at][::-1])
+    return back[0][::-1].lstrip("._%+-") if back else ""
 
 
 def pseudonymised(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, int]]:
@@ -214,12 +243,12 @@ def pseudonymised(text: str, key: bytes, back: bool = False) -> tuple[str, dict[
     at = text.find("@")
     while at >= 0:
         host = _HOST.match(text, at)
-        local = _LOCAL.search(text[max(0, at - _LOCAL_LENGTH) : at])
-        if host and local:
-            begin = at - len(local[0])
+        local = host and _local(text, at)
+        if local:
+            begin = at - len(local)
             value = text[begin : host.end()]
             found.append((begin, host.end(), "email", _email(key, value, back)))
-        at = text.find("@", host.end() if host and local else at + 1)
+        at = text.find("@", host.end() if local else at + 1)
     if _DIGIT.search(text):
         at = 0
         while match := _NUMBER.search(text, at):
@@ -253,7 +282,10 @@ class _Replace:
             batch = batch.set_column(at, field, pa.array([t for t, _ in done], field.type))
             if self.counts:
                 kinds = pa.struct([(k, pa.int64()) for k in KINDS])
-                batch = batch.append_column(self.counts, pa.array([c for _, c in done], kinds))
+                column = pa.array([c for _, c in done], kinds)
+                held = batch.schema.get_field_index(self.counts)
+                named = pa.field(self.counts, kinds)
+                batch = batch.append_column(named, column) if held < 0 else batch.set_column(held, named, column)
             yield batch
 
 
@@ -262,9 +294,12 @@ def pseudonymise(
 ) -> DataFrame:
     """`docs` with pseudonyms in `text`; with `counts`, also a struct of counts by kind.
 
-    Every row keeps its other columns, whatever their names. A null text stays null,
-    with null counts; an empty one stays empty with counts of 0.
+    Every row keeps its other columns, whatever their names; a column that is called
+    `counts` already is replaced. A null text stays null, with null counts; an empty one
+    stays empty with counts of 0. Repeated rows are treated alike, an empty table gives an
+    empty result, and texts of any length are read whole.
     """
+    reach(docs.sparkSession)
     schema = docs.schema
     if counts:
         kinds = ", ".join(f"{k}: long" for k in KINDS)
