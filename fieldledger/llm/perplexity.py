@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldledger.llm.common import numbered_rows, sized, slices, without_rows
-from fieldledger.llm.registry import query, table
+from fieldledger.llm.registry import query, reach, table
 from fieldledger.llm.words import code_points, windows_hash, words_of
 from fieldledger.scratch import staged
 
@@ -431,6 +431,7 @@ def quality_scores(
     A language whose texts all fail has no band and keeps nothing. Equal texts count
     once in model and medians, and each row is judged; other columns are not read.
     """
+    reach(docs.sparkSession)
     if not row:
         docs, row = numbered_rows(docs.select(*dict.fromkeys([doc, text, lang])), doc)
     plain = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -464,9 +465,9 @@ def quality_scores(
     least = F.greatest(1.4826 * F.col("apart"), F.lit(LEAST)).alias("spread")
     bands = spread.select(F.col("lang").alias("other"), "middle", least)
     judged = scores.join(F.broadcast(bands), F.expr("lang <=> other"), "left")
-    reach = F.col("spread") / F.sqrt(F.greatest("chars", F.lit(1)))
-    judged = judged.withColumn("lower", F.col("middle") - BELOW * reach - MORE)
-    judged = judged.withColumn("upper", F.col("middle") + ABOVE * reach + MORE)
+    half = F.col("spread") / F.sqrt(F.greatest("chars", F.lit(1)))
+    judged = judged.withColumn("lower", F.col("middle") - BELOW * half - MORE)
+    judged = judged.withColumn("upper", F.col("middle") + ABOVE * half + MORE)
     within = F.coalesce(F.col("nats").between(F.col("lower"), F.col("upper")), F.lit(False))
     return judged.select(
         "row", F.col("doc").alias("doc_id"), "lang", *STATS, "base_failed",

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import corpus_pipeline
@@ -51,5 +52,24 @@ def test_stages_return_documents(spark, folder):
         assert stage(spark, docs.limit(20), folder).columns == COLUMNS, name
 
 
+def test_results_that_are_read_late(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(60)
+    made = [stage(spark, docs, folder) for _, stage in corpus_pipeline.STAGES]
+    assert all(df.count() > 0 for df in made)
+
+
+def test_odd_rows_and_empty_tables(spark, folder):
+    rows = plain.odd_rows(random.Random(41)) + [(100 + i, t, "en") for i, t in enumerate(plain.random_texts(9, 30))]
+    docs = plain.table(spark, rows)
+    empty = plain.table(spark, [])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, folder)
+        assert found.columns == docs.columns and 0 < found.count() <= len(rows), name
+        assert stage(spark, empty, folder).count() == 0, name
+    ids = [(str(r.doc_id), r.start, r.length) for r in corpus_pipeline.packed(spark, docs, folder).collect()]
+    assert {i for i, *_ in ids} == {str(i) for i, *_ in rows}
+    assert corpus_pipeline.packed(spark, empty, folder).count() == 0
+
+
 def test_all_operators_are_registered():
     assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
