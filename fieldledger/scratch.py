@@ -11,14 +11,16 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldledger.folders import remove_folder
+from fieldledger.folders import folder_names, remove_folder
 
 _SETTING = "spark.checkpoint.dir"
 _own_folder: dict[str, str] = {}
-_runs: list[str] = []
+#: The folder of the block that a thread is in; threads do not see each other's.
+_run: ContextVar[str | None] = ContextVar("run", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -35,18 +37,18 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the scratch root, or under that of the current run."""
-    return f"{_runs[-1] if _runs else scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_run.get() or scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @contextmanager
 def kept_run(spark: SparkSession) -> Iterator[str]:
     """Staged tables of the block lie in one folder, which whoever opens it removes."""
     folder = scratch_path(spark, "run")
-    _runs.append(folder)
+    before = _run.set(folder)
     try:
         yield folder
     finally:
-        _runs.remove(folder)
+        _run.reset(before)
 
 
 @contextmanager
@@ -59,6 +61,17 @@ def scratch_run(spark: SparkSession) -> Iterator[None]:
             remove_folder(spark, folder)
 
 
+def drop_unread(spark: SparkSession, folder: str, df: DataFrame) -> None:
+    """Removes the staged tables of a run that `df` does not read.
+
+    Their names are unlike any other, so they are told by the paths that `df` reads.
+    """
+    read = df.inputFiles()
+    for name in folder_names(spark, folder):
+        if not any(f"/{name}/" in path for path in read):
+            remove_folder(spark, f"{folder}/{name}")
+
+
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """The rows of `df`, written once as parquet and read back."""
     spark = df.sparkSession
