@@ -135,6 +135,8 @@ class Pieces:
 class PieceEncoder(Gathered):
     """Ids of texts with a SentencePiece model, and texts of ids."""
 
+    table_bytes = 150_000_000
+
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = model.get_piece_size()

@@ -1,13 +1,14 @@
 """Token ids of many texts with a public byte-level BPE tokenizer.
 
 Texts are cut before single spaces, where the tokenizer's own pattern cuts as well, or
-by that pattern where spaces stand together. Each distinct piece is given to the
-tokenizer once, as merges never cross such cuts. What it returned is held in one flat
+by that pattern where spaces stand together. Each distinct piece is encoded once, as merges
+never cross such cuts, by the tokenizer's merges read as ranks. What it returned is held in one flat
 array, and a text's ids are gathered from it.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 from itertools import chain
@@ -15,6 +16,7 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import regex
+import tiktoken
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -22,9 +24,8 @@ from tokenizers import Tokenizer  # noqa: E402
 
 VOCABULARY = "byte_bpe_50k.json"
 
-#: Bytes of distinct pieces and their ids that a task holds; beyond it the table starts
-#: anew. What Python adds to each piece is counted as `EXTRA`.
-TABLE_BYTES, EXTRA = 70_000_000, 200
+#: What Python adds to the bytes of a piece.
+EXTRA = 200
 
 
 class _Places(dict):
@@ -42,11 +43,15 @@ class _Places(dict):
 class Gathered:
     """Ids of texts, gathered from those of their distinct pieces.
 
+    Distinct pieces and their ids are held up to `table_bytes`; then the table starts anew.
+
     `split` cuts a text into keys, `learn` gives the ids of pieces not seen before,
     all in one array, and how many each has. Key `x` is the piece " x", and key " x" the piece "x", so that a text cut at single
     spaces is its own list of keys but for the first one.
     """
 
+    table_bytes = 60_000_000
+
     def __init__(self):
         self._clear()
 
@@ -67,7 +72,7 @@ class Gathered:
         self.held += EXTRA * len(keys) + sum(map(len, keys)) + flat.nbytes
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if self.held > TABLE_BYTES:
+        if self.held > self.table_bytes:
             self._clear()
         split = list(map(self.split, texts))
         places = map(self.known.__getitem__, chain.from_iterable(split))
@@ -84,12 +89,29 @@ class Gathered:
         return [ids[a:b] for a, b in zip(upto[:-1], upto[1:], strict=True)]
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte in a byte-level vocabulary: visible ones of
-    Latin-1 stand for themselves, others for letters from U+0100 on, in order."""
+def _letter_bytes() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for: visible characters of
+    Latin-1 stand for themselves, letters from U+0100 on for the other bytes, in order."""
     seen = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
     other = [b for b in range(256) if b not in seen]
-    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(other)}
+    return {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(other)}
+
+
+def ranked_encoding(tokenizer: Tokenizer, pattern: str) -> tiktoken.Encoding | None:
+    """The tokenizer's merges as ranks, which encode a piece several times as fast.
+
+    None where the file is not one of bytes whose ids are in the order of its merges.
+    """
+    told = json.loads(tokenizer.to_str())
+    letters, merges = _letter_bytes(), told["model"].get("merges", [])
+    vocabulary = told["model"].get("vocab", {})
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
+    order = [vocabulary[a + b] for a, b in pairs] if told["normalizer"] is None else []
+    ranks = {t: i for t, i in vocabulary.items() if set(t) <= letters.keys()}
+    ranks = {bytes(map(letters.__getitem__, t)): i for t, i in ranks.items()}
+    if not order or order != sorted(set(order)) or any(bytes([b]) not in ranks for b in range(256)):
+        return None
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 class Encoder(Gathered):
@@ -103,8 +125,7 @@ class Encoder(Gathered):
         self.pattern = regex.compile(pattern)
         self.marks = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.bytewise = self.tokenizer.normalizer is None
-        self.letters = _byte_letters()
+        self.ranked = ranked_encoding(self.tokenizer, pattern)
         super().__init__()
 
     def split(self, text: str) -> list[str]:
@@ -118,31 +139,13 @@ class Encoder(Gathered):
         return keys
 
     def learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """What the tokenizer's pattern cuts goes to its model, each different cut once."""
-        known: dict[str, list[int]] = {}
-        flat, sizes = [], []
-        for piece in pieces:
-            before = len(flat)
-            for cut in self._cuts(piece):
-                if (ids := known.get(cut)) is None:
-                    ids = known[cut] = self._ids(cut)
-                flat += ids
-            sizes.append(len(flat) - before)
-        return np.array(flat, np.uint32), np.array(sizes, np.int64)
-
-    def _cuts(self, piece: str) -> list[str]:
-        if piece[1:].isalpha() and piece[0] == " " or self._whole(piece):
-            return [piece]
-        return self.pattern.findall(piece)
-
-    def _whole(self, piece: str) -> bool:
-        return not self.bytewise or any(m in piece for m in self.marks)
-
-    def _ids(self, cut: str) -> list[int]:
-        if self._whole(cut):
-            return self.tokenizer.encode(cut, add_special_tokens=False).ids
-        letters = cut.encode().decode("latin1").translate(self.letters)
-        return [x.id for x in self.tokenizer.model.tokenize(letters)]
+        found = list(map(self._ids, pieces))
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.array(list(map(len, found)))
+
+    def _ids(self, piece: str) -> list[int]:
+        if self.ranked is None or any(m in piece for m in self.marks):
+            return self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return self.ranked.encode_ordinary(piece)
 
 
 @lru_cache(maxsize=2)
