@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,6 +37,20 @@ def slices(
                 start, total = at, 0
             total += size
         yield batch.slice(start)
+    _give_back()
+
+
+def _give_back() -> None:
+    """Hands freed memory back to the system at the end of a task.
+
+    Workers serve many tasks of many stages, and would else stay as large as the largest
+    of them made them. Where the C library has no such call, nothing is done.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass
 
 
 def sized(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

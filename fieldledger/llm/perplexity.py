@@ -150,6 +150,11 @@ def _discounts(times: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(x, 0.1), i - 0.1) for i, x in enumerate(cut, 1))
 
 
+def narrow(x: np.ndarray) -> np.ndarray:
+    """Counts in four bytes each, where they fit."""
+    return x.astype(np.int32 if not len(x) or x.max() < 1 << 31 else np.int64)
+
+
 class Counted:
     """A language's counts as arrays: n-grams of each order, where their context and the
     n-gram one shorter stand, and for each context its total and how many n-grams in it
@@ -166,7 +171,7 @@ class Counted:
                 keys & _mask(k - 1), return_inverse=True, return_counts=True
             )
             context = (np.cumsum(new) - 1).astype(np.int32)
-            self.orders[k] = n.astype(np.int64), context, sums, at.astype(np.int32)
+            self.orders[k] = narrow(n), context, list(map(narrow, sums)), at.astype(np.int32)
             self.symbols = len(keys)
             keys, n = shorter, more
 
@@ -175,7 +180,7 @@ class Counted:
         at = np.searchsorted(self.keys, keys)
         for k in range(ORDER, 0, -1):
             n, context, sums, shorter = self.orders[k]
-            yield n[at], *(x[context[at]] for x in sums)
+            yield tuple(x.astype(np.int64) for x in (n[at], *(x[context[at]] for x in sums)))
             at = shorter[at]
 
 
