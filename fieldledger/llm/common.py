@@ -37,10 +37,10 @@ def slices(
                 start, total = at, 0
             total += size
         yield batch.slice(start)
-    _give_back()
+    give_back()
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Hands freed memory back to the system at the end of a task.
 
     Workers serve many tasks of many stages, and would else stay as large as the largest

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldledger.llm.common import slices, text_or_empty
+from fieldledger.llm.common import give_back, slices, text_or_empty
 from fieldledger.llm.registry import query, reach, table
 from fieldledger.llm.tokens import VOCABULARY, encoder
 from fieldledger.scratch import staged
@@ -50,6 +50,8 @@ class _Encode:
             columns = [batch.column("doc"), parts, pa.array(n), pa.array(places), width, ids]
             names = ["doc", "part", "n", "before", "width", "ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
+        encode.clear()
+        give_back()
 
 
 class _Cut:

@@ -41,7 +41,7 @@ ORDER, BITS = 5, 12
 MODEL_ROWS = 6_000_000
 
 #: n-grams that a task holds before it hands on what it has counted.
-HELD = 4_000_000
+HELD = 1_500_000
 
 #: Half-widths of the bands in spreads of a language, the least spread, and what is added
 #: for a text of any length, in nats a character.

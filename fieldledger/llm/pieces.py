@@ -24,7 +24,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldledger.llm.common import SLICE_BYTES, slices, text_or_empty
+from fieldledger.llm.common import SLICE_BYTES, give_back, slices, text_or_empty
 from fieldledger.llm.registry import query, reach, table
 from fieldledger.llm.tokens import Gathered
 from fieldledger.llm.words import _STEP, _power, code_points, mixed
@@ -183,6 +183,8 @@ class _Encode:
             offsets = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
             ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found).astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), ids], ["doc", "ids"])
+        encode.clear()
+        give_back()
 
 
 class _Decode:

@@ -53,7 +53,7 @@ class Gathered:
     table_bytes = 60_000_000
 
     def __init__(self):
-        self._clear()
+        self.clear()
 
     def split(self, text: str) -> list[str]:
         raise NotImplementedError
@@ -61,7 +61,8 @@ class Gathered:
     def learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raise NotImplementedError
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
+        """Starts the table anew, as a task does at its end: a worker outlives its task."""
         self.known, self.held = _Places(), 0
         self.flat, self.start = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
@@ -73,7 +74,7 @@ class Gathered:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if self.held > self.table_bytes:
-            self._clear()
+            self.clear()
         split = list(map(self.split, texts))
         places = map(self.known.__getitem__, chain.from_iterable(split))
         flat = np.fromiter(places, np.int64, sum(map(len, split)))
