@@ -59,6 +59,17 @@ def random_split(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "random_split_drawn",
+    f"select lang, source, {sql.split_of('key || chr(31) || copy')} as split, cast(count(*) as bigint) as n_rows from ("
+    "select lang, source, coalesce(lang, '\\N') || chr(31) || coalesce(source, '\\N') as key, "
+    "row_number() over (partition by lang, source) as copy from documents) group by 1, 2, 3",
+)
+def random_split_drawn(spark: SparkSession, folder: str) -> DataFrame:
+    copies = proxies.table(spark, folder, "documents").select("lang", "source")
+    return splits.drawn_split(copies).groupBy("lang", "source", "split").agg(F.count("*").alias("n_rows"))
+
+
 @query("hash_split", f"with {sql.DOC_SPLITS} select doc_id, split from doc_splits")
 def hash_split(spark: SparkSession, folder: str) -> DataFrame:
     docs = proxies.table(spark, folder, "documents").select("doc_id")

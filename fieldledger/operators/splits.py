@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fieldledger import fixed_values as fv
+from fieldledger.scratch import staged
 
 _BUCKETS = 10_000
 _KEY, _BUCKET, _COPIES, _BEFORE, _TAKE = "_key", "_bucket", "_copies", "_before", "_take"
@@ -125,6 +126,31 @@ def random_split(
     return drawn.withColumn("split", _cut(F.col(_BUCKET), fractions)).drop(_BUCKET)
 
 
+def drawn_split(
+    df: DataFrame, fractions: Mapping[str, float] = fv.SPLIT_FRACTIONS, seed: int = fv.SEED
+) -> DataFrame:
+    """Rows with a `split` name drawn for each copy of a row, from its content and number.
+
+    The draw is the same however `df` is partitioned and whatever tasks are repeated.
+    Equal rows are numbered 1, 2, ... without being gathered: they are counted where they
+    lie, the counts are added and written once, and each row unfolds from its count. Rows
+    with many copies are spread in blocks before that. Columns must be groupable (no maps);
+    NULL is a value like any other.
+    """
+    columns = df.columns
+    counted = df.groupBy(*columns).agg(F.count("*").alias(_TAKE)).withColumn(_KEY, row_key(columns))
+    counted = staged(counted, "copies")
+    few = counted.filter(F.col(_TAKE) <= _COPY_BLOCK).withColumn(
+        "_number", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(_TAKE)))
+    )
+    many = _repeat_rows(counted.filter(F.col(_TAKE) > _COPY_BLOCK), _TAKE).withColumn(
+        "_number", F.col("_block") * _COPY_BLOCK + F.col("_copy")
+    )
+    numbered = few.select(*columns, _KEY, "_number").unionByName(many.select(*columns, _KEY, "_number"))
+    draw = split_bucket(F.concat_ws("\x1f", _KEY, F.col("_number").cast("string")), seed)
+    return numbered.select(*columns, _cut(draw, fractions).alias("split"))
+
+
 def coalesce_output(df: DataFrame, files: int | None) -> DataFrame:
     """The rows in `files` partitions, spread evenly; unchanged for None.
 

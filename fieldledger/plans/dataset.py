@@ -102,7 +102,8 @@ def _build(spark: SparkSession, config: DatasetConfig) -> dict[str, DataFrame]:
     )
     quality.non_empty_gate(counts.filter("stage = 'rendered' and n_rows > 0"), "records")
     if config.random:
-        tagged = splits.random_split(lines, config.fractions, config.seed)
+        drawn = splits.drawn_split(enriched, config.fractions, config.seed)
+        tagged = records.format_incident_records(drawn, config.template, config.spaced_json)
     else:
         tagged = splits.hash_split(lines, ["instruction", "output"], config.fractions, config.seed)
     writers.sink_jsonl_splits(tagged, config.output_path, list(config.fractions), config.files_per_split)

@@ -317,6 +317,34 @@ def test_random_split_is_one_narrow_pass(spark):
     assert abs(counts["train"] - 16_000) < 400 and abs(counts["val"] - 2000) < 300
 
 
+@pytest.mark.parametrize("copies", [1, 4096, 4097, 9000])
+def test_drawn_split_does_not_hang_on_partitioning(spark, copies):
+    rows = [("hot", 1)] * copies + [(None, i % 50) for i in range(300)] + [(f"r{i}", None) for i in range(200)]
+    df = spark.createDataFrame(rows, "a string, n bigint")
+    first, *others = [rows_of(splits.drawn_split(df.repartition(n))) for n in (1, 3, 50)]
+    assert all(other == first for other in others)
+
+    def bucket(a, n, number):
+        key = "\x1f".join("\\N" if x is None else str(x) for x in (a, n, number))
+        return int(hashlib.md5(f"{fv.SEED}:{key}".encode()).hexdigest()[:8], 16) % 10_000
+
+    seen, expected = {}, []
+    for row in rows:
+        seen[row] = seen.get(row, 0) + 1
+        drawn = bucket(*row, seen[row])
+        expected.append((*row, "train" if drawn < 8000 else "val" if drawn < 9000 else "test"))
+    assert first == sorted(expected, key=repr)
+
+
+def test_drawn_split_of_nothing(spark):
+    assert splits.drawn_split(spark.createDataFrame([], "a string")).collect() == []
+
+
+def test_drawn_split_counts_copies_before_the_shuffle(spark):
+    plan = splits.drawn_split(spark.range(10).selectExpr("id % 2 as id"))._jdf.queryExecution().toString()
+    assert "Window" not in plan and "Sort" not in plan
+
+
 def test_cleaning_flags_agree_with_cleaning(spark, folder):
     raw = proxies.incidents_raw(spark, folder)
     flags = clean.cleaning_flags(raw)
