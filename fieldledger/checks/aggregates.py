@@ -155,8 +155,10 @@ def top_k_labels(spark: SparkSession, folder: str) -> DataFrame:
     lines, parts = proxies.table(spark, folder, "lineitem"), proxies.table(spark, folder, "part")
     keyed = lines.select(F.col("l_partkey").alias("part"))
     named = parts.select(F.col("p_partkey").alias("part"), F.col("p_brand").alias("label"))
-    brands = join_dimension(keyed, named, ["part"], "inner")
-    return profile.top_k_labels(profile.label_balance(brands))
+    # Counted by part before the join, so that no part has more than one row to join.
+    per_part = profile.label_balance(keyed, "part")
+    brands = join_dimension(per_part, named, ["part"], "inner", salts=1)
+    return profile.top_k_labels(profile.label_balance(brands, weight=profile.WEIGHT))
 
 
 @query(

@@ -47,6 +47,11 @@ def join_dimension(
 def salted_join(
     facts: DataFrame, dimension: DataFrame, on: Sequence[str], how: str, salts: int = SALTS
 ) -> DataFrame:
+    """The join on the key and a salt; beyond the bounds, so nothing is broadcast.
+
+    Without the hint Spark may broadcast the copies: it takes them to be as large as the
+    dimension they are made of.
+    """
     salted = facts.withColumn(_SALT, F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(salts)).cast("int"))
     copies = dimension.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, _SALT], how).drop(_SALT)
+    return salted.join(copies.hint("merge"), [*on, _SALT], how).drop(_SALT)
