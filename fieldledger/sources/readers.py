@@ -13,6 +13,7 @@ from fieldledger.functions.records import decoded, record_columns, unread_kind
 from fieldledger.sources.published import published_version, split_lines
 
 CORRUPT = "_corrupt_record"
+ROWS_PER_TASK = 250_000
 
 
 def text_schema(names: Sequence[str]) -> T.StructType:
@@ -47,13 +48,15 @@ def scan_headered_csv(
     return reader.csv(path)
 
 
-def spread(scan: DataFrame, partitions: int | None) -> DataFrame:
+def spread(scan: DataFrame, partitions: int | None, rows: int = 0, per_task: int = ROWS_PER_TASK) -> DataFrame:
     """The scan, dealt out over `partitions`; as it is for None.
 
     For input that is known not to split (compressed or multi-line files, one row
-    group), which would otherwise leave the work after it to a task per file.
+    group), which would otherwise leave the work after it to a task per file. With the
+    number of its `rows` there are as many more partitions as keep each to about
+    `per_task` rows, so that what a task sorts or writes does not grow with the input.
     """
-    return scan.repartition(partitions) if partitions else scan
+    return scan.repartition(max(partitions, -(-rows // per_task))) if partitions else scan
 
 
 def year_globs(base: str, years: Sequence[int] = fv.ACTIVITY_YEARS, pattern: str = "{base}/{year}*.csv") -> list[str]:

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from fieldledger.checks import QUERIES
+from fieldledger.checks import QUERIES, proxies
 from fieldledger.operators import joins
+from fieldledger.sources import readers
 
 
 def plan(df):
@@ -30,3 +31,17 @@ def test_top_k_labels_joins_counts(spark, tmp_path):
     assert [tuple(r) for r in top.collect()] == [("b", 3), ("a", 2)]
     optimised = top._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" in optimised.split("Join", 1)[1]
+
+
+def test_spread_keeps_tasks_to_a_number_of_rows(spark):
+    rows = spark.range(1000)
+    assert readers.spread(rows, None, 1000) is rows
+    for n, per_task, parts in ((1000, 100, 10), (1000, 300, 4), (0, 100, 3), (1000, 10_000, 3)):
+        spread = readers.spread(rows, 3, n, per_task)
+        assert spread.groupBy(F.spark_partition_id()).count().count() == parts
+
+
+def test_incidents_get_more_tasks_as_they_grow(spark, folder, monkeypatch):
+    n = proxies.table(spark, folder, "lineitem").count()
+    monkeypatch.setattr(readers.spread, "__defaults__", (0, -(-n // 20)))
+    assert "RoundRobinPartitioning(20)" in plan(proxies.incidents_raw(spark, folder))
