@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +16,11 @@ from fieldledger.operators.splits import hash_split
 from fieldledger.scratch import staged
 
 
-def profile_counts(spark: SparkSession, folder: str) -> DataFrame:
+def profile_counts(
+    spark: SparkSession, folder: str, keys: Sequence[str] = profile.PROFILE_KEYS
+) -> DataFrame:
     rows = records.profile_rows(proxies.record_lines(spark, folder))
-    return staged(profile.profile_counts(rows), "profile-counts")
+    return staged(profile.profile_counts(rows, keys), "profile-counts")
 
 
 def document_lengths(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,7 +55,7 @@ def label_balance(spark: SparkSession, folder: str) -> DataFrame:
     f"with {sql.TAGGED} select label, cast(count(*) as bigint) as n_rows from tagged group by 1",
 )
 def label_balance_records(spark: SparkSession, folder: str) -> DataFrame:
-    counts = profile_counts(spark, folder)
+    counts = profile_counts(spark, folder, profile.BALANCE_KEYS)
     return profile.label_balance(counts.filter("parsed"), weight=profile.WEIGHT)
 
 
@@ -114,7 +118,7 @@ def token_length_stats(spark: SparkSession, folder: str) -> DataFrame:
     "cast(any_value(balance.n) as bigint) as top_count from tagged, balance",
 )
 def dataset_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.dataset_summary(profile_counts(spark, folder))
+    return profile.dataset_summary(profile_counts(spark, folder, profile.BALANCE_KEYS))
 
 
 @query(

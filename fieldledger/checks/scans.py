@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from fieldledger import fixed_values as fv
 from fieldledger.checks import proxies, sql
+from fieldledger.checks.aggregates import profile_counts
 from fieldledger.checks.registry import query
 from fieldledger.functions.text import nonblank
 from fieldledger.operators import profile, records
 from fieldledger.plans.chat_texts import sift_records as sift
-from fieldledger.scratch import scratch_path, staged
+from fieldledger.scratch import scratch_path
 from fieldledger.sources import readers, writers
 from fieldledger.sources.published import split_folder, split_lines
 
@@ -203,8 +204,7 @@ def sink_verify_readback(spark: SparkSession, folder: str) -> DataFrame:
     "union all select 'splits', split, count(*) from tagged group by 2",
 )
 def sink_profile_tables(spark: SparkSession, folder: str) -> DataFrame:
-    rows = records.profile_rows(proxies.record_lines(spark, folder))
-    counts = staged(profile.profile_counts(rows), "profile-counts")
+    counts = profile_counts(spark, folder, [key for key in profile.PROFILE_KEYS if key != "has_layout"])
     path = scratch_path(spark, "profile")
     names = {"histogram": "bin", "kinds": "kind", "labels": "label", "splits": "split"}
     tables = profile.profile_tables(counts)

@@ -17,19 +17,23 @@ from fieldledger import fixed_values as fv
 from fieldledger.functions.text import thousands, whole_percent
 
 WEIGHT = "n_rows"
+BALANCE_KEYS = "split", "label", "parsed"
+PROFILE_KEYS = (*BALANCE_KEYS, "token_len", "kind", "has_layout")
 
 
 def _rows(weight: str | None) -> Column:
     return F.coalesce(F.sum(weight), F.lit(0)) if weight else F.count("*")
 
 
-def profile_counts(rows: DataFrame) -> DataFrame:
+def profile_counts(rows: DataFrame, keys: Sequence[str] = PROFILE_KEYS) -> DataFrame:
     """Number of rows per split, label and length: what the tables below need.
 
+    With fewer `keys`, what the others are made of is not worked out: `BALANCE_KEYS` are
+    enough for `label_balance` and `dataset_summary`, and count no words.
+
     Stage the result before making more than one table from it. A filter on it
     would otherwise be moved below the parsing, and parse every line again.
     """
-    keys = "split", "label", "token_len", "parsed", "kind", "has_layout"
     return rows.groupBy(*keys).agg(F.count("*").alias(WEIGHT))
 
 
@@ -203,9 +207,9 @@ def split_display(df: DataFrame, weight: str | None = None) -> DataFrame:
 
 
 def profile_tables(counts: DataFrame) -> dict[str, DataFrame]:
-    """All tables of the profile from the staged `profile_counts`."""
+    """All tables of the profile from the staged `profile_counts`; `layout` only if it is a key."""
     parsed = counts.filter("parsed")
-    return {
+    tables = {
         "histogram": token_length_histogram(parsed, weight=WEIGHT),
         "length_stats": token_length_stats(parsed, weight=WEIGHT),
         "labels": label_balance(parsed, weight=WEIGHT),
@@ -213,8 +217,10 @@ def profile_tables(counts: DataFrame) -> dict[str, DataFrame]:
         "splits": split_shares(counts, weight=WEIGHT),
         "summary": dataset_summary(counts),
         "kinds": counts.groupBy("kind").agg(_rows(WEIGHT).alias("n_rows")),
-        "layout": parsed.groupBy("label").agg(
+    }
+    if "has_layout" in counts.columns:
+        tables["layout"] = parsed.groupBy("label").agg(
             _rows(WEIGHT).alias("n_rows"),
             F.coalesce(F.sum(F.when(F.col("has_layout"), F.col(WEIGHT))), F.lit(0)).alias("n_layout"),
-        ),
-    }
+        )
+    return tables

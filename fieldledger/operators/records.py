@@ -83,6 +83,7 @@ def profile_rows(lines: DataFrame, template: ReportTemplate = ReportTemplate())
         "split",
         word_count(F.concat("i", F.lit(" "), "o")).alias("token_len"),
         label_of(F.col("o")).alias("label"),
+        (F.col("i").isNotNull() & F.col("o").isNotNull()).alias("has_texts"),
         F.when(~F.col("is_json"), "not_json")
         .when(~F.col("is_object"), "not_object")
         .when(F.col("i").isNull() | F.col("o").isNull(), "not_text")
@@ -94,7 +95,8 @@ def profile_rows(lines: DataFrame, template: ReportTemplate = ReportTemplate())
         "split",
         "token_len",
         "label",
-        (F.col("token_len").isNotNull() & F.col("label").isNotNull()).alias("parsed"),
+        # Not from the word count, so that no words are counted where only this is read.
+        (F.col("has_texts") & F.col("label").isNotNull()).alias("parsed"),
         F.coalesce("unread", labelled).alias("kind"),
         "has_layout",
     )
