@@ -74,7 +74,9 @@ class DecodedRecord:
         ended = F.get(elements, F.lit(1))[_END].isNotNull() & (F.size(elements) == 2)
         whole = parsed[_BROKEN].isNull() & ended
         self.is_object = F.coalesce(whole & self._record.isNotNull(), F.lit(False))
-        self.is_json = self.is_object | self._is_other_json(line)
+        # An object is not read again: Spark works out what both parts of `other` share before
+        # it knows whether it needs them.
+        self.is_json = self.is_object | self._is_other_json(F.when(~self.is_object, line))
 
     @staticmethod
     def _is_other_json(line: Column) -> Column:
