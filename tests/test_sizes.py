@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldledger.checks import QUERIES, proxies
-from fieldledger.operators import joins
+from fieldledger.operators import joins, profile, records
 from fieldledger.sources import readers
 
 
@@ -45,3 +45,42 @@ def test_incidents_get_more_tasks_as_they_grow(spark, folder, monkeypatch):
     n = proxies.table(spark, folder, "lineitem").count()
     monkeypatch.setattr(readers.spread, "__defaults__", (0, -(-n // 20)))
     assert "RoundRobinPartitioning(20)" in plan(proxies.incidents_raw(spark, folder))
+
+
+LINES = [
+    ('{"instruction":"a b","output":"R — X Y | z\\nc"}', "train"),
+    ('{"instruction":"a","output":1}', "train"),
+    ('{"output":"no mark"}', "val"),
+    ("[1]", "val"),
+    ("no json", "test"),
+    (None, "test"),
+]
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return records.profile_rows(spark.createDataFrame(LINES, "value string, split string"))
+
+
+def test_balance_counts_no_words_and_gives_the_same(rows):
+    balance, full = profile.profile_counts(rows, profile.BALANCE_KEYS), profile.profile_counts(rows)
+    optimised = balance._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" in full._jdf.queryExecution().optimizedPlan().toString()
+    assert "x1c-" not in optimised and "parseJson" not in optimised
+    for table in (profile.dataset_summary, lambda c: profile.label_balance(c.filter("parsed"), weight=profile.WEIGHT)):
+        assert table(balance).collect() == table(full).collect()
+    assert profile.dataset_summary(balance).first().n_parsed == 1
+
+
+def test_an_object_is_not_parsed_again_to_see_whether_it_is_json(rows):
+    assert sorted(r.kind for r in rows.select("kind").collect()) == ["no_label", "not_json", "not_json", "not_object", "not_text", "ok"]
+    again = rows._jdf.queryExecution().optimizedPlan().toString().split("parseJson(")[1:]
+    assert again and all('CASE WHEN NOT' in text[:60] for text in again)
+
+
+def test_layout_is_left_out_where_it_is_no_key(rows):
+    keys = [key for key in profile.PROFILE_KEYS if key != "has_layout"]
+    some, every = (profile.profile_tables(profile.profile_counts(rows, k)) for k in (keys, profile.PROFILE_KEYS))
+    assert set(every) - set(some) == {"layout"}
+    for name in some:
+        assert sorted(map(str, some[name].collect())) == sorted(map(str, every[name].collect())), name
