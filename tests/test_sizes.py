@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldledger.checks import QUERIES, proxies
-from fieldledger.operators import joins, profile, records
+from fieldledger.operators import joins, profile, records, splits
 from fieldledger.sources import readers
 
 
@@ -84,3 +84,35 @@ def test_layout_is_left_out_where_it_is_no_key(rows):
     assert set(every) - set(some) == {"layout"}
     for name in some:
         assert sorted(map(str, some[name].collect())) == sorted(map(str, every[name].collect())), name
+
+
+def dealt_rows(df):
+    return sorted(n for _, n in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+@pytest.mark.parametrize("parts, first", [(24, 0), (1, 0), (24, 2300)])
+def test_files_are_read_from_packed_folders_and_not_shuffled(spark, parts, first):
+    text = F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("text")
+    rows = spark.range(0, 2400, 1, parts).select("id", text).filter(F.col("id") >= first)
+    dealt = splits.coalesce_output(rows, 3)
+    assert "Exchange" not in plan(dealt)
+    assert all(name.endswith(".zstd.parquet") for name in dealt.inputFiles())
+    counts = dealt_rows(dealt)
+    assert len(counts) == 3 and counts[-1] - counts[0] <= parts
+    assert dealt.columns == rows.columns
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, rows.collect()))
+
+
+@pytest.mark.parametrize("name, value", [("_EVEN", 0), ("_FEW_FILES", 2)])
+def test_uneven_folders_and_many_files_are_shuffled(spark, monkeypatch, name, value):
+    monkeypatch.setattr(splits, name, value)
+    rows = spark.range(0, 2400, 1, 24)
+    dealt = splits.coalesce_output(rows, 3)
+    assert "RoundRobinPartitioning(3)" in plan(dealt)
+    assert dealt.columns == ["id"] and sorted(r.id for r in dealt.collect()) == list(range(2400))
+
+
+def test_no_rows_and_no_number_of_files(spark):
+    rows = spark.range(5)
+    assert splits.coalesce_output(rows, None) is rows
+    assert splits.coalesce_output(rows.filter("id < 0"), 3).collect() == []
