@@ -21,3 +21,16 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     if not system.exists(folder):
         return []
     return [entry.getPath().getName() for entry in system.listStatus(folder) if entry.isDirectory()]
+
+
+def mounted(spark: SparkSession, path: str) -> str | None:
+    """The name under which machines see `path` as a folder of their own; None in a store that
+    only Spark reads."""
+    system, folder = _folder(spark, path)
+    return folder.toUri().getPath() if system.getUri().getScheme() == "file" else None
+
+
+def copy_in(spark: SparkSession, local: str, path: str) -> None:
+    """Moves a folder of this machine to `path`."""
+    system, folder = _folder(spark, path)
+    system.copyFromLocalFile(True, spark._jvm.org.apache.hadoop.fs.Path(f"file://{local}"), folder)

@@ -1,6 +1,9 @@
+import pickle
 import random
 
+import numpy as np
 import plain
+import pytest
 from fieldledger.llm import perplexity
 from fieldledger.llm.perplexity import ABOVE, BELOW, LEAST, MORE, STATS, base_stats, quality_filter, quality_scores
 
@@ -86,3 +89,46 @@ def test_gibberish_is_rejected_in_any_amount(spark):
 
 def test_empty_table(spark):
     assert quality_scores(plain.table(spark, [])).count() == 0
+
+
+def mixed_docs(spark):
+    rng = random.Random(21)
+    rows = [(i, t, rng.choice(["en", "de", None])) for i, t in enumerate(plain.random_texts(9, 90))]
+    rows += [(1000 + i, plain.syllables(rng, rng.randint(12, 90)), "en") for i in range(60)]
+    return plain.table(spark, rows + [(2000, "😀ж中" * 9, "de"), (2001, rows[3][1], rows[3][2])])
+
+
+def judged(docs, **bounds):
+    found = quality_scores(docs, **bounds).drop("row").collect()
+    return sorted([str(x) for x in r[:-4]] + [round(r[-4], 9), str(r[-1])] for r in found)
+
+
+@pytest.mark.parametrize("block", [3, 100, 1 << 21])
+def test_files_of_a_model_hold_its_arrays(tmp_path, monkeypatch, block):
+    monkeypatch.setattr(perplexity, "BLOCK", block)
+    keys, n = np.unique(perplexity.ngrams(plain.random_texts(9, 6))[0], return_counts=True)
+    n[5] = 1 << 33
+    files, counted = perplexity._Files(str(tmp_path), 0), perplexity.Counted(keys, n)
+    for part in (slice(0, 11), slice(11, None)):
+        files.append(perplexity.ORDER, "key", keys[part])
+        files.append(perplexity.ORDER, "n", n[part])
+    cuts, symbols = files.finish()
+    mapped = pickle.loads(pickle.dumps(perplexity.Mapped(str(tmp_path), False, files.kinds, cuts, symbols)))
+    assert (mapped.cuts, mapped.symbols) == (counted.cuts, counted.symbols)
+    for x, y in zip(mapped.figures(keys[::2]), counted.figures(keys[::2]), strict=True):
+        assert all((a == b).all() for a, b in zip(x, y, strict=True))
+
+
+@pytest.mark.parametrize("mount", [True, False])
+def test_a_large_model_is_mapped_and_joins_no_rows_of_texts(spark, monkeypatch, mount):
+    docs = mixed_docs(spark)
+    sent = judged(docs)
+    monkeypatch.delattr(perplexity, "_scores_by_join")
+    if not mount:
+        monkeypatch.setattr(perplexity, "mounted", lambda *x: None)
+    assert judged(docs, model_rows=0) == sent
+
+
+def test_a_model_beyond_its_files_bound_is_joined(spark):
+    docs = mixed_docs(spark)
+    assert judged(docs, model_rows=0, mapped_rows=0) == judged(docs)
