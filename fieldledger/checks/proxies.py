@@ -13,6 +13,7 @@ from fieldledger import fixed_values as fv
 from fieldledger.functions.chat import message_list
 from fieldledger.operators.clean import activity_rows, clean_incidents
 from fieldledger.operators.enrich import activity_by_year_country, enrich_left
+from fieldledger.operators.joins import is_small
 from fieldledger.operators.records import format_incident_records
 from fieldledger.operators.splits import hash_split
 from fieldledger.scratch import staged
@@ -22,6 +23,8 @@ YEARS = (1996, 1997, 1998)
 RAW_COLUMNS = [name for name in fv.INCIDENT_COLUMNS if name != "summary"]
 LOG_WIDTH = 8
 TASKS = 8
+#: Rows of a table of parts or suppliers that is broadcast; with a larger one the lines are shuffled.
+SENT_ROWS = 500_000
 #: The splits, and one that no row falls into.
 FRACTIONS = {**fv.SPLIT_FRACTIONS, "holdout": 0.0}
 LINE_KEY = ["instruction", "output"]
@@ -39,20 +42,34 @@ def incidents_raw(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").select(
         "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"
     )
-    # The small test table is one file with one row group; the rows come from the file's footers.
-    lines = spread(lines, TASKS, lines.count())
-    suppliers = table(spark, folder, "supplier")
-    nations = table(spark, folder, "nation")
-    parts = table(spark, folder, "part")
-    joined = (
-        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    )
+    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    parts = table(spark, folder, "part").select("p_partkey", "p_type", "p_size", "p_brand")
+    if is_small(parts, SENT_ROWS):
+        parts = F.broadcast(parts)
+        # The small test table is one file with one row group; the rows come from the file's footers.
+        lines = spread(lines, TASKS, lines.count())
+    else:
+        # The join deals the rows out by part, so they are not dealt out before it as well.
+        parts = parts.hint("merge")
+    if is_small(suppliers, SENT_ROWS):
+        suppliers = F.broadcast(suppliers)
     c = F.col
     quantity = c("l_quantity")
+    placed = lines.join(suppliers, c("l_suppkey") == c("s_suppkey")).select(
+        "l_partkey",
+        "s_nationkey",
+        "l_returnflag",
+        "l_linestatus",
+        "l_quantity",
+        F.year("l_shipdate").alias("year"),
+        (F.round(c("l_discount") * 100).cast("int") % 4).alias("wounds"),
+    )
+    joined = placed.join(parts, c("l_partkey") == c("p_partkey")).join(
+        F.broadcast(nations), c("s_nationkey") == c("n_nationkey")
+    )
     return joined.select(
-        F.year("l_shipdate").cast("string").alias("iyear"),
+        c("year").cast("string").alias("iyear"),
         c("n_name").alias("country_txt"),
         F.when(c("p_type") == "PROMO", "Unknown")
         .when(c("p_type") != "SMALL", c("p_type"))
@@ -63,7 +80,7 @@ def incidents_raw(spark: SparkSession, folder: str) -> DataFrame:
         .when(quantity > 46, "n/a")
         .otherwise((quantity.cast("int") % 13).cast("string"))
         .alias("nkill"),
-        (F.round(c("l_discount") * 100).cast("int") % 4).cast("string").alias("nwound"),
+        c("wounds").cast("string").alias("nwound"),
         F.when(c("p_size") % 5 == 0, " Unknown ")
         .when(c("p_size") % 7 == 0, None)
         .otherwise(c("p_brand"))

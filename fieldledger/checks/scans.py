@@ -19,6 +19,11 @@ from fieldledger.sources import readers, writers
 from fieldledger.sources.published import split_folder, split_lines
 
 
+#: Lines are over ten times the tables that they come from, and that much less when packed.
+#: A packed file is read by one task.
+PACKED = {"compression": "gzip", "max_records_per_file": readers.ROWS_PER_TASK}
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     writer = df.write.option("header", True).option("quote", '"').option("escape", '"')
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
@@ -32,7 +37,7 @@ def write_tsv(df: DataFrame, path: str, *partition_by: str) -> str:
 
 def written_splits(spark: SparkSession, folder: str) -> str:
     path = scratch_path(spark, "records")
-    writers.sink_jsonl_splits(proxies.record_lines(spark, folder), path)
+    writers.sink_jsonl_splits(proxies.record_lines(spark, folder), path, **PACKED)
     return path
 
 
@@ -166,8 +171,8 @@ def sink_jsonl_splits(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "records")
     lines = proxies.record_lines(spark, folder)
     # A first version with other lines, which the second one takes the place of.
-    writers.sink_jsonl_splits(lines.select(F.lit("{}").alias("value"), "split"), path)
-    writers.sink_jsonl_splits(lines, path)
+    writers.sink_jsonl_splits(lines.select(F.lit("{}").alias("value"), "split"), path, **PACKED)
+    writers.sink_jsonl_splits(lines, path, **PACKED)
     read = {s: readers.scan_split_records(spark, path, s) for s in fv.SPLIT_FRACTIONS}
     return records.union_splits(read).select("split", *fv.RECORD_KEYS)
 
@@ -178,7 +183,7 @@ def sink_jsonl_splits(spark: SparkSession, folder: str) -> DataFrame:
 )
 def sink_jsonl_partitioned(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "records-partitioned")
-    writers.sink_jsonl_partitioned(proxies.record_lines(spark, folder), path)
+    writers.sink_jsonl_partitioned(proxies.record_lines(spark, folder), path, **PACKED)
     return profile.split_counts(spark.read.text(path))
 
 

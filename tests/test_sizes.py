@@ -1,11 +1,14 @@
 """What the memory of a task and of the driver depends on when tables grow."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
-from fieldledger.checks import QUERIES, proxies
+from fieldledger.checks import QUERIES, proxies, scans
 from fieldledger.operators import joins, profile, records, splits
-from fieldledger.sources import readers
+from fieldledger.scratch import scratch_path
+from fieldledger.sources import readers, writers
 
 
 def plan(df):
@@ -116,3 +119,56 @@ def test_no_rows_and_no_number_of_files(spark):
     rows = spark.range(5)
     assert splits.coalesce_output(rows, None) is rows
     assert splits.coalesce_output(rows.filter("id < 0"), 3).collect() == []
+
+
+def bare(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_many_parts_are_joined_by_one_shuffle_of_the_lines(spark, folder, monkeypatch):
+    sent = bare(proxies.incidents_raw(spark, folder))
+    monkeypatch.setattr(proxies, "SENT_ROWS", proxies.table(spark, folder, "supplier").count())
+    raw = proxies.incidents_raw(spark, folder)
+    assert "RoundRobinPartitioning" not in plan(raw) and plan(raw).count("SortMergeJoin") == 1 + plan(raw).count("Initial Plan")
+    assert bare(raw) == sent
+
+
+def test_incidents_of_repeated_and_missing_keys(spark, tmp_path, monkeypatch):
+    def write(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    kinds = "l_partkey bigint, l_suppkey bigint, l_quantity double, l_discount double, l_returnflag string, l_linestatus string, l_shipdate string"
+    lines = [(p, s, q, d, "N", "O", t) for p in (1, 2, None) for s in (7, 8, None) for q, d, t in ((5.5, 0.07, "1996-01-02"), (None, None, None), (49.0, -0.03, "1997-01-02"))]
+    made = spark.createDataFrame(lines, kinds).withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
+    made.write.parquet(f"{tmp_path}/lineitem.parquet")
+    write("supplier", [(7, 1), (7, 2), (8, None), (None, 1)], "s_suppkey bigint, s_nationkey int")
+    write("nation", [(1, "A"), (2, "B"), (2, "C"), (None, "D")], "n_nationkey int, n_name string")
+    write("part", [(1, "X", 5, "b"), (1, None, None, None), (2, "SMALL", 7, "c"), (None, "X", 1, "d")], "p_partkey bigint, p_type string, p_size int, p_brand string")
+    sent = bare(proxies.incidents_raw(spark, str(tmp_path)))
+    assert len(sent) == 27
+    monkeypatch.setattr(proxies, "SENT_ROWS", 0)
+    assert bare(proxies.incidents_raw(spark, str(tmp_path))) == sent
+
+
+def test_queries_write_packed_lines(spark, folder, monkeypatch):
+    made = []
+    monkeypatch.setattr(scans, "scratch_path", lambda s, name: made.append(path := scratch_path(s, name)) or path)
+    for key in ("sink_jsonl_splits", "sink_verify_readback", "scan_part_files", "scan_text_lines", "sink_jsonl_partitioned"):
+        assert QUERIES[key](spark, folder).collect()
+    files = [f for path in made for f in Path(path).rglob("part-*") if "split=" in str(f)]
+    assert len(made) == 5 and files and all(f.name.endswith(".txt.gz") for f in files)
+
+
+def test_sinks_sort_no_lines_and_leave_the_setting(spark, tmp_path):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    lines = spark.range(0, 900, 1, 1).select(F.col("id").cast("string").alias("value"), (F.col("id") % 30).cast("string").alias("split"))
+    writers.sink_jsonl_partitioned(lines, f"{tmp_path}/many", compression="gzip")
+    few = lines.filter("split in ('0', '1', '2')")
+    writers.sink_jsonl_splits(few, f"{tmp_path}/few", ["0", "1", "2"], max_records_per_file=7)
+    assert spark.conf.get(key) == "0"
+    assert bare(spark.read.text(f"{tmp_path}/many")) == bare(lines.withColumn("split", F.col("split").cast("int")))
+    assert bare(readers.scan_text_lines(spark, f"{tmp_path}/few", ["2"])[0]["2"]) == bare(few.filter("split = '2'").select("value"))
+    spark.conf.set(key, "3")
+    with writers._unsorted(spark):
+        assert spark.conf.get(key) == "3"
+    spark.conf.unset(key)
